@@ -1,5 +1,6 @@
 from daylake.operators.latest import distinct_rows, latest, one_per_key
 from daylake.operators.nested import (
+    explode_items,
     garnish_detail,
     infer_items_schema,
     item_detail,
@@ -20,6 +21,7 @@ from daylake.operators.statuses import latest_statuses, status_funnel, status_ta
 __all__ = [
     "distinct_rows",
     "duplicate_keys",
+    "explode_items",
     "garnish_detail",
     "infer_items_schema",
     "item_detail",

@@ -10,9 +10,8 @@ from pyspark.sql import types as T
 
 from daylake.schemas import GARNISH, ITEM, ITEMS, MONEY
 
-# Documents up to this many characters are matched inside their own row; that work grows with
-# the square of the garnishes in the document, so larger ones are matched by a join.
-ROW_CHARS = 65_536
+# Repeated order ids are broadcast up to this many; at 36 characters each that is some 50 MB.
+BROADCAST_IDS = 1_000_000
 
 
 def infer_items_schema(df: DataFrame, column: str = "items") -> T.DataType:
@@ -62,11 +61,34 @@ def _garnish_columns() -> list[Column]:
     return _flat(GARNISH, "garnish", prefix="garnish_")
 
 
+def _distinct_array(array: Column | str) -> Column:
+    # Sorting brings equal structs together; `array_distinct` compares all pairs of structs.
+    # The sorted array is bound to a lambda variable, so that it is sorted once per row.
+    def without_repeats(ordered: Column) -> Column:
+        return F.filter(ordered, lambda x, i: (i == 0) | ~x.eqNullSafe(F.get(ordered, i - 1)))
+
+    return F.transform(F.array(F.sort_array(array)), without_repeats)[0]
+
+
+def _all_garnishes(items: str) -> Column:
+    """Distinct garnishes over all items of an array."""
+    lists = F.transform(items, lambda i: F.coalesce(i["garnishItems"], F.array()))
+    return _distinct_array(F.flatten(lists))
+
+
+def explode_items(parsed: DataFrame, outer: bool = False) -> DataFrame:
+    """One row per item as `item`; an order without items drops out unless `outer` is set."""
+    generator = F.explode_outer if outer else F.explode
+    # An explode of the bare column makes Spark infer a filter on its size and push it below
+    # the parsing, where the text would be parsed a second time.
+    return parsed.withColumn("item", generator(F.transform("items", lambda i: i))).drop("items")
+
+
 def _distinct_items(docs: DataFrame) -> DataFrame:
-    """Distinct (order_id, item); items of copied documents meet only after a map-side distinct."""
+    """Distinct (order_id, item) over all documents."""
     return (
         parse_items(docs.select("order_id", "items"))
-        .select("order_id", F.explode("items").alias("item"))
+        .select("order_id", F.explode(_distinct_array("items")).alias("item"))
         .dropDuplicates()
     )
 
@@ -89,11 +111,10 @@ def item_detail(docs: DataFrame) -> DataFrame:
 
 
 def garnish_detail(docs: DataFrame) -> DataFrame:
-    """Distinct garnishes of each order. Each array is exploded once per item, not once per id."""
+    """Distinct garnishes of each order. Each array is read once per item, not once per id."""
     return (
         parse_items(docs.select("order_id", "items"))
-        .select("order_id", F.explode("items").alias("item"))
-        .select("order_id", F.explode("item.garnishItems").alias("garnish"))
+        .select("order_id", F.explode(_all_garnishes("items")).alias("garnish"))
         .select("order_id", *_garnish_columns())
         .dropDuplicates()
     )
@@ -101,18 +122,14 @@ def garnish_detail(docs: DataFrame) -> DataFrame:
 
 def _match_in_row(docs: DataFrame, per_item: bool) -> DataFrame:
     """`order_items` for orders with a single document: no shuffle, no join."""
-    of_order = F.array_distinct(
-        F.flatten(F.transform("items", lambda i: F.coalesce(i["garnishItems"], F.array())))
-    )
-    items = (
-        parse_items(docs)
-        .select("order_id", "items", (F.lit(None) if per_item else of_order).alias("pool"))
-        .select("order_id", F.explode(F.array_distinct("items")).alias("item"), "pool")
+    parsed = parse_items(docs)
+    pool = F.lit(None) if per_item else _all_garnishes("items")
+    items = parsed.select("order_id", "items", pool.alias("pool")).select(
+        "order_id", F.explode(_distinct_array("items")).alias("item"), "pool"
     )
     if per_item:
-        matched = F.filter(
-            F.array_distinct("item.garnishItems"), lambda g: g["externalId"].isNotNull()
-        )
+        own = _distinct_array("item.garnishItems")
+        matched = F.filter(own, lambda g: g["externalId"].isNotNull())
     else:
         ids = F.col("item.garnishItems.externalId")
         matched = F.filter("pool", lambda g: F.array_contains(ids, g["externalId"]))
@@ -122,29 +139,50 @@ def _match_in_row(docs: DataFrame, per_item: bool) -> DataFrame:
 
 
 def _match_by_join(docs: DataFrame, per_item: bool) -> DataFrame:
-    """`order_items` for orders with several documents or with large ones."""
+    """`order_items` for orders with several documents: Spark may split the join by skew."""
     items = _distinct_items(docs)
     if per_item:
-        own = F.explode(F.array_distinct("item.garnishItems")).alias("garnish")
+        own = F.explode(_distinct_array("item.garnishItems")).alias("garnish")
         return (
             items.select("order_id", "item", own)
             .filter("garnish.externalId IS NOT NULL")
             .select("order_id", *_item_columns(), *_garnish_columns())
         )
     rows = _item_ids(items).select("order_id", "garnish_external_id", *_item_columns())
-    garnishes = garnish_detail(docs)
-    return rows.join(garnishes, ["order_id", "garnish_external_id"]).select(
-        "order_id",
-        *[c for c in rows.columns[2:]],
-        *[c for c in garnishes.columns if c != "order_id"],
+    garnishes = (
+        items.select("order_id", F.explode("item.garnishItems").alias("garnish"))
+        .select("order_id", *_garnish_columns())
+        .dropDuplicates()
     )
+    joined = rows.join(garnishes, ["order_id", "garnish_external_id"])
+    return joined.select("order_id", *rows.columns[2:], *garnishes.columns[1:])
+
+
+def _split_repeated(docs: DataFrame, broadcast_ids: int) -> tuple[DataFrame, DataFrame | None]:
+    """Orders with one document, and the documents of all other orders."""
+    repeated = docs.groupBy("order_id").count().filter("count > 1").select("order_id")
+    ids = repeated.count()
+    if ids == 0:
+        return docs, None
+    if ids <= broadcast_ids:
+        known = F.broadcast(repeated)
+        return docs.join(known, "order_id", "left_anti"), docs.join(known, "order_id", "left_semi")
+    # Many repeats are mostly copies, as in a table read over all its days. The least and the
+    # greatest text of an order tell copies from different documents in one shuffle.
+    ends = docs.groupBy("order_id").agg(
+        F.min("items").alias("least"), F.max("items").alias("items")
+    )
+    single = ends.filter("least = items").select("order_id", "items")
+    several = ends.filter("least != items").select("order_id")
+    return single, docs.join(several, "order_id", "left_semi")
 
 
 def order_items(
     orders: DataFrame,
     per_item: bool = False,
     one_document_per_order: bool = False,
-    row_chars: int = ROW_CHARS,
+    broadcast_ids: int = BROADCAST_IDS,
+    always_join: bool = False,
 ) -> DataFrame:
     """Item columns joined with garnish columns on (order, garnish id).
 
@@ -152,25 +190,18 @@ def order_items(
     those that hang on another item; `per_item=True` keeps to the item's own garnishes. Orders
     may repeat, with equal or different documents: all of an order's documents count as one.
 
-    One shuffle brings the documents of an order together as their least and greatest text. An
-    order with one distinct, small document is then matched inside its row. The rest, which is
-    where a hot order can only be, goes through a join that Spark may split by skew. With
-    `one_document_per_order=True` the caller vouches for unique order ids and the first
-    shuffle goes, too.
+    An order with one document is matched inside its row, without a shuffle. Orders that repeat
+    are found first by a count over the ids alone, and matched by a join. The count is a job of
+    its own; a caller who knows that the ids are unique says so and saves it.
     """
     docs = orders.select("order_id", "items").filter("order_id IS NOT NULL")
+    if always_join:
+        return _match_by_join(docs, per_item)
     if one_document_per_order:
-        small, large = docs.filter(F.length("items") <= row_chars), docs.filter(
-            F.length("items") > row_chars
-        )
-    else:
-        ends = docs.groupBy("order_id").agg(
-            F.min("items").alias("least"), F.max("items").alias("items")
-        )
-        fits = (F.col("least") == F.col("items")) & (F.length("items") <= row_chars)
-        small = ends.filter(fits).select("order_id", "items")
-        large = docs.join(ends.filter(~fits).select("order_id"), "order_id", "left_semi")
-    return _match_in_row(small, per_item).unionByName(_match_by_join(large, per_item))
+        return _match_in_row(docs, per_item)
+    single, rest = _split_repeated(docs, broadcast_ids)
+    matched = _match_in_row(single, per_item)
+    return matched if rest is None else matched.unionByName(_match_by_join(rest, per_item))
 
 
 def items_wide(orders: DataFrame) -> DataFrame:

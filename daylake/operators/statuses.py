@@ -12,32 +12,27 @@ from daylake.operators.skew import HOT_ROWS, hot_keys, salt_count
 # The status steps in the order of their output columns.
 STEPS = ("REGISTERED", "PLACED", "CONCLUDED", "CANCELLED")
 
+# Entries of one order and step that may be gathered into an array.
+GATHER_ROWS = 10_000
 
-def _step_counts(steps: Sequence[str]) -> list[Column]:
-    return [F.count_if(F.col("step") == s).alias(f"n_{k}") for k, s in enumerate(steps, 1)]
 
+def _entries(status: DataFrame, steps: Sequence[str]) -> DataFrame:
+    """Status rows of the steps, each step as its place in the list."""
+    step = F.lit(None).cast("int")
+    for k, name in enumerate(steps, 1):
+        step = F.when(F.col("status_value") == name, F.lit(k)).otherwise(step)
+    return status.filter(F.col("status_value").isin(*steps)).select(
+        "order_id", step.alias("step"), F.col("status_created_at").alias("at")
+    )
 
-def _hot_orders(entries: DataFrame, steps: Sequence[str], chained: bool, hot_rows: int) -> DataFrame:
-    """Hot orders, each with the step to split and the number of pieces.
 
-    Only the step with most rows is split. A result row takes one row of each step, so the
-    result of an order is at least the product of its two largest steps: the second largest is
-    small wherever the result can be written at all.
-    """
-    counts = entries.groupBy("order_id").agg(*_step_counts(steps))
-    usable = F.lit(True)
-    sized = []
-    for k in range(1, len(steps) + 1):
-        n = F.col(f"n_{k}")
-        # In a chain a step after a missing one never reaches the result.
-        usable = (usable & (n > 0)) if chained else F.lit(True)
-        sized.append(F.struct(F.when(usable, n).otherwise(0).alias("rows"), F.lit(k).alias("split")))
-    largest = counts.select("order_id", F.greatest(*sized).alias("largest")).select(
-        "order_id", "largest.*"
-    )
-    return hot_keys(largest, "rows", hot_rows).select(
-        "order_id", "split", salt_count(F.col("rows"), hot_rows).alias("pieces")
+def largest_step(status: DataFrame, steps: Sequence[str] = STEPS) -> int:
+    """Most rows that one order has in one step, by a count over those two columns."""
+    sizes = _entries(status, steps).groupBy("order_id").agg(
+        *[F.count_if(F.col("step") == k).alias(f"n_{k}") for k in range(1, len(steps) + 1)]
     )
+    each = [F.max(f"n_{k}") for k in range(1, len(steps) + 1)]
+    return max(n or 0 for n in sizes.agg(*each).first())
 
 
 def status_table(
@@ -45,7 +40,9 @@ def status_table(
     status: DataFrame,
     steps: Sequence[str] = STEPS,
     chained: bool = False,
-    single_scan: bool = True,
+    method: str | None = None,
+    largest: int | None = None,
+    gather_rows: int = GATHER_ROWS,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """One row per order and combination of its distinct status entries, one entry per step.
@@ -54,61 +51,114 @@ def status_table(
     null. Entries that repeat a step multiply the rows of the order. With `chained=True` the
     first step must exist and each later step counts only if the one before it was reached.
 
-    The entries are made distinct before the joins, so the joined rows are distinct as they
-    are. With `single_scan=True` all steps read one shuffle of the status table; otherwise each
-    step scans it with its own pushed-down filter, which pays off where files are laid out by
-    status. A hot order is cut into pieces by its largest step: entries of that step are spread
-    over the pieces, the order and its other entries are repeated in each.
+    Where no order has more than `gather_rows` rows in a step, its entries are gathered in one
+    shuffle and laid out inside the row. Otherwise the orders are joined with the entries of
+    each step, and orders beyond `hot_rows` are cut into pieces. `method` ("gather" or "join")
+    overrides the choice. The size is measured by a job of its own, unless `largest` brings it.
     """
-    entries = (
-        status.filter(F.col("status_value").isin(*steps))
-        .groupBy("order_id", "status_value", "status_created_at")
-        # An aggregate result, so that a filter on it stays above the shuffle all steps share.
-        .agg(F.max("status_value").alias("step"))
-        .select("order_id", "step", F.col("status_created_at").alias("at"))
+    if method != "gather" and largest is None:
+        largest = largest_step(status, steps)
+    method = method or ("gather" if largest <= gather_rows else "join")
+    ids = orders.select("order_id").dropDuplicates()
+    entries = _entries(status, steps)
+    if method == "gather":
+        laid_out = _gathered(ids, entries, steps, chained)
+    else:
+        laid_out = _joined(ids, entries, steps, chained, hot_rows if largest > hot_rows else None)
+    columns = ["order_id"]
+    for k, name in enumerate(steps, 1):
+        columns.append(F.when(F.col(f"e_{k}").isNotNull(), F.lit(name)).alias(f"status_{k}"))
+        columns.append(F.col(f"e_{k}.at").alias(f"status_created_at_{k}"))
+    return laid_out.select(*columns)
+
+
+def _gathered(ids: DataFrame, entries: DataFrame, steps: Sequence[str], chained: bool) -> DataFrame:
+    history = (
+        entries.repartition("order_id")
+        .groupBy("order_id")
+        .agg(F.collect_set(F.struct("step", "at")).alias("entries"))
+    )
+    out = ids.join(history, "order_id", "inner" if chained else "left")
+    for k in range(1, len(steps) + 1):
+        of_step = _entries_of(k)
+        if chained and k > 1:
+            of_step = F.when(F.col(f"e_{k - 1}").isNotNull(), of_step)
+        generator = F.explode if chained and k == 1 else F.explode_outer
+        out = out.withColumn(f"e_{k}", generator(of_step))
+    return out
+
+
+def _entries_of(step: int) -> Column:
+    return F.filter("entries", lambda e: e["step"] == step)
+
+
+def _hot_orders(entries: DataFrame, steps: int, chained: bool, hot_rows: int) -> DataFrame:
+    """Hot orders, each with the step to split and the number of pieces.
+
+    Only the step with most entries is split. A result row takes one entry of each step, so an
+    order has at least as many result rows as the product of its two largest steps: the second
+    largest is small wherever the result can be written at all.
+    """
+    counts = entries.groupBy("order_id").agg(
+        *[F.count_if(F.col("step") == k).alias(f"n_{k}") for k in range(1, steps + 1)]
     )
-    hot = F.broadcast(_hot_orders(entries, steps, chained, hot_rows))
-    every_piece = F.sequence(F.lit(0), F.coalesce("pieces", F.lit(1)) - 1)
-
-    result = (
-        orders.select("order_id")
-        .filter("order_id IS NOT NULL" if chained else F.lit(True))
-        .dropDuplicates()
-        .join(hot, "order_id", "left")
-        .select("order_id", "split", F.explode(every_piece).alias("piece"))
+    usable, sized = F.lit(True), []
+    for k in range(1, steps + 1):
+        n = F.col(f"n_{k}")
+        # In a chain a step after a missing one never reaches the result.
+        usable = (usable & (n > 0)) if chained else usable
+        sized.append(F.struct(F.when(usable, n).otherwise(0).alias("rows"), F.lit(k).alias("split")))
+    largest = counts.select("order_id", F.greatest(*sized).alias("largest"))
+    return hot_keys(largest.select("order_id", "largest.*"), "rows", hot_rows).select(
+        "order_id", "split", salt_count(F.col("rows"), hot_rows).alias("pieces")
     )
-    for k, step in enumerate(steps, 1):
-        value, at = f"status_{k}", f"status_created_at_{k}"
-        if single_scan:
-            of_step = entries.filter(F.col("step") == step)
-        else:
-            of_step = (
-                status.filter(F.col("status_value") == step)
-                .select("order_id", F.col("status_value").alias("step"), F.col("status_created_at").alias("at"))
-                .dropDuplicates()
-            )
+
+
+def _joined(
+    ids: DataFrame, entries: DataFrame, steps: Sequence[str], chained: bool, hot_rows: int | None
+) -> DataFrame:
+    # Distinct before the joins, so the joined rows are distinct as they are. `present` is an
+    # aggregate result: a filter on it stays above the shuffle, which all steps then share.
+    entries = (
+        entries.groupBy("order_id", "step", "at")
+        .agg(F.max("step").alias("present"))
+        .select("order_id", F.col("present").alias("step"), "at")
+    )
+    keys = ["order_id"]
+    if hot_rows is not None:
+        keys.append("piece")
+        hot = F.broadcast(_hot_orders(entries, len(steps), chained, hot_rows))
+        every_piece = F.sequence(F.lit(0), F.coalesce("pieces", F.lit(1)) - 1)
         own_piece = F.array(F.pmod(F.xxhash64("at"), F.col("pieces")).cast("int"))
-        of_step = of_step.join(hot, "order_id", "left").select(
-            "order_id",
-            F.explode(F.when(F.col("split") == k, own_piece).otherwise(every_piece)).alias("piece"),
-            F.col("step").alias(value),
-            F.col("at").alias(at),
-        )
-        left, right = result.alias("l"), of_step.alias("r")
-        on = (F.col("l.order_id") == F.col("r.order_id")) & (F.col("l.piece") == F.col("r.piece"))
+        # Entries of the split step are spread over the pieces; the order and its other entries
+        # are repeated in each.
+        piece = F.when(F.col("split") == F.col("step"), own_piece).otherwise(every_piece)
+        entries = entries.join(hot, "order_id", "left").withColumn("piece", F.explode(piece))
+        ids = ids.join(hot, "order_id", "left").withColumn("piece", F.explode(every_piece))
+    out = ids
+    for k in range(1, len(steps) + 1):
+        of_step = entries.filter(F.col("step") == k).select(*keys, F.struct("at").alias(f"e_{k}"))
         if chained and k > 1:
-            on = on & F.col(f"l.status_{k - 1}").isNotNull()
-        result = left.join(right, on, "inner" if chained and k == 1 else "left").select(
-            "l.*", value, at
-        )
-        # A piece that received no entry of the split step holds no row of the result.
-        result = result.filter(F.coalesce(F.col("split") != k, F.lit(True)) | F.col(value).isNotNull())
-    return result.drop("split", "piece")
+            reached = F.col(f"e_{k - 1}").isNotNull()
+            left, right = out.alias("l"), of_step.alias("r")
+            on = reached
+            for key in keys:
+                on = on & (F.col(f"l.{key}") == F.col(f"r.{key}"))
+            out = left.join(right, on, "left").select("l.*", f"e_{k}")
+        else:
+            out = out.join(of_step, keys, "inner" if chained else "left")
+        if hot_rows is not None:
+            # A piece that received no entry of the split step holds no row of the result.
+            whole = F.coalesce(F.col("split") != k, F.lit(True))
+            out = out.filter(whole | F.col(f"e_{k}").isNotNull())
+    return out
 
 
-def status_funnel(orders: DataFrame, status: DataFrame, steps: Sequence[str] = STEPS) -> DataFrame:
+def status_funnel(
+    orders: DataFrame, status: DataFrame, steps: Sequence[str] = STEPS, **options
+) -> DataFrame:
     """`status_table` with each step chained to the one before it."""
-    return status_table(orders, status, steps, chained=True)
+    return status_table(orders, status, steps, chained=True, **options)
 
 
 def latest_statuses(orders: DataFrame, status: DataFrame, steps: Sequence[str] = STEPS) -> DataFrame:

@@ -209,7 +209,7 @@ def items_inferred(spark, sf_dir):
 
 
 def _item_rows(parsed: DataFrame) -> DataFrame:
-    return parsed.select("order_id", F.explode("items").alias("item")).select(
+    return ops.explode_items(parsed).select(
         "order_id",
         F.col("item.name").alias("name"),
         F.col("item.quantity").cast("double").alias("quantity"),
@@ -239,7 +239,7 @@ def order_items(spark, sf_dir):
 
 
 def order_items_joined(spark, sf_dir):
-    return ops.order_items(t.carts(spark, sf_dir), row_chars=0)
+    return ops.order_items(t.carts(spark, sf_dir), always_join=True)
 
 
 def order_items_per_item(spark, sf_dir):
@@ -282,7 +282,7 @@ def trusted_order(spark, sf_dir):
 
 
 def order_statuses(spark, sf_dir):
-    return ops.status_table(t.orders(spark, sf_dir), t.status(spark, sf_dir), single_scan=False)
+    return ops.status_table(t.orders(spark, sf_dir), t.status(spark, sf_dir), method="join")
 
 
 def order_statuses_one_pass(spark, sf_dir):

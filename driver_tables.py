@@ -50,10 +50,10 @@ def merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    letters = F.concat("l_returnflag", "l_linestatus")
-    value = letters
-    for pair, name in STATUS_NAMES.items():
-        value = F.when(letters == pair, F.lit(name)).otherwise(value)
+    value = F.concat("l_returnflag", "l_linestatus")
+    for (flag, line), name in STATUS_NAMES.items():
+        is_pair = (F.col("l_returnflag") == flag) & (F.col("l_linestatus") == line)
+        value = F.when(is_pair, F.lit(name)).otherwise(value)
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
         value.alias("status_value"),
@@ -61,57 +61,84 @@ def status(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _hundredths(c: str) -> Column:
-    return F.round(F.col(c) * 100).cast("bigint")
+def _hundredths(c: Column | str) -> Column:
+    return F.round((F.col(c) if isinstance(c, str) else c) * 100).cast("bigint")
 
 
 def _money(value: Column) -> Column:
     return F.struct(value.cast("string").alias("value"), F.lit("USD").alias("currency"))
 
 
+def _garnish(line: Column) -> Column:
+    return F.struct(
+        line["p_name"].alias("name"),
+        line["l_quantity"].alias("quantity"),
+        line["l_linenumber"].alias("sequence"),
+        line["l_suppkey"].cast("string").alias("externalId"),
+        line["l_partkey"].cast("string").alias("integrationId"),
+        line["l_returnflag"].alias("categoryId"),
+        line["l_linestatus"].alias("categoryName"),
+        _money(_hundredths(line["l_tax"])).alias("addition"),
+        _money(_hundredths(line["l_discount"])).alias("discount"),
+        _money(_hundredths(line["p_retailprice"])).alias("unitPrice"),
+        _money(_hundredths(line["l_extendedprice"])).alias("totalValue"),
+    )
+
+
 def carts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Item documents: an item per brand of the order, a garnish per distinct line not returned."""
-    line = table(spark, sf_dir, "lineitem")
+    """Item documents: an item per brand of the order, a garnish per distinct line not returned.
+
+    Lines of an order of ordinary size are brought together once, and both groupings run there.
+    A larger order is cut into pieces by the content of its lines, and its lines are aggregated
+    before they are shuffled, so that copies of one line cannot pile up in a task either.
+    """
+    line = table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "order_id")
     large = (
-        line.groupBy("l_orderkey")
+        line.groupBy("order_id")
         .agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") > LINES_PER_DOCUMENT)
-        .select("l_orderkey", F.ceil(F.col("n") / LINES_PER_DOCUMENT).alias("pieces"))
+        .select("order_id", F.ceil(F.col("n") / LINES_PER_DOCUMENT).alias("pieces"))
     )
-    spread = F.col("l_partkey") * 31 + F.col("l_suppkey") * 7 + F.col("l_linenumber") + _hundredths("l_extendedprice")
-    garnish = F.struct(
-        F.col("p_name").alias("name"),
-        F.col("l_quantity").alias("quantity"),
-        F.col("l_linenumber").alias("sequence"),
-        F.col("l_suppkey").cast("string").alias("externalId"),
-        F.col("l_partkey").cast("string").alias("integrationId"),
-        F.col("l_returnflag").alias("categoryId"),
-        F.col("l_linestatus").alias("categoryName"),
-        _money(_hundredths("l_tax")).alias("addition"),
-        _money(_hundredths("l_discount")).alias("discount"),
-        _money(_hundredths("p_retailprice")).alias("unitPrice"),
-        _money(_hundredths("l_extendedprice")).alias("totalValue"),
+    part = table(spark, sf_dir, "part")
+    spread = (
+        F.col("l_partkey") * 31 + F.col("l_suppkey") * 7 + F.col("l_linenumber")
+        + _hundredths("l_extendedprice")
     )
-    items = (
-        line.join(large, "l_orderkey", "left")
-        .withColumn("piece", F.coalesce(F.pmod(spread, F.col("pieces")), F.lit(0)))
-        .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        .groupBy(F.col("l_orderkey").alias("order_id"), "piece", F.col("p_brand").alias("name"))
-        .agg(
-            F.sum("l_quantity").alias("quantity"),
-            F.min("l_partkey").cast("string").alias("externalId"),
-            F.col("piece").cast("string").alias("integrationId"),
-            F.when(F.count(F.lit(1)) > 1, F.max("l_linestatus")).alias("customerNote"),
-            _money(F.count(F.lit(1))).alias("addition"),
-            _money(F.sum(_hundredths("l_discount"))).alias("discount"),
-            _money(F.max(_hundredths("l_extendedprice"))).alias("unitPrice"),
-            _money(F.sum(_hundredths("l_extendedprice"))).alias("totalValue"),
-            _money(F.sum(_hundredths("l_tax"))).alias("totalAddition"),
-            _money(F.count_if(F.col("l_returnflag") == "R")).alias("totalDiscount"),
-            F.collect_set(F.when(F.col("l_returnflag") != "R", garnish)).alias("garnishItems"),
-        )
+    whole = (
+        line.join(large, "order_id", "left_anti")
+        .withColumn("piece", F.lit(0).cast("bigint"))
+        .join(part, F.col("l_partkey") == F.col("p_partkey"))
+        .repartition("order_id")
+    )
+    pieces = (
+        line.join(large, "order_id")
+        .withColumn("piece", F.pmod(spread, F.col("pieces")))
+        .join(part, F.col("l_partkey") == F.col("p_partkey"))
+    )
+    return _documents(whole).unionByName(_documents(pieces))
+
+
+def _documents(lines: DataFrame) -> DataFrame:
+    # Numbers are collected as they are and put into document form after the shuffle.
+    values = F.struct(
+        "p_name", "l_quantity", "l_linenumber", "l_suppkey", "l_partkey", "l_returnflag",
+        "l_linestatus", "l_tax", "l_discount", "p_retailprice", "l_extendedprice",
+    )
+    items = lines.groupBy("order_id", "piece", F.col("p_brand").alias("name")).agg(
+        F.sum("l_quantity").alias("quantity"),
+        F.min("l_partkey").cast("string").alias("externalId"),
+        F.col("piece").cast("string").alias("integrationId"),
+        F.when(F.count(F.lit(1)) > 1, F.max("l_linestatus")).alias("customerNote"),
+        _money(F.count(F.lit(1))).alias("addition"),
+        _money(F.sum(_hundredths("l_discount"))).alias("discount"),
+        _money(F.max(_hundredths("l_extendedprice"))).alias("unitPrice"),
+        _money(F.sum(_hundredths("l_extendedprice"))).alias("totalValue"),
+        _money(F.sum(_hundredths("l_tax"))).alias("totalAddition"),
+        _money(F.count_if(F.col("l_returnflag") == "R")).alias("totalDiscount"),
+        F.collect_set(F.when(F.col("l_returnflag") != "R", values)).alias("lines"),
     )
-    item = F.struct(*[c for c in items.columns if c not in ("order_id", "piece")])
+    fields = [c for c in items.columns if c not in ("order_id", "piece", "lines")]
+    item = F.struct(*fields, F.transform("lines", _garnish).alias("garnishItems"))
     return (
         items.groupBy("order_id", "piece")
         .agg(F.collect_list(item).alias("items"))
