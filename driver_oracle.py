@@ -56,6 +56,8 @@ item AS (
 garnishes AS (
   SELECT order_id, piece, brand, count(*) AS garnishes FROM kept GROUP BY order_id, piece, brand)"""
 
+FIRST_PIECE = LINE.replace("FROM line WHERE l_returnflag", "FROM line WHERE piece = 0 AND l_returnflag")
+
 ITEM_COLUMNS = """
   i.name, i.quantity, i.external_id, i.integration_id, i.customer_note,
   i.addition, 'USD' AS addition_currency, i.discount, 'USD' AS discount_currency,
@@ -136,6 +138,22 @@ FUNNEL = _statuses(
 )
 
 
+CHOSEN = f"""
+chosen AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT ord.*, TRY_CAST(customer_phone_number AS BIGINT) * 5 / 2 AS customer_phone_number,
+           c_mktsegment, merchant.*, {RANKED_ORDER.replace("customer_id", "ord.customer_id")}
+    FROM ord JOIN consumer ON consumer.customer_id = ord.customer_id
+    JOIN merchant ON merchant.id = ord.merchant_id)
+  WHERE rn = 1),
+last_status AS (
+  SELECT * EXCLUDE (rn) FROM (SELECT *, {RANKED_STATUS} FROM status) WHERE rn = 1),
+trusted AS (
+  SELECT chosen.* EXCLUDE (cpf), sha256(trim(cpf) || '{SALT}') AS cpf, status_created_at,
+         status_value, DATE '2024-01-31' AS partition
+  FROM chosen JOIN last_status ON last_status.order_id = chosen.order_id)"""
+
+
 def _gated(day2: str, actual: str, written: str) -> str:
     return f"""
 WITH {ORD}, {MERCHANT}, first_day AS (SELECT count(*) AS n FROM ord), second_day AS ({actual})
@@ -236,20 +254,20 @@ SELECT d.order_id, CAST(d.items AS INTEGER) AS items, d.names, d.external_ids, d
        coalesce(garnish_names, '') AS garnish_names, coalesce(garnish_ids, '') AS garnish_ids,
        coalesce(garnish_values, '') AS garnish_values, coalesce(garnish_quantity, 0.0) AS garnish_quantity
 FROM docs d LEFT JOIN loose g ON g.order_id = d.order_id AND g.piece = d.piece""",
-    "trusted_order": f"""
-WITH {ORD}, {CONSUMER}, {MERCHANT}, {STATUS},
-chosen AS (
-  SELECT * EXCLUDE (rn) FROM (
-    SELECT ord.*, TRY_CAST(customer_phone_number AS BIGINT) * 5 / 2 AS customer_phone_number,
-           c_mktsegment, merchant.*, {RANKED_ORDER.replace("customer_id", "ord.customer_id")}
-    FROM ord JOIN consumer ON consumer.customer_id = ord.customer_id
-    JOIN merchant ON merchant.id = ord.merchant_id)
-  WHERE rn = 1),
-last_status AS (
-  SELECT * EXCLUDE (rn) FROM (SELECT *, {RANKED_STATUS} FROM status) WHERE rn = 1)
-SELECT chosen.* EXCLUDE (cpf), sha256(trim(cpf) || '{SALT}') AS cpf, status_created_at,
-       status_value, DATE '2024-01-31' AS partition
-FROM chosen JOIN last_status ON last_status.order_id = chosen.order_id""",
+    "trusted_order": f"WITH {ORD}, {CONSUMER}, {MERCHANT}, {STATUS}, {CHOSEN} SELECT * FROM trusted",
+    "trusted_lake": f"""
+WITH {ORD}, {CONSUMER}, {MERCHANT}, {STATUS}, {CHOSEN}, {FIRST_PIECE}, {GARNISH}, {ITEM_IDS},
+item_rows AS (
+  SELECT i.order_id FROM item i
+  JOIN trusted t ON t.order_id = i.order_id AND i.piece = 0
+  JOIN item_id d ON d.order_id = i.order_id AND d.piece = i.piece AND d.brand = i.name
+  JOIN garnish g ON g.order_id = d.order_id AND g.garnish_external_id = d.garnish_external_id),
+status_rows AS (
+  SELECT DISTINCT o.order_id, {STATUS_COLUMNS} FROM trusted o
+  {" ".join(_step(k, s, "o") for k, s in enumerate(STEPS, 1))})
+SELECT 'order' AS dataset, true AS written, count(*) AS row_count, count(DISTINCT order_id) AS orders FROM trusted
+UNION ALL SELECT 'order_items', true, count(*), count(DISTINCT order_id) FROM item_rows
+UNION ALL SELECT 'order_statuses', true, count(*), count(DISTINCT order_id) FROM status_rows""",
     "order_statuses": FOUR_JOINS,
     "order_statuses_one_pass": FOUR_JOINS,
     "order_statuses_latest": LATEST_STEPS,

@@ -297,6 +297,32 @@ def order_status_funnel(spark, sf_dir):
     return ops.status_funnel(t.orders(spark, sf_dir), t.status(spark, sf_dir))
 
 
+def trusted_lake(spark, sf_dir):
+    """All jobs on a lake of their own: raw days, the three trusted tables, and what they hold."""
+    zones = {"raw": _fresh(spark, "raw"), "trusted": _fresh(spark, "trusted")}
+    # A raw order carries one document; of an order delivered in pieces that is the first.
+    carts = t.cart_pieces(spark, sf_dir).filter("piece = 0").drop("piece")
+    orders = t.orders(spark, sf_dir).join(carts, "order_id", "left")
+    status = t.status(spark, sf_dir).withColumnsRenamed({"status_created_at": "created_at", "status_value": "value"})
+    for name, df in (
+        ("order", orders),
+        ("status", status),
+        ("consumer", t.consumers(spark, sf_dir)),
+        ("restaurant", t.merchants(spark, sf_dir)),
+    ):
+        sources.write_day(df, sources.zone_path(zones, "raw", name), RUN_DATE)
+    held = None
+    for gate in plans.refresh_trusted(spark, zones, RUN_DATE, SALT):
+        rows = sources.scan(spark, sources.zone_path(zones, "trusted", gate.dataset), RUN_DATE).agg(
+            F.lit(gate.dataset).alias("dataset"),
+            F.lit(gate.written).alias("written"),
+            F.count(F.lit(1)).alias("row_count"),
+            F.count_distinct("order_id").alias("orders"),
+        )
+        held = rows if held is None else held.unionByName(rows)
+    return held
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -338,5 +364,6 @@ QUERIES = {
         order_statuses_one_pass,
         order_statuses_latest,
         order_status_funnel,
+        trusted_lake,
     )
 }

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 # An order with more lines than this is delivered as several documents.
 LINES_PER_DOCUMENT = 1_000
+# Ids of such orders are broadcast up to this many (16 MB).
+BROADCAST_ORDERS = 1_000_000
 
 # Line flag and status to order status; other pairs keep their own letters.
 STATUS_NAMES = {"AF": "REGISTERED", "NF": "PLACED", "NO": "CONCLUDED", "RF": "CANCELLED"}
@@ -86,7 +88,12 @@ def _garnish(line: Column) -> Column:
 
 
 def carts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Item documents: an item per brand of the order, a garnish per distinct line not returned.
+    """Item documents of each order."""
+    return cart_pieces(spark, sf_dir).drop("piece")
+
+
+def cart_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item documents by order and piece: an item per brand of the order, a garnish per distinct line not returned.
 
     Lines of an order of ordinary size are brought together once, and both groupings run there.
     A larger order is cut into pieces by the content of its lines, and its lines are aggregated
@@ -99,25 +106,31 @@ def carts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .filter(F.col("n") > LINES_PER_DOCUMENT)
         .select("order_id", F.ceil(F.col("n") / LINES_PER_DOCUMENT).alias("pieces"))
     )
-    part = table(spark, sf_dir, "part")
+    large_orders = large.count()
+    if large_orders == 0:
+        return _documents(_whole(line, spark, sf_dir))
+    if large_orders <= BROADCAST_ORDERS:
+        large = F.broadcast(large)
     spread = (
         F.col("l_partkey") * 31 + F.col("l_suppkey") * 7 + F.col("l_linenumber")
         + _hundredths("l_extendedprice")
     )
-    whole = (
-        line.join(large, "order_id", "left_anti")
-        .withColumn("piece", F.lit(0).cast("bigint"))
-        .join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .repartition("order_id")
-    )
-    pieces = (
-        line.join(large, "order_id")
-        .withColumn("piece", F.pmod(spread, F.col("pieces")))
-        .join(part, F.col("l_partkey") == F.col("p_partkey"))
+    pieces = _with_parts(line.join(large, "order_id"), spark, sf_dir).withColumn(
+        "piece", F.pmod(spread, F.col("pieces"))
     )
+    whole = _whole(line.join(large, "order_id", "left_anti"), spark, sf_dir)
     return _documents(whole).unionByName(_documents(pieces))
 
 
+def _with_parts(line: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+
+
+def _whole(line: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = _with_parts(line, spark, sf_dir).withColumn("piece", F.lit(0).cast("bigint"))
+    return lines.repartition("order_id")
+
+
 def _documents(lines: DataFrame) -> DataFrame:
     # Numbers are collected as they are and put into document form after the shuffle.
     values = F.struct(
@@ -142,5 +155,5 @@ def _documents(lines: DataFrame) -> DataFrame:
     return (
         items.groupBy("order_id", "piece")
         .agg(F.collect_list(item).alias("items"))
-        .select("order_id", F.to_json("items").alias("items"))
+        .select("order_id", "piece", F.to_json("items").alias("items"))
     )

@@ -1,0 +1,302 @@
+"""Small literal tables, each aimed at one rule."""
+
+from __future__ import annotations
+
+import datetime as dt
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from compare import spark_rows
+from daylake import operators as ops
+from daylake import plans
+from daylake.functions import hash_columns, local_day, mask_linear, run_day, run_second, salted_hash
+from daylake.schemas import ITEMS
+
+DAY = dt.date(2020, 7, 20)
+STATUS = "order_id string, status_value string, status_created_at string"
+T = [f"2020-01-01T0{i}:00:00" for i in range(10)]
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+# Newest row
+
+
+def test_tie_goes_to_the_tie_break(spark):
+    df = spark.createDataFrame([("c", "o1", T[1]), ("c", "o2", T[1])], "customer_id string, order_id string, at string")
+    for parts in (1, 2, 5):
+        got = ops.latest(df.repartition(parts), "customer_id", "at", ["order_id"]).collect()
+        assert [r.order_id for r in got] == ["o2"]
+
+
+def test_null_time_is_last(spark):
+    df = spark.createDataFrame([("c", None), ("c", T[0])], "k string, at string")
+    assert rows(ops.latest(df, "k", "at", [])) == [("c", T[0])]
+
+
+def test_one_per_key_without_other_columns(spark):
+    df = spark.createDataFrame([("a",), ("a",), ("b",)], "k string")
+    assert rows(ops.one_per_key(df, "k")) == [("a",), ("b",)]
+
+
+# Trusted orders
+
+
+def trusted(spark, orders, consumers=("c",), merchants=("m",), status=(), **options):
+    return plans.trusted_order(
+        spark.createDataFrame(orders, "order_id string, customer_id string, merchant_id string, order_created_at string, cpf string"),
+        spark.createDataFrame([(c,) for c in consumers], "customer_id string"),
+        spark.createDataFrame([(m,) for m in merchants], "id string"),
+        spark.createDataFrame(list(status), STATUS),
+        DAY,
+        "s",
+        **options,
+    )
+
+
+def test_order_without_merchant_is_passed_over(spark):
+    orders = [("o1", "c", "m", T[1], "1"), ("o2", "c", "unknown", T[2], "1")]
+    status = [("o1", "PLACED", T[3]), ("o2", "PLACED", T[3])]
+    assert [r.order_id for r in trusted(spark, orders, status=status).collect()] == ["o1"]
+
+
+def test_chosen_order_without_status_drops_the_customer(spark):
+    orders = [("o1", "c", "m", T[1], "1"), ("o2", "c", "m", T[2], "1")]
+    assert trusted(spark, orders, status=[("o1", "PLACED", T[3])]).collect() == []
+
+
+def test_other_key_still_needs_a_consumer(spark):
+    orders = [("o1", "c", "m", T[1], "1"), ("o1", "gone", "m", T[2], "1")]
+    got = trusted(spark, orders, status=[("o1", "PLACED", T[3])], key="order_id", tie_break=["customer_id"])
+    assert [r.customer_id for r in got.collect()] == ["c"]
+
+
+def test_repeated_dimension_rows_do_not_multiply(spark):
+    orders = [("o1", "c", "m", T[1], " 7 ")]
+    got = trusted(spark, orders, ["c", "c"], ["m", "m"], [("o1", "PLACED", T[3]), ("o1", "REGISTERED", T[2])]).collect()
+    assert len(got) == 1
+    assert (got[0].status_value, got[0].partition) == ("PLACED", DAY)
+    digest = spark.range(1).select(F.sha2(F.lit("7s"), 256)).first()[0]
+    assert got[0].cpf == digest
+
+
+# Statuses
+
+
+def statuses(spark, history, orders=("o",), **options):
+    return ops.status_table(
+        spark.createDataFrame([(o,) for o in orders], "order_id string"),
+        spark.createDataFrame(history, STATUS),
+        **options,
+    )
+
+
+METHODS = [{"method": "gather"}, {"method": "join"}, {"method": "join", "hot_rows": 1}]
+
+
+@pytest.mark.parametrize("options", METHODS)
+def test_repeated_status_multiplies(spark, options):
+    assert statuses(spark, [("o", "PLACED", T[1]), ("o", "PLACED", T[2])], **options).count() == 2
+
+
+@pytest.mark.parametrize("options", METHODS)
+def test_exact_copies_do_not_multiply(spark, options):
+    history = [("o", "PLACED", T[1])] * 3
+    assert statuses(spark, history, ("o", "o"), **options).count() == 1
+
+
+@pytest.mark.parametrize("options", METHODS)
+def test_null_status_time_keeps_the_status(spark, options):
+    (row,) = statuses(spark, [("o", "PLACED", None)], **options).collect()
+    assert (row.status_1, row.status_2, row.status_created_at_2) == (None, "PLACED", None)
+
+
+@pytest.mark.parametrize("options", METHODS)
+def test_gap_in_the_steps(spark, options):
+    history = [("o", "REGISTERED", T[1]), ("o", "CONCLUDED", T[3]), ("o", "CONCLUDED", T[4])]
+    free = statuses(spark, history, **options)
+    assert rows(free.select("status_1", "status_2", "status_3")) == [("REGISTERED", None, "CONCLUDED")] * 2
+    chained = statuses(spark, history, chained=True, **options)
+    assert rows(chained.select("status_1", "status_2", "status_3")) == [("REGISTERED", None, None)]
+
+
+@pytest.mark.parametrize("options", METHODS)
+def test_missing_first_step(spark, options):
+    history = [("o", "PLACED", T[1])]
+    assert statuses(spark, history, **options).count() == 1
+    assert statuses(spark, history, chained=True, **options).count() == 0
+
+
+@pytest.mark.parametrize("options", METHODS)
+def test_order_without_status_and_unknown_order(spark, options):
+    got = statuses(spark, [("x", "PLACED", T[1]), (None, "PLACED", T[1])], ("o",), **options)
+    assert rows(got.select("order_id", "status_2")) == [("o", None)]
+
+
+def test_latest_statuses(spark):
+    orders = spark.createDataFrame([("o",), ("p",)], "order_id string")
+    history = spark.createDataFrame([("o", "PLACED", T[1]), ("o", "PLACED", T[2]), ("p", "CANCELLED", None)], STATUS)
+    got = ops.latest_statuses(orders, history).select("order_id", "status_2", "status_created_at_2", "status_4")
+    assert rows(got) == [("o", "PLACED", T[2], None), ("p", None, None, "CANCELLED")]
+
+
+# Item documents
+
+
+def item(name, *garnishes, **more):
+    return {"name": name, "garnishItems": [{"externalId": g, "quantity": q} for g, q in garnishes], **more}
+
+
+SHARED = [item("i1", ("G1", 1), ("G2", 2)), item("i2", ("G1", 3)), item("i3")]
+
+
+def documents(spark, *docs):
+    return spark.createDataFrame([(o, d if d is None or isinstance(d, str) else json.dumps(d)) for o, d in docs], "order_id string, items string")
+
+
+ROUTES = [{}, {"one_document_per_order": True}, {"always_join": True}, {"broadcast_ids": 0}]
+
+
+def pairs(df):
+    return rows(df.select("name", "garnish_external_id", "garnish_quantity"))
+
+
+@pytest.mark.parametrize("route", ROUTES)
+def test_shared_garnish(spark, route):
+    df = documents(spark, ("o", SHARED))
+    assert pairs(ops.order_items(df, **route)) == [
+        ("i1", "G1", 1.0), ("i1", "G1", 3.0), ("i1", "G2", 2.0), ("i2", "G1", 1.0), ("i2", "G1", 3.0),
+    ]
+    assert pairs(ops.order_items(df, per_item=True, **route)) == [
+        ("i1", "G1", 1.0), ("i1", "G2", 2.0), ("i2", "G1", 3.0),
+    ]
+
+
+@pytest.mark.parametrize("route", ROUTES)
+def test_null_garnish_id_gives_no_row(spark, route):
+    df = documents(spark, ("o", [item("i1", (None, 1), ("G1", 2))]))
+    for per_item in (False, True):
+        assert pairs(ops.order_items(df, per_item, **route)) == [("i1", "G1", 2.0)]
+
+
+@pytest.mark.parametrize("route", ROUTES)
+def test_items_alike_but_for_their_garnishes(spark, route):
+    # Both items give the row (i, G1): they differ only in an array that is no output column.
+    df = documents(spark, ("o", [item("i", ("G1", 1)), item("i", ("G1", 1), ("G2", 1)), item("i", ("G1", 1))]))
+    assert pairs(ops.order_items(df, **route)) == [("i", "G1", 1.0)] * 2 + [("i", "G2", 1.0)]
+
+
+@pytest.mark.parametrize("route", [{}, {"always_join": True}, {"broadcast_ids": 0}])
+def test_documents_of_one_order_count_as_one(spark, route):
+    docs = [("o", [item("a", ("G1", 1))]), ("o", [item("b", ("G1", 2))]), ("p", SHARED), ("p", SHARED), ("q", SHARED), ("o", None)]
+    got = ops.order_items(documents(spark, *docs), **route)
+    assert pairs(got.filter("order_id = 'o'")) == [("a", "G1", 1.0), ("a", "G1", 2.0), ("b", "G1", 1.0), ("b", "G1", 2.0)]
+    assert got.filter("order_id = 'p'").count() == got.filter("order_id = 'q'").count() == 5
+
+
+@pytest.mark.parametrize("route", ROUTES)
+def test_bad_documents(spark, route):
+    df = documents(spark, ("a", "not json"), ("b", None), ("c", []), ("d", [{"name": "x"}]), (None, SHARED))
+    assert ops.order_items(df, **route).count() == 0
+    assert ops.malformed_items(df).count() == 1
+
+
+def test_explode_outer_keeps_orders_without_items(spark):
+    parsed = ops.parse_items(documents(spark, ("a", None), ("b", []), ("c", SHARED)))
+    assert ops.explode_items(parsed).count() == 3
+    assert ops.explode_items(parsed, outer=True).count() == 5
+
+
+def test_details_of_shared_garnish(spark):
+    df = documents(spark, ("o", SHARED), ("o", SHARED))
+    detail = ops.item_detail(df)
+    assert rows(detail.select("name", "garnish_external_id", F.size("garnish_items"))) == [
+        ("i1", "G1", 2), ("i1", "G2", 2), ("i2", "G1", 1),
+    ]
+    assert ops.garnish_detail(df).count() == 3
+
+
+def test_wide_layout(spark):
+    df = documents(spark, ("o", [item("i1", ("G1", 1), addition={"value": "5", "currency": "X"}), item("i2")]))
+    row = ops.items_wide(df).first()
+    assert row.name == ["i1", "i2"] and row.addition == ["5", None] and row.addition_currency == ["X", None]
+    assert row.garnish_items_external_id == [["G1"], []]
+    assert len(row) == 1 + 17 + 15
+
+
+def test_missing_fields_become_null(spark):
+    df = documents(spark, ("o", [{"name": "x", "garnishItems": [{"externalId": "G"}], "other": 1}]))
+    row = ops.order_items(df).first()
+    assert row.garnish_external_id == "G" and row.total_addition is None and row.unit_price_currency is None
+
+
+def test_inferred_schema(spark):
+    df = documents(spark, ("o", SHARED), ("p", [item("z", ("G", 1.5), note=True)]), ("q", "not json"))
+    schema = ops.infer_items_schema(df)
+    names = set(schema.elementType.names)
+    assert names == {"name", "garnishItems", "note"}
+    assert ops.explode_items(ops.parse_items(df, schema)).count() == 4
+
+
+def test_documents_survive_a_round_trip(spark):
+    df = documents(spark, ("o", SHARED))
+    once = ops.parse_items(df)
+    again = once.select("order_id", F.from_json(F.to_json("items"), ITEMS).alias("items"))
+    assert once.collect() == again.collect()
+
+
+# Anonymization and run clock
+
+
+def test_hash_ignores_outer_spaces(spark):
+    df = spark.createDataFrame([(" 1 ",), ("1",), (None,)], "v string")
+    a, b, c = [r.v for r in hash_columns(df, ["v"], "salt").collect()]
+    assert a == b and len(a) == 64 and c is None
+    other = df.select(salted_hash("v", "pepper")).first()[0]
+    assert other != a
+
+
+def test_mask(spark):
+    values = ["12", "3", "998743210", "abc", None, "9" * 30]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    assert [r[0] for r in df.select(mask_linear("v")).collect()] == [30.0, 7.5, 2496858025.0, None, None, None]
+
+
+def test_run_clock(spark):
+    early = dt.datetime(2020, 7, 20, 1, 30, tzinfo=dt.timezone.utc)
+    assert run_day(now=early) == dt.date(2020, 7, 19)
+    assert run_day(days_back=1, now=early) == dt.date(2020, 7, 18)
+    assert run_second(now=early) == "2020-07-19 22:30:00"
+    df = spark.createDataFrame([(early.replace(tzinfo=None),)], "ts timestamp")
+    assert df.select(local_day("ts")).first()[0] == dt.date(2020, 7, 19)
+
+
+# Quality
+
+
+@pytest.mark.parametrize(
+    "actual,previous,passes",
+    [(20, 100, False), (21, 100, True), (0, 1, False), (0, 0, True), (1, 1, True), (5, 3, True)],
+)
+def test_gate(actual, previous, passes):
+    assert ops.passes_gate(actual, previous) is passes
+
+
+def test_gate_is_the_percentage_rule():
+    for previous in range(0, 300):
+        for actual in range(0, 320):
+            refused = previous > actual and 5 * actual <= previous
+            assert ops.passes_gate(actual, previous) is not refused
+
+
+def test_reports(spark):
+    df = spark.createDataFrame([("a", "xx"), ("a", "y"), ("b", None)], "k string, v string")
+    assert rows(ops.profile(df, ["k"], ["v"])) == [(3, 2, 2)]
+    assert rows(ops.duplicate_keys(df, ["k"])) == [("a", 2)]
+    assert rows(ops.distinct_rows(df, ["k"])) == [("a",), ("b",)]
+    assert rows(ops.text_lengths(df, "v")) == [(1, 1, 1), (2, 2, 1), (None, None, 1)]
+    assert rows(ops.preview(df, 2, ["k", "v"])) == [("a", "xx"), ("a", "y")]
