@@ -16,7 +16,7 @@ from daylake.operators.quality import (
     profile,
     text_lengths,
 )
-from daylake.operators.statuses import largest_step, latest_statuses, status_funnel, status_table
+from daylake.operators.statuses import largest_order, latest_statuses, status_funnel, status_table
 
 __all__ = [
     "distinct_rows",
@@ -26,7 +26,7 @@ __all__ = [
     "infer_items_schema",
     "item_detail",
     "items_wide",
-    "largest_step",
+    "largest_order",
     "latest",
     "latest_statuses",
     "malformed_items",

@@ -12,8 +12,10 @@ from daylake.operators.skew import HOT_ROWS, hot_keys, salt_count
 # The status steps in the order of their output columns.
 STEPS = ("REGISTERED", "PLACED", "CONCLUDED", "CANCELLED")
 
-# Entries of one order and step that may be gathered into an array.
+# Status rows of one order that may be gathered into an array.
 GATHER_ROWS = 10_000
+# A whole status table of this many rows needs no look at its orders: one array could hold it.
+SMALL_TABLE = 1_000_000
 
 
 def _entries(status: DataFrame, steps: Sequence[str]) -> DataFrame:
@@ -26,13 +28,10 @@ def _entries(status: DataFrame, steps: Sequence[str]) -> DataFrame:
     )
 
 
-def largest_step(status: DataFrame, steps: Sequence[str] = STEPS) -> int:
-    """Most rows that one order has in one step, by a count over those two columns."""
-    sizes = _entries(status, steps).groupBy("order_id").agg(
-        *[F.count_if(F.col("step") == k).alias(f"n_{k}") for k in range(1, len(steps) + 1)]
-    )
-    each = [F.max(f"n_{k}") for k in range(1, len(steps) + 1)]
-    return max(n or 0 for n in sizes.agg(*each).first())
+def largest_order(status: DataFrame) -> int:
+    """Most status rows that one order has, by a count over the order ids alone."""
+    sizes = status.groupBy("order_id").agg(F.count(F.lit(1)).alias("rows"))
+    return sizes.agg(F.max("rows")).first()[0] or 0
 
 
 def status_table(
@@ -43,6 +42,7 @@ def status_table(
     method: str | None = None,
     largest: int | None = None,
     gather_rows: int = GATHER_ROWS,
+    small_table: int = SMALL_TABLE,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """One row per order and combination of its distinct status entries, one entry per step.
@@ -51,13 +51,16 @@ def status_table(
     null. Entries that repeat a step multiply the rows of the order. With `chained=True` the
     first step must exist and each later step counts only if the one before it was reached.
 
-    Where no order has more than `gather_rows` rows in a step, its entries are gathered in one
-    shuffle and laid out inside the row. Otherwise the orders are joined with the entries of
-    each step, and orders beyond `hot_rows` are cut into pieces. `method` ("gather" or "join")
-    overrides the choice. The size is measured by a job of its own, unless `largest` brings it.
+    Where no order has more than `gather_rows` status rows, they are gathered in one shuffle and
+    laid out inside the row. Otherwise the orders are joined with the entries of each step, and
+    orders beyond `hot_rows` are cut into pieces. `method` ("gather" or "join") overrides the
+    choice. The largest order is measured by a job of its own, unless `largest` brings it or the
+    whole table is no larger than `small_table`.
     """
+    if method is None and largest is None and status.count() <= small_table:
+        method = "gather"
     if method != "gather" and largest is None:
-        largest = largest_step(status, steps)
+        largest = largest_order(status)
     method = method or ("gather" if largest <= gather_rows else "join")
     ids = orders.select("order_id").dropDuplicates()
     entries = _entries(status, steps)
@@ -78,13 +81,18 @@ def _gathered(ids: DataFrame, entries: DataFrame, steps: Sequence[str], chained:
         .groupBy("order_id")
         .agg(F.collect_set(F.struct("step", "at")).alias("entries"))
     )
-    out = ids.join(history, "order_id", "inner" if chained else "left")
-    for k in range(1, len(steps) + 1):
-        of_step = _entries_of(k)
+    places = range(1, len(steps) + 1)
+    # The arrays are columns of their own before the first explode, which keeps the explodes in
+    # generated code.
+    out = ids.join(history, "order_id", "inner" if chained else "left").select(
+        "order_id", *[_entries_of(k).alias(f"entries_{k}") for k in places]
+    )
+    for k in places:
+        of_step = F.col(f"entries_{k}")
         if chained and k > 1:
             of_step = F.when(F.col(f"e_{k - 1}").isNotNull(), of_step)
         generator = F.explode if chained and k == 1 else F.explode_outer
-        out = out.withColumn(f"e_{k}", generator(of_step))
+        out = out.withColumn(f"e_{k}", generator(of_step)).drop(f"entries_{k}")
     return out
 
 

@@ -72,7 +72,8 @@ def test_hot_order_is_cut_into_pieces(spark, hot_step, chained):
     for options in (
         {"method": "join", "hot_rows": 100},
         {"method": "join"},
-        {"gather_rows": 100, "hot_rows": 100},
+        {"small_table": 0, "gather_rows": 100, "hot_rows": 100},
+        {"small_table": 0},
         {},
     ):
         got = ops.status_table(orders, status, chained=chained, **options)
@@ -81,12 +82,12 @@ def test_hot_order_is_cut_into_pieces(spark, hot_step, chained):
 
 def test_no_task_gets_the_hot_order_whole(spark):
     status = history(spark, "PLACED")
-    assert ops.largest_step(status) == 1801
+    assert ops.largest_order(status) == 1803
     orders = spark.range(120).select(F.col("id").alias("order_id"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
     try:
-        got = ops.status_table(orders, status, gather_rows=100, hot_rows=100)
+        got = ops.status_table(orders, status, small_table=0, gather_rows=100, hot_rows=100)
         per_task = got.filter("order_id = 1").groupBy(F.spark_partition_id()).count().collect()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
