@@ -1,8 +1,9 @@
 """Times each rewritten operator against its literal composition, on the same model tables.
 
 Runs twice: with joins as Spark plans them, where the small tables are broadcast, and with
-broadcasts off, which is how tables beyond the broadcast threshold are joined. The model tables (order, consumer, restaurant, status, cart) are written once to the shared work
-folder, so that neither form pays for deriving them. Prints one JSON line per pair.
+broadcasts off, which is how tables beyond the broadcast threshold are joined. The model tables
+(order, consumer, restaurant, status, cart) are written once to the shared work folder, so that
+neither form pays for deriving them. Prints one JSON line per pair.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from daylake import operators as ops
 from daylake import plans, sources
 from daylake.functions import hash_columns, mask_linear
 from daylake.operators import nested
+from daylake.operators.statuses import STEPS
 from driver_queries import RUN_DATE, SALT
 
 WARM_UPS = 3
@@ -36,11 +38,15 @@ def masked_by_row(number):
 def literal_statuses(m) -> DataFrame:
     """One left join per step on a filtered scan, then distinct over the wide rows."""
     out = m["order"].select("order_id")
-    for k, name in enumerate(ops.statuses.STEPS, 1):
+    for k, name in enumerate(STEPS, 1):
         of_step = (
             m["status"]
             .filter(F.col("status_value") == name)
-            .select("order_id", F.col("status_value").alias(f"status_{k}"), F.col("status_created_at").alias(f"status_created_at_{k}"))
+            .select(
+                "order_id",
+                F.col("status_value").alias(f"status_{k}"),
+                F.col("status_created_at").alias(f"status_created_at_{k}"),
+            )
         )
         out = out.join(of_step, "order_id", "left")
     return out.dropDuplicates()
@@ -48,8 +54,10 @@ def literal_statuses(m) -> DataFrame:
 
 def literal_trusted_order(m) -> DataFrame:
     """Distinct before the rank, every join before the choice, and a row UDF for the mask."""
-    consumers = m["consumer"].withColumn("customer_phone_number", masked_by_row("customer_phone_number"))
-    full = plans.orders_with_merchants(plans.orders_with_consumers(m["order"], consumers), m["restaurant"])
+    masked = masked_by_row("customer_phone_number")
+    consumers = m["consumer"].withColumn("customer_phone_number", masked)
+    full = plans.orders_with_consumers(m["order"], consumers)
+    full = plans.orders_with_merchants(full, m["restaurant"])
     chosen = ops.latest(full.dropDuplicates(), "customer_id", "order_created_at", ["order_id"])
     last = ops.latest(m["status"].dropDuplicates(), "order_id", "status_created_at", ["status_value"])
     return hash_columns(chosen.join(last, "order_id"), ["cpf"], SALT)
@@ -60,7 +68,12 @@ def literal_order_items(m) -> DataFrame:
     rows = (
         ops.parse_items(m["cart"])
         .select("order_id", F.explode("items").alias("item"))
-        .select("order_id", *nested._item_columns(), F.explode("item.garnishItems.externalId").alias("garnish_external_id"), F.col("item.garnishItems").alias("garnishes"))
+        .select(
+            "order_id",
+            *nested._item_columns(),
+            F.explode("item.garnishItems.externalId").alias("garnish_external_id"),
+            F.col("item.garnishItems").alias("garnishes"),
+        )
         .dropDuplicates()
     )
     garnishes = (
@@ -73,12 +86,12 @@ def literal_order_items(m) -> DataFrame:
 
 def literal_gated_write(df: DataFrame, path: str) -> None:
     """Count, compare, and run the plan again to write it."""
-    previous = spark_count(df, path)
+    previous = previous_count(df, path)
     if ops.passes_gate(df.count(), previous):
         sources.write_day(df, path, RUN_DATE, "partition", files=30)
 
 
-def spark_count(df: DataFrame, path: str) -> int:
+def previous_count(df: DataFrame, path: str) -> int:
     return df.sparkSession.read.parquet(f"{path}/partition={DAY_BEFORE}").count()
 
 
@@ -88,14 +101,24 @@ def main() -> None:
     spark = session(os.environ.get("BENCH_CPUS", "8"))
     base = f"{sources.work_dir(spark)}/baseline/{uuid.uuid4().hex}"
     model = {}
-    for name, build in (("order", t.orders), ("consumer", t.consumers), ("restaurant", t.merchants), ("status", t.status), ("cart", t.carts)):
+    builders = {
+        "order": t.orders,
+        "consumer": t.consumers,
+        "restaurant": t.merchants,
+        "status": t.status,
+        "cart": t.carts,
+    }
+    for name, build in builders.items():
         build(spark, sf_dir).repartition(8).write.parquet(f"{base}/{name}")
         model[name] = spark.read.parquet(f"{base}/{name}")
     m = model
 
     def trusted():
-        consumers = m["consumer"].withColumn("customer_phone_number", mask_linear("customer_phone_number"))
-        return plans.trusted_order(m["order"], consumers, m["restaurant"], m["status"], RUN_DATE, SALT)
+        masked = mask_linear("customer_phone_number")
+        consumers = m["consumer"].withColumn("customer_phone_number", masked)
+        return plans.trusted_order(
+            m["order"], consumers, m["restaurant"], m["status"], RUN_DATE, SALT
+        )
 
     gated = {form: f"{base}/{form}/order" for form in ("literal", "rewritten")}
     for path in gated.values():

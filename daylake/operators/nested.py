@@ -190,9 +190,10 @@ def order_items(
     those that hang on another item; `per_item=True` keeps to the item's own garnishes. Orders
     may repeat, with equal or different documents: all of an order's documents count as one.
 
-    An order with one document is matched inside its row, without a shuffle. Orders that repeat
-    are found first by a count over the ids alone, and matched by a join. The count is a job of
-    its own; a caller who knows that the ids are unique says so and saves it.
+    An order with one document is matched inside its row, without a shuffle; that work grows with
+    the square of the garnishes in the document. Orders that repeat are found first by a count
+    over the ids alone, and matched by a join. The count is a job of its own; a caller who knows
+    that the ids are unique says so and saves it.
     """
     docs = orders.select("order_id", "items").filter("order_id IS NOT NULL")
     if always_join:

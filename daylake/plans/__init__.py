@@ -1,5 +1,15 @@
-from daylake.plans.jobs import ingest, refresh_order_items, refresh_order_statuses, refresh_orders, refresh_trusted
-from daylake.plans.trusted_order import orders_with_consumers, orders_with_merchants, trusted_order
+from daylake.plans.jobs import (
+    ingest,
+    refresh_order_items,
+    refresh_order_statuses,
+    refresh_orders,
+    refresh_trusted,
+)
+from daylake.plans.trusted_order import (
+    orders_with_consumers,
+    orders_with_merchants,
+    trusted_order,
+)
 
 __all__ = [
     "ingest",

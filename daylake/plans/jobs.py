@@ -43,7 +43,7 @@ def refresh_orders(
     zones: Mapping[str, str],
     run_date: dt.date,
     salt: str,
-    files: int | None = None,
+    files: int | str | None = None,
     **options,
 ) -> GateResult:
     """Trusted `order` from the raw day of the run. Options go to `trusted_order`."""
@@ -68,7 +68,7 @@ def refresh_order_items(
     run_date: dt.date,
     day: dt.date | None = None,
     per_item: bool = False,
-    files: int | None = None,
+    files: int | str | None = None,
 ) -> GateResult:
     """Trusted `order_items` from every trusted day, or from one."""
     orders = readers.scan(spark, zone_path(zones, TRUSTED, "order"), day)
@@ -82,7 +82,7 @@ def refresh_order_statuses(
     run_date: dt.date,
     day: dt.date | None = None,
     latest_only: bool = False,
-    files: int | None = None,
+    files: int | str | None = None,
 ) -> GateResult:
     """Trusted `order_statuses` from every trusted day, or from one, and the raw status of the run."""
     orders = readers.scan(spark, zone_path(zones, TRUSTED, "order"), day)

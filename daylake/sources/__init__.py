@@ -8,10 +8,11 @@ from daylake.sources.readers import (
     read_source,
     scan,
 )
-from daylake.sources.writers import GateResult, stamp, write_by_day, write_day, write_flat, write_gated
+from daylake.sources.writers import AUTO, GateResult, stamp, write_by_day, write_day, write_flat, write_gated
 from daylake.sources.zones import work_dir, zone_path
 
 __all__ = [
+    "AUTO",
     "GateResult",
     "file_inventory",
     "latest_day_before",

@@ -30,13 +30,19 @@ def stamp(df: DataFrame, run_date: dt.date, column: str = DAY) -> DataFrame:
     return df.withColumn(column, F.lit(run_date))
 
 
-def _sized(df: DataFrame, files: int | None) -> DataFrame:
-    # A fixed file count is for small tables: it also fixes the number of writing tasks.
+AUTO = "auto"
+
+
+def _sized(df: DataFrame, files: int | str | None) -> DataFrame:
+    # A fixed file count is for small tables: it also fixes the number of writing tasks. With
+    # AUTO the rows are rebalanced into files of the session's advisory partition size.
+    if files == AUTO:
+        return df.hint("rebalance")
     return df if files is None else df.repartition(files)
 
 
 def write_day(
-    df: DataFrame, path: str, run_date: dt.date, column: str = RAW_DAY, files: int | None = None
+    df: DataFrame, path: str, run_date: dt.date, column: str = RAW_DAY, files: int | str | None = None
 ) -> None:
     """Write `df` as one day of the table at `path`, replacing that day only."""
     (
@@ -64,7 +70,7 @@ def write_by_day(df: DataFrame, path: str, day: Column, column: str = DAY) -> No
     )
 
 
-def write_flat(df: DataFrame, path: str, files: int | None = None) -> None:
+def write_flat(df: DataFrame, path: str, files: int | str | None = None) -> None:
     """Replace an unpartitioned table."""
     _sized(df, files).write.mode("overwrite").parquet(path)
 
@@ -73,7 +79,7 @@ def write_gated(
     df: DataFrame,
     path: str,
     run_date: dt.date,
-    files: int | None = None,
+    files: int | str | None = None,
     max_drop_percent: int = MAX_DROP_PERCENT,
 ) -> GateResult:
     """Write a day of the table at `path` unless its row count fell too far.

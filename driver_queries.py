@@ -57,23 +57,35 @@ def raw_ingest(spark, sf_dir):
         sources.scan(spark, path, RUN_DATE, "partition_column")
         for path in plans.ingest(spark, zones, manifest, RUN_DATE)
     )
-    rows = [
-        customer.select(F.lit("customer").alias("dataset"), F.col("c_custkey").alias("id"), F.col("c_name").alias("label"), "partition_column"),
-        events.select(F.lit("events").alias("dataset"), F.col("event_id").alias("id"), F.col("event_type").alias("label"), "partition_column"),
-    ]
-    return rows[0].union(rows[1])
+
+    def labelled(df: DataFrame, dataset: str, key: str, label: str) -> DataFrame:
+        return df.select(
+            F.lit(dataset).alias("dataset"),
+            F.col(key).alias("id"),
+            F.col(label).alias("label"),
+            "partition_column",
+        )
+
+    return labelled(customer, "customer", "c_custkey", "c_name").union(
+        labelled(events, "events", "event_id", "event_type")
+    )
 
 
 def parquet_unpartitioned(spark, sf_dir):
     path = _fresh(spark, "part")
-    sources.write_flat(t.table(spark, sf_dir, "part"), path, files=4)
+    sources.write_flat(t.table(spark, sf_dir, "part"), path, files=sources.AUTO)
     return spark.read.parquet(path)
 
 
+def _raw_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return t.status(spark, sf_dir).withColumnsRenamed(
+        {"status_created_at": "created_at", "status_value": "value"}
+    )
+
+
 def raw_scan_renamed(spark, sf_dir):
     path = _fresh(spark, "status")
-    raw = t.status(spark, sf_dir).withColumnsRenamed({"status_created_at": "created_at", "status_value": "value"})
-    sources.write_day(raw, path, RUN_DATE)
+    sources.write_day(_raw_status(spark, sf_dir), path, RUN_DATE)
     return sources.raw_status(spark, path, RUN_DATE)
 
 
@@ -262,7 +274,9 @@ def items_wide(spark, sf_dir):
         listed(F.flatten("garnish_items_name")).alias("garnish_names"),
         listed(F.flatten("garnish_items_external_id")).alias("garnish_ids"),
         listed(F.flatten("garnish_items_total_value")).alias("garnish_values"),
-        F.aggregate(F.flatten("garnish_items_quantity"), F.lit(0.0), lambda a, b: a + b).alias("garnish_quantity"),
+        F.aggregate(F.flatten("garnish_items_quantity"), F.lit(0.0), lambda a, b: a + b).alias(
+            "garnish_quantity"
+        ),
     )
 
 
@@ -303,10 +317,9 @@ def trusted_lake(spark, sf_dir):
     # A raw order carries one document; of an order delivered in pieces that is the first.
     carts = t.cart_pieces(spark, sf_dir).filter("piece = 0").drop("piece")
     orders = t.orders(spark, sf_dir).join(carts, "order_id", "left")
-    status = t.status(spark, sf_dir).withColumnsRenamed({"status_created_at": "created_at", "status_value": "value"})
     for name, df in (
         ("order", orders),
-        ("status", status),
+        ("status", _raw_status(spark, sf_dir)),
         ("consumer", t.consumers(spark, sf_dir)),
         ("restaurant", t.merchants(spark, sf_dir)),
     ):

@@ -33,7 +33,9 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("o_custkey").alias("customer_id"),
             "merchant_id",
             F.col("o_orderdate").alias("order_created_at"),
-            F.concat(F.lit(" "), F.lpad(F.col("o_custkey").cast("string"), 11, "0"), F.lit(" ")).alias("cpf"),
+            F.concat(
+                F.lit(" "), F.lpad(F.col("o_custkey").cast("string"), 11, "0"), F.lit(" ")
+            ).alias("cpf"),
             "o_totalprice",
         )
     )
@@ -48,7 +50,9 @@ def consumers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), "s_name", "s_nationkey")
+    return table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("id"), "s_name", "s_nationkey"
+    )
 
 
 def status(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,8 +7,8 @@ import gzip
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
-from compare import spark_rows
 from daylake import plans, sources
 from daylake.sources.readers import count_day
 from daylake.sources.zones import work_dir
@@ -54,6 +54,9 @@ def test_flat_table_and_file_count(spark, tmp_path):
     sources.write_flat(spark.range(100), path, files=3)
     assert spark.read.parquet(path).count() == 100
     assert len(list((tmp_path / "t").glob("*.parquet"))) == 3
+    sources.write_flat(spark.range(100).repartition(7), path, files=sources.AUTO)
+    assert spark.read.parquet(path).count() == 100
+    assert len(list((tmp_path / "t").glob("*.parquet"))) == 1
 
 
 def test_gate_without_a_previous_day(spark, tmp_path):
@@ -174,3 +177,20 @@ def test_jobs_end_to_end(spark, lake):
     assert dict(map(tuple, days.collect())) == {D2: 10, D3: 10}
     assert plans.refresh_order_items(spark, lake, D3, day=D3, per_item=True).actual == 6
     assert plans.refresh_order_statuses(spark, lake, D3, latest_only=True).actual == 2
+
+
+def test_trusted_orders_by_the_day_of_the_merchant(spark, lake):
+    plans.ingest(spark, lake, MANIFEST, D2)
+    raw = {n: f"{lake['raw']}/{n}" for n, _ in MANIFEST}
+    df = plans.trusted_order(
+        sources.raw_orders(spark, raw["order"], D2),
+        sources.raw_consumers(spark, raw["consumer"], D2),
+        sources.raw_merchants(spark, raw["restaurant"], D2),
+        sources.raw_status(spark, raw["status"], D2),
+        D2,
+        "salt",
+    )
+    path = f"{lake['trusted']}/by_merchant_day"
+    sources.write_by_day(df, path, F.to_date("restaurant_created_at"), "restaurant_partition")
+    got = spark.read.parquet(path).groupBy("restaurant_partition").count().collect()
+    assert [tuple(r) for r in got] == [(dt.date(2020, 7, 1), 2)]

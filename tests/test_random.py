@@ -1,0 +1,104 @@
+"""Random small tables against a plain-Python reading of each rule."""
+
+from __future__ import annotations
+
+import json
+import random
+from collections import Counter, defaultdict
+from itertools import product
+
+import pytest
+
+from daylake import operators as ops
+
+
+def random_documents(seed: int):
+    rng = random.Random(seed)
+    docs = []
+    for order in range(40):
+        for _ in range(rng.choice([1, 1, 1, 2, 3])):
+            items = [
+                {
+                    "name": rng.choice("ab"),
+                    "garnishItems": [
+                        {"externalId": rng.choice(["G1", "G2", "G3", None]), "quantity": float(rng.randint(1, 2))}
+                        for _ in range(rng.randint(0, 3))
+                    ],
+                }
+                for _ in range(rng.randint(0, 4))
+            ]
+            docs.append((order, items))
+            if rng.random() < 0.3:
+                docs.append((order, items))
+    return docs
+
+
+def expected_pairs(docs, per_item: bool) -> Counter:
+    items, garnishes = defaultdict(set), defaultdict(set)
+    for order, doc in docs:
+        for item in doc:
+            own = tuple((g["externalId"], g["quantity"]) for g in item["garnishItems"])
+            items[order].add((item["name"], own))
+            garnishes[order].update(own)
+    out = Counter()
+    for order, distinct in items.items():
+        for name, own in distinct:
+            ids = {i for i, _ in own} - {None}
+            pool = set(own) if per_item else garnishes[order]
+            out.update((order, name, i, q) for i, q in pool if i in ids)
+    return out
+
+
+@pytest.mark.parametrize("per_item", [False, True])
+@pytest.mark.parametrize("route", [{}, {"always_join": True}, {"broadcast_ids": 0}])
+def test_order_items(spark, route, per_item):
+    docs = random_documents(7)
+    df = spark.createDataFrame([(o, json.dumps(d)) for o, d in docs], "order_id int, items string")
+    got = ops.order_items(df, per_item, **route).select("order_id", "name", "garnish_external_id", "garnish_quantity")
+    assert Counter(map(tuple, got.collect())) == expected_pairs(docs, per_item)
+
+
+@pytest.mark.parametrize("chained", [False, True])
+@pytest.mark.parametrize("options", [{"method": "gather"}, {"method": "join"}, {"method": "join", "hot_rows": 1}])
+def test_status_table(spark, options, chained):
+    rng = random.Random(11)
+    steps = ("A", "B", "C")
+    history = [
+        (rng.randrange(30), rng.choice("ABCX"), rng.choice([None, 1, 2, 3]))
+        for _ in range(150)
+    ]
+    orders = [rng.randrange(35) for _ in range(60)]
+    entries = defaultdict(set)
+    for order, step, at in history:
+        entries[order, step].add((step, at))
+    expected = set()
+    for order in set(orders):
+        options_per_step = [sorted(entries[order, s], key=str) or [(None, None)] for s in steps]
+        if chained:
+            if not entries[order, "A"]:
+                continue
+            if not entries[order, "B"]:
+                options_per_step[2] = [(None, None)]
+        expected.update((order, *sum(row, ())) for row in product(*options_per_step))
+    got = ops.status_table(
+        spark.createDataFrame([(o,) for o in orders], "order_id int"),
+        spark.createDataFrame(history, "order_id int, status_value string, status_created_at int"),
+        steps,
+        chained,
+        **options,
+    ).collect()
+    assert len(got) == len(expected) and set(map(tuple, got)) == expected
+
+
+def test_latest_is_one_row_per_key_and_idempotent(spark):
+    rng = random.Random(3)
+    data = [(rng.randrange(20), rng.choice([None, 1, 2, 3]), rng.randrange(5)) for _ in range(200)]
+    df = spark.createDataFrame(data, "k int, t int, v int")
+    best = {}
+    for k, t, v in data:
+        rank = (-1 if t is None else t, v)
+        best[k] = max(best.get(k, rank), rank)
+    once = ops.latest(df, "k", "t", ["v"])
+    rows = {r.k: (-1 if r.t is None else r.t, r.v) for r in once.collect()}
+    assert rows == best and once.count() == len(best)
+    assert sorted(ops.latest(once, "k", "t", ["v"]).collect(), key=str) == sorted(once.collect(), key=str)
