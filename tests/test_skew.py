@@ -93,3 +93,17 @@ def test_no_task_gets_the_hot_order_whole(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert len(per_task) > 1
+
+
+def test_all_steps_share_one_shuffle_of_the_status_table(spark, tmp_path):
+    path = str(tmp_path / "status")
+    history(spark, "PLACED").write.parquet(path)
+    orders = spark.range(120).select(F.col("id").alias("order_id"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        got = ops.status_table(orders, spark.read.parquet(path), method="join", largest=1)
+        got.collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    final = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet") == 1 and final.count("ReusedExchange") == 3
