@@ -5,10 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daylake.llm import decontaminate, pii, secrets, simhash
+from daylake.llm import decontaminate, langid, packing, pii, quality, secrets, simhash, warc
 from daylake.llm.common import table
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """Where the installed public vocabulary files have `name`."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages")).drop("payload")
+
+
 def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return secrets.scan(docs, secrets.train(docs))
@@ -22,10 +33,48 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), tokenizer_path()).drop("ids")
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.identified(docs, langid.fit_model(langid.sample(docs)))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_secret_scans, op3_pii, op4_decontamination, op10_simhash)}
-ORACLE: dict[str, str] = {}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_warc,
+        op2_secret_scans,
+        op3_pii,
+        op4_decontamination,
+        op6_quality_rules,
+        op8_packing,
+        op9_language_id,
+        op10_simhash,
+    )
+}
+#: A page's record as SQL has it: digests and the choice of the stored copy.
+ORACLE = {
+    "op1_warc": """
+with p as (
+  select page_id, url, coalesce(html, '') as html, strlen(coalesce(html, '')) as payload_bytes from pages
+), s as (
+  select html, max(page_id) as first from p where payload_bytes >= 1000 group by html
+)
+select p.page_id, p.url, p.payload_bytes, sha1(p.html) as payload_digest,
+  case when s.first is not null and p.page_id <> s.first then 'revisit' else 'response' end as record_type,
+  case when s.first is not null and p.page_id <> s.first then s.first end as refers_to
+from p left join s on p.html = s.html
+"""
+}
