@@ -185,12 +185,13 @@ def identified(docs: DataFrame, model: Model) -> DataFrame:
     )
 
 
-def accepted(text: Column, model: Model, least: float) -> Column:
-    """Whether a language is found with a score of at least `least`."""
+def accepted(docs: DataFrame, model: Model, least: float) -> DataFrame:
+    """The rows of `docs` whose language is found with a score of at least `least`; all columns stay."""
+    workers_import(docs.sparkSession)
 
     def scored(texts: pd.Series) -> pd.Series:
-        texts = [t if isinstance(t, str) else None for t in texts]
-        return pd.Series([lang != UNDETERMINED and score >= least for lang, score in model.predict(texts)], dtype=bool)
+        predicted = model.predict([t if isinstance(t, str) else None for t in texts])
+        return pd.Series([lang != UNDETERMINED and score >= least for lang, score in predicted], dtype=bool)
 
     scored.__annotations__ = {"texts": pd.Series, "return": pd.Series}
-    return F.pandas_udf(scored, T.BooleanType())(text)
+    return docs.where(F.pandas_udf(scored, T.BooleanType())(F.col("text")))

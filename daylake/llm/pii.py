@@ -12,11 +12,11 @@ import hashlib
 import re
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-import pandas as pd
 
 from daylake.llm.common import batch, workers_import
 
@@ -211,6 +211,8 @@ def _masked(texts: pd.Series) -> pd.Series:
     return pd.Series([None if t is None else mask(t) for t in texts], dtype=object)
 
 
-def masked(text: Column) -> Column:
-    """`text` with personal data replaced by the kind in brackets; null stays null."""
-    return _masked(text)
+def masked(docs: DataFrame, text: str = "text") -> DataFrame:
+    """`docs` with personal data in `text` replaced by the kind in brackets; null stays null and all
+    other columns stay as they are."""
+    workers_import(docs.sparkSession)
+    return docs.withColumn(text, _masked(F.col(text)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daylake.llm import decontaminate, langid, packing, pii, quality, secrets, simhash, warc
+from daylake.llm import decontaminate, html, langid, lm, packing, pii, quality, secrets, simhash, warc
 from daylake.llm.common import table
 
 
@@ -33,10 +33,18 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scored_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extracted(table(spark, sf_dir, "pages"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), tokenizer_path()).drop("ids")
 
@@ -58,7 +66,9 @@ QUERIES = {
         op2_secret_scans,
         op3_pii,
         op4_decontamination,
+        op5_lm_scoring,
         op6_quality_rules,
+        op7_html_extraction,
         op8_packing,
         op9_language_id,
         op10_simhash,
