@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -13,17 +13,25 @@ def latest(
 ) -> DataFrame:
     """The row of each key with the greatest `newest`, nulls last.
 
-    `tie_break` names the columns that decide between rows of the same time, greatest first, so
-    that the winner is the same on every run. Spark plans the rank filter as a group limit on
+    `tie_break` names the columns that decide between rows of the same time, greatest first. All
+    other columns follow it, so the order is total and the winner the same on every run. Spark plans the rank filter as a group limit on
     both sides of the shuffle: a task sends at most one row per key, however hot the key is.
     Exact copies need no prior `distinct`, since only one of them can rank first.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    order = [F.col(c).desc_nulls_last() for c in (newest, *tie_break)]
+    named = [*keys, newest, *tie_break]
+    rest = [c for c in df.columns if c not in named]
+    order = [_orderable(df, c).desc_nulls_last() for c in (newest, *tie_break, *rest)]
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 
 
+def _orderable(df: DataFrame, column: str) -> Column:
+    # Maps cannot be compared, also within other types; their JSON can.
+    kind = df.schema[column].dataType.simpleString()
+    return F.to_json(F.struct(column)) if "map<" in kind or kind == "variant" else F.col(column)
+
+
 def one_per_key(df: DataFrame, key: str, newest: str | None = None) -> DataFrame:
     """`latest` with every other column as the tie-break, for dimensions that may repeat a key."""
     rest = [c for c in df.columns if c not in (key, newest)]

@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 
 # A key is hot when it holds more than 1/HOT_SHARE of all rows, so there are fewer than
 # HOT_SHARE hot keys whatever the data: the bound that makes broadcasting them safe.
-HOT_SHARE = 10_000
+HOT_SHARE = 1_000_000
 # Below this many rows a key is never worth splitting.
 HOT_ROWS = 100_000
-MAX_SALTS = 4_096
 
 
 def hot_keys(counts: DataFrame, rows: str, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -21,4 +20,4 @@ def hot_keys(counts: DataFrame, rows: str, hot_rows: int = HOT_ROWS) -> DataFram
 
 def salt_count(rows: Column, hot_rows: int = HOT_ROWS) -> Column:
     """Number of pieces to cut a hot key into."""
-    return F.least(F.ceil(rows / F.lit(hot_rows)), F.lit(MAX_SALTS)).cast("int")
+    return F.ceil(rows / F.lit(hot_rows)).cast("int")

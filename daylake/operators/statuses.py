@@ -12,12 +12,6 @@ from daylake.operators.skew import HOT_ROWS, hot_keys, salt_count
 # The status steps in the order of their output columns.
 STEPS = ("REGISTERED", "PLACED", "CONCLUDED", "CANCELLED")
 
-# Status rows of one order that may be gathered into an array.
-GATHER_ROWS = 10_000
-# A whole status table of this many rows needs no look at its orders: one array could hold it.
-SMALL_TABLE = 1_000_000
-
-
 def _entries(status: DataFrame, steps: Sequence[str]) -> DataFrame:
     """Status rows of the steps, each step as its place in the list."""
     step = F.lit(None).cast("int")
@@ -28,21 +22,12 @@ def _entries(status: DataFrame, steps: Sequence[str]) -> DataFrame:
     )
 
 
-def largest_order(status: DataFrame) -> int:
-    """Most status rows that one order has, by a count over the order ids alone."""
-    sizes = status.groupBy("order_id").agg(F.count(F.lit(1)).alias("rows"))
-    return sizes.agg(F.max("rows")).first()[0] or 0
-
-
 def status_table(
     orders: DataFrame,
     status: DataFrame,
     steps: Sequence[str] = STEPS,
     chained: bool = False,
-    method: str | None = None,
-    largest: int | None = None,
-    gather_rows: int = GATHER_ROWS,
-    small_table: int = SMALL_TABLE,
+    gather: bool = True,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """One row per order and combination of its distinct status entries, one entry per step.
@@ -51,23 +36,28 @@ def status_table(
     null. Entries that repeat a step multiply the rows of the order. With `chained=True` the
     first step must exist and each later step counts only if the one before it was reached.
 
-    Where no order has more than `gather_rows` status rows, they are gathered in one shuffle and
-    laid out inside the row. Otherwise the orders are joined with the entries of each step, and
-    orders beyond `hot_rows` are cut into pieces. `method` ("gather" or "join") overrides the
-    choice. The largest order is measured by a job of its own, unless `largest` brings it or the
-    whole table is no larger than `small_table`.
+    Orders with more than `hot_rows` entries of a step, and more than a millionth of all entries,
+    are found within the plan. They are joined with the entries of each step and cut into pieces.
+    All other orders are gathered and laid out inside the row, or joined as well if `gather` is
+    off. No job runs while the plan is built.
     """
-    if method is None and largest is None and status.count() <= small_table:
-        method = "gather"
-    if method != "gather" and largest is None:
-        largest = largest_order(status)
-    method = method or ("gather" if largest <= gather_rows else "join")
     ids = orders.select("order_id").dropDuplicates()
     entries = _entries(status, steps)
-    if method == "gather":
-        laid_out = _gathered(ids, entries, steps, chained)
-    else:
-        laid_out = _joined(ids, entries, steps, chained, hot_rows if largest > hot_rows else None)
+    distinct = _distinct(entries)
+    hot = F.broadcast(_hot_orders(distinct, len(steps), chained, hot_rows))
+    if not gather:
+        return _named(_joined(ids, distinct, steps, chained, hot), steps)
+    key = hot.select("order_id")
+    ordinary = _gathered(
+        ids.join(key, "order_id", "left_anti"), entries.join(key, "order_id", "left_anti"), steps, chained
+    )
+    cut = _joined(
+        ids.join(key, "order_id", "left_semi"), distinct.join(key, "order_id", "left_semi"), steps, chained, hot
+    )
+    return _named(ordinary, steps).unionByName(_named(cut, steps))
+
+
+def _named(laid_out: DataFrame, steps: Sequence[str]) -> DataFrame:
     columns = ["order_id"]
     for k, name in enumerate(steps, 1):
         columns.append(F.when(F.col(f"e_{k}").isNotNull(), F.lit(name)).alias(f"status_{k}"))
@@ -75,12 +65,19 @@ def status_table(
     return laid_out.select(*columns)
 
 
-def _gathered(ids: DataFrame, entries: DataFrame, steps: Sequence[str], chained: bool) -> DataFrame:
-    history = (
-        entries.repartition("order_id")
-        .groupBy("order_id")
-        .agg(F.collect_set(F.struct("step", "at")).alias("entries"))
+def _distinct(entries: DataFrame) -> DataFrame:
+    # `present` is an aggregate result: a filter on it stays above the shuffle, which all steps
+    # then share.
+    return (
+        entries.groupBy("order_id", "step", "at")
+        .agg(F.max("step").alias("present"))
+        .select("order_id", F.col("present").alias("step"), "at")
     )
+
+
+def _gathered(ids: DataFrame, entries: DataFrame, steps: Sequence[str], chained: bool) -> DataFrame:
+    # A set is formed before the shuffle already, so copies of an entry do not travel.
+    history = entries.groupBy("order_id").agg(F.collect_set(F.struct("step", "at")).alias("entries"))
     places = range(1, len(steps) + 1)
     # The arrays are columns of their own before the first explode, which keeps the explodes in
     # generated code.
@@ -123,27 +120,17 @@ def _hot_orders(entries: DataFrame, steps: int, chained: bool, hot_rows: int) ->
 
 
 def _joined(
-    ids: DataFrame, entries: DataFrame, steps: Sequence[str], chained: bool, hot_rows: int | None
+    ids: DataFrame, entries: DataFrame, steps: Sequence[str], chained: bool, hot: DataFrame
 ) -> DataFrame:
-    # Distinct before the joins, so the joined rows are distinct as they are. `present` is an
-    # aggregate result: a filter on it stays above the shuffle, which all steps then share.
-    entries = (
-        entries.groupBy("order_id", "step", "at")
-        .agg(F.max("step").alias("present"))
-        .select("order_id", F.col("present").alias("step"), "at")
-    )
-    keys = ["order_id"]
-    if hot_rows is not None:
-        keys.append("piece")
-        hot = F.broadcast(_hot_orders(entries, len(steps), chained, hot_rows))
-        every_piece = F.sequence(F.lit(0), F.coalesce("pieces", F.lit(1)) - 1)
-        own_piece = F.array(F.pmod(F.xxhash64("at"), F.col("pieces")).cast("int"))
-        # Entries of the split step are spread over the pieces; the order and its other entries
-        # are repeated in each.
-        piece = F.when(F.col("split") == F.col("step"), own_piece).otherwise(every_piece)
-        entries = entries.join(hot, "order_id", "left").withColumn("piece", F.explode(piece))
-        ids = ids.join(hot, "order_id", "left").withColumn("piece", F.explode(every_piece))
-    out = ids
+    """Orders joined with the entries of each step. `entries` are distinct, so the rows are as well."""
+    keys = ["order_id", "piece"]
+    every_piece = F.sequence(F.lit(0), F.coalesce("pieces", F.lit(1)) - 1)
+    own_piece = F.array(F.pmod(F.xxhash64("at"), F.col("pieces")).cast("int"))
+    # Entries of the split step are spread over the pieces; the order and its other entries are
+    # repeated in each.
+    piece = F.when(F.col("split") == F.col("step"), own_piece).otherwise(every_piece)
+    entries = entries.join(hot, "order_id", "left").withColumn("piece", F.explode(piece))
+    out = ids.join(hot, "order_id", "left").withColumn("piece", F.explode(every_piece))
     for k in range(1, len(steps) + 1):
         of_step = entries.filter(F.col("step") == k).select(*keys, F.struct("at").alias(f"e_{k}"))
         if chained and k > 1:
@@ -155,10 +142,9 @@ def _joined(
             out = left.join(right, on, "left").select("l.*", f"e_{k}")
         else:
             out = out.join(of_step, keys, "inner" if chained else "left")
-        if hot_rows is not None:
-            # A piece that received no entry of the split step holds no row of the result.
-            whole = F.coalesce(F.col("split") != k, F.lit(True))
-            out = out.filter(whole | F.col(f"e_{k}").isNotNull())
+        # A piece that received no entry of the split step holds no row of the result.
+        whole = F.coalesce(F.col("split") != k, F.lit(True))
+        out = out.filter(whole | F.col(f"e_{k}").isNotNull())
     return out
 
 

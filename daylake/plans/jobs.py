@@ -27,13 +27,18 @@ def ingest(
     manifest: Iterable[tuple[str, str] | tuple[str, str, StructType | None]],
     run_date: dt.date,
 ) -> list[str]:
-    """Copy each `(dataset, format[, schema])` from the source zone into its raw day."""
+    """Copy each `(dataset, format[, schema])` from the source zone into its raw day.
+
+    A JSON dataset without a schema is read twice, the first time to infer one.
+    """
     written = []
     for name, fmt, *schema in manifest:
         source = zone_path(zones, SOURCE, name, fmt)
         target = zone_path(zones, RAW, name)
         log.info("ingest %s as %s", source, fmt)
-        write_day(readers.read_source(spark, source, fmt, *schema), target, run_date)
+        declared = schema[0] if schema else None
+        infer = fmt == "json" and declared is None
+        write_day(readers.read_source(spark, source, fmt, declared, infer), target, run_date)
         written.append(target)
     return written
 
@@ -44,11 +49,13 @@ def refresh_orders(
     run_date: dt.date,
     salt: str,
     files: int | str | None = None,
+    all_raw_days: bool = False,
     **options,
 ) -> GateResult:
-    """Trusted `order` from the raw day of the run. Options go to `trusted_order`."""
+    """Trusted `order` from the raw day of the run, or from all raw days where each day brings
+    only what is new. Options go to `trusted_order`."""
     raw = {
-        name: read(spark, zone_path(zones, RAW, name), run_date)
+        name: read(spark, zone_path(zones, RAW, name), None if all_raw_days else run_date)
         for name, read in (
             ("order", readers.raw_orders),
             ("consumer", readers.raw_consumers),
@@ -83,10 +90,12 @@ def refresh_order_statuses(
     day: dt.date | None = None,
     latest_only: bool = False,
     files: int | str | None = None,
+    raw_day: dt.date | None = None,
 ) -> GateResult:
-    """Trusted `order_statuses` from every trusted day, or from one, and the raw status of the run."""
+    """Trusted `order_statuses` from every trusted day, or from one, and the status rows of all
+    raw days, or of one."""
     orders = readers.scan(spark, zone_path(zones, TRUSTED, "order"), day)
-    status = readers.raw_status(spark, zone_path(zones, RAW, "status"), run_date)
+    status = readers.raw_status(spark, zone_path(zones, RAW, "status"), raw_day)
     build = latest_statuses if latest_only else status_table
     return write_gated(
         build(orders, status), zone_path(zones, TRUSTED, "order_statuses"), run_date, files

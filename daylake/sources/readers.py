@@ -20,11 +20,13 @@ def read_source(
 ) -> DataFrame:
     """CSV with a header row, or JSON lines; gzip is recognized by the file name.
 
-    Without a schema, CSV columns are strings (`infer=True` looks for types in an extra pass)
-    and JSON columns are inferred.
+    Without a schema, CSV columns are strings and JSON cannot be read, unless `infer=True` lets
+    an extra pass over the files look for columns and types.
     """
     if fmt not in ("csv", "json"):
         raise ValueError(f"no source reader for {fmt!r}")
+    if fmt == "json" and schema is None and not infer:
+        raise ValueError("JSON needs a schema, or infer=True for an extra pass over the files")
     reader = spark.read.format(fmt)
     if fmt == "csv":
         reader = reader.option("header", True).option("inferSchema", infer)
@@ -34,10 +36,21 @@ def read_source(
 
 
 def scan(
-    spark: SparkSession, path: str, day: dt.date | None = None, day_column: str = DAY
+    spark: SparkSession,
+    path: str,
+    day: dt.date | None = None,
+    day_column: str = DAY,
+    schema: StructType | None = None,
 ) -> DataFrame:
-    """Parquet table with day partitions: every day, or one day by partition pruning."""
-    df = spark.read.parquet(path)
+    """Parquet table with day partitions: every day, or one day by partition pruning.
+
+    With a declared `schema` (without the day) no footer is read to plan. Otherwise the columns of
+    all days are merged. A column that a day lacks is null there.
+    """
+    if schema is not None:
+        df = spark.read.schema(StructType(schema.fields).add(day_column, "date")).parquet(path)
+    else:
+        df = spark.read.option("mergeSchema", True).parquet(path)
     return df if day is None else df.filter(F.col(day_column) == F.lit(day))
 
 
@@ -102,8 +115,16 @@ def latest_day_before(spark: SparkSession, path: str, day: dt.date) -> dt.date |
     found = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(
         hadoop.Path(root, f"{DAY}=*")
     )
-    days = [dt.date.fromisoformat(s.getPath().getName().split("=", 1)[1]) for s in found or []]
-    return max((d for d in days if d < day), default=None)
+    days = [_date(s.getPath().getName().split("=", 1)[1]) for s in found or []]
+    return max((d for d in days if d is not None and d < day), default=None)
+
+
+def _date(name: str) -> dt.date | None:
+    # Rows without a day are in a folder whose name is no date.
+    try:
+        return dt.date.fromisoformat(name)
+    except ValueError:
+        return None
 
 
 def count_day(spark: SparkSession, path: str, day: dt.date) -> int | None:

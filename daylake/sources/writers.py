@@ -5,14 +5,15 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import logging
+import uuid
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from daylake.operators.quality import MAX_DROP_PERCENT, passes_gate
 from daylake.sources.readers import DAY, RAW_DAY, count_day, latest_day_before
-from daylake.sources.zones import work_dir
+from daylake.sources.zones import remove, work_dir
 
 log = logging.getLogger(__name__)
 
@@ -44,14 +45,21 @@ def _sized(df: DataFrame, files: int | str | None) -> DataFrame:
 def write_day(
     df: DataFrame, path: str, run_date: dt.date, column: str = RAW_DAY, files: int | str | None = None
 ) -> None:
-    """Write `df` as one day of the table at `path`, replacing that day only."""
+    """Write `df` as one day of the table at `path`, replacing that day only.
+
+    Without rows no file of the day would be touched, so its folder is then removed.
+    """
+    written = Observation()
+    counted = df.observe(written, F.count(F.lit(1)).alias("rows"))
     (
-        _sized(stamp(df, run_date, column), files)
+        _sized(stamp(counted, run_date, column), files)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(column)
         .parquet(path)
     )
+    if not written.get["rows"]:
+        remove(df.sparkSession, f"{path}/{column}={run_date.isoformat()}")
 
 
 def write_by_day(df: DataFrame, path: str, day: Column, column: str = DAY) -> None:
@@ -88,7 +96,7 @@ def write_gated(
     is 1, so only an empty first day is refused. `df` runs once, into a staged table in the
     shared work folder. Its count comes from the staged file footers, so retried tasks cannot
     distort it, and the day is written from the staged rows, which packs small files. A refusal
-    leaves the table as it was.
+    leaves the table as it was. Each run stages in a folder of its own, which is removed at the end.
     """
     dataset = path.rstrip("/").rsplit("/", 1)[-1]
     table = hashlib.sha256(path.encode()).hexdigest()[:16]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
@@ -25,10 +24,13 @@ def zone_path(zones: Mapping[str, str], zone: str, name: str, fmt: str | None =
 
 
 def work_dir(spark: SparkSession) -> str:
-    """Shared folder for staged tables: the one the cluster names in `spark.checkpoint.dir`."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return shared.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="daylake-")
-    raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+    """Shared folder for staged tables: the one the cluster names in `spark.checkpoint.dir`, and
+    the session's warehouse where that is unset."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return shared.rstrip("/")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any file system that Spark reads; one that is not there is no error."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -31,32 +31,31 @@ status AS (
   FROM lineitem)"""
 
 LINE = """
-counted AS (SELECT *, count(*) OVER (PARTITION BY l_orderkey) AS n FROM lineitem),
 line AS (
   SELECT l_orderkey AS order_id, p_brand AS brand, p_name, l_partkey, l_suppkey, l_linenumber,
          l_quantity, l_returnflag, l_linestatus,
          CAST(round(l_extendedprice * 100) AS BIGINT) AS price,
          CAST(round(l_tax * 100) AS BIGINT) AS tax,
          CAST(round(l_discount * 100) AS BIGINT) AS discount,
-         CAST(round(p_retailprice * 100) AS BIGINT) AS retail,
-         CASE WHEN n > 1000 THEN
-           (l_partkey * 31 + l_suppkey * 7 + l_linenumber + CAST(round(l_extendedprice * 100) AS BIGINT))
-           % CAST(ceil(n / 1000.0) AS BIGINT) ELSE 0 END AS piece
-  FROM counted JOIN part ON l_partkey = p_partkey),
-kept AS (SELECT DISTINCT * FROM line WHERE l_returnflag <> 'R'),
+         CAST(round(p_retailprice * 100) AS BIGINT) AS retail
+  FROM lineitem JOIN part ON l_partkey = p_partkey),
+kept AS (
+  SELECT order_id, brand, l_linenumber, min(p_name) AS p_name, min(l_partkey) AS l_partkey,
+         min(l_suppkey) AS l_suppkey, sum(l_quantity) AS l_quantity, min(l_returnflag) AS l_returnflag,
+         min(l_linestatus) AS l_linestatus, CAST(sum(price) AS BIGINT) AS price,
+         CAST(sum(tax) AS BIGINT) AS tax, CAST(sum(discount) AS BIGINT) AS discount, min(retail) AS retail
+  FROM line WHERE l_returnflag <> 'R' GROUP BY order_id, brand, l_linenumber),
 item AS (
-  SELECT order_id, piece, brand AS name, sum(l_quantity) AS quantity,
-         CAST(min(l_partkey) AS VARCHAR) AS external_id, CAST(piece AS VARCHAR) AS integration_id,
+  SELECT order_id, brand AS name, sum(l_quantity) AS quantity,
+         CAST(min(l_partkey) AS VARCHAR) AS external_id, '0' AS integration_id,
          CASE WHEN count(*) > 1 THEN max(l_linestatus) END AS customer_note,
          CAST(count(*) AS VARCHAR) AS addition, CAST(sum(discount) AS VARCHAR) AS discount,
          CAST(max(price) AS VARCHAR) AS unit_price, CAST(sum(price) AS VARCHAR) AS total_value,
          CAST(sum(tax) AS VARCHAR) AS total_addition,
          CAST(count(*) FILTER (WHERE l_returnflag = 'R') AS VARCHAR) AS total_discount
-  FROM line GROUP BY order_id, piece, brand),
+  FROM line GROUP BY order_id, brand),
 garnishes AS (
-  SELECT order_id, piece, brand, count(*) AS garnishes FROM kept GROUP BY order_id, piece, brand)"""
-
-FIRST_PIECE = LINE.replace("FROM line WHERE l_returnflag", "FROM line WHERE piece = 0 AND l_returnflag")
+  SELECT order_id, brand, count(*) AS garnishes FROM kept GROUP BY order_id, brand)"""
 
 ITEM_COLUMNS = """
   i.name, i.quantity, i.external_id, i.integration_id, i.customer_note,
@@ -83,18 +82,18 @@ WITH {LINE}
 SELECT i.order_id, i.name, i.quantity, i.external_id, i.customer_note, i.total_value,
        CAST(coalesce(g.garnishes, 0) AS INTEGER) AS garnishes
 FROM item i LEFT JOIN garnishes g
-  ON g.order_id = i.order_id AND g.piece = i.piece AND g.brand = i.name"""
+  ON g.order_id = i.order_id AND g.brand = i.name"""
 
 ITEM_IDS = """
 item_id AS (
-  SELECT DISTINCT order_id, piece, brand, CAST(l_suppkey AS VARCHAR) AS garnish_external_id
+  SELECT DISTINCT order_id, brand, CAST(l_suppkey AS VARCHAR) AS garnish_external_id
   FROM kept)"""
 
 ORDER_ITEMS = f"""
 WITH {LINE}, {GARNISH}, {ITEM_IDS}
 SELECT {ITEM_COLUMNS}, g.*
 FROM item i
-JOIN item_id d ON d.order_id = i.order_id AND d.piece = i.piece AND d.brand = i.name
+JOIN item_id d ON d.order_id = i.order_id AND d.brand = i.name
 JOIN garnish g ON g.order_id = d.order_id AND g.garnish_external_id = d.garnish_external_id"""
 
 RANKED_ORDER = """row_number() OVER (
@@ -220,8 +219,8 @@ WHERE text IS NOT NULL AND NOT json_valid(text) GROUP BY role""",
 WITH {LINE}, {ITEM_IDS}
 SELECT i.order_id, {ITEM_COLUMNS}, d.garnish_external_id, CAST(g.garnishes AS INTEGER) AS garnish_items
 FROM item i
-JOIN item_id d ON d.order_id = i.order_id AND d.piece = i.piece AND d.brand = i.name
-JOIN garnishes g ON g.order_id = i.order_id AND g.piece = i.piece AND g.brand = i.name""",
+JOIN item_id d ON d.order_id = i.order_id AND d.brand = i.name
+JOIN garnishes g ON g.order_id = i.order_id AND g.brand = i.name""",
     "garnish_detail": f"WITH {LINE}, {GARNISH} SELECT * FROM garnish",
     "order_items": ORDER_ITEMS,
     "order_items_joined": ORDER_ITEMS,
@@ -229,7 +228,7 @@ JOIN garnishes g ON g.order_id = i.order_id AND g.piece = i.piece AND g.brand =
 WITH {LINE}, {GARNISH}
 SELECT {ITEM_COLUMNS}, g.*
 FROM item i
-JOIN kept k ON k.order_id = i.order_id AND k.piece = i.piece AND k.brand = i.name
+JOIN kept k ON k.order_id = i.order_id AND k.brand = i.name
 JOIN garnish g ON g.order_id = k.order_id AND g.garnish_external_id = CAST(k.l_suppkey AS VARCHAR)
  AND g.garnish_integration_id = CAST(k.l_partkey AS VARCHAR) AND g.garnish_sequence = k.l_linenumber
  AND g.garnish_quantity = k.l_quantity AND g.garnish_total_value = CAST(k.price AS VARCHAR)
@@ -238,29 +237,29 @@ JOIN garnish g ON g.order_id = k.order_id AND g.garnish_external_id = CAST(k.l_s
     "items_wide": f"""
 WITH {LINE},
 docs AS (
-  SELECT order_id, piece, count(*) AS items, string_agg(name, ',' ORDER BY name) AS names,
+  SELECT order_id, count(*) AS items, string_agg(name, ',' ORDER BY name) AS names,
          string_agg(external_id, ',' ORDER BY external_id) AS external_ids,
          string_agg(total_value, ',' ORDER BY total_value) AS total_values,
          string_agg('USD', ',') AS currencies
-  FROM item GROUP BY order_id, piece),
+  FROM item GROUP BY order_id),
 loose AS (
-  SELECT order_id, piece, string_agg(p_name, ',' ORDER BY p_name) AS garnish_names,
+  SELECT order_id, string_agg(p_name, ',' ORDER BY p_name) AS garnish_names,
          string_agg(CAST(l_suppkey AS VARCHAR), ',' ORDER BY CAST(l_suppkey AS VARCHAR)) AS garnish_ids,
          string_agg(CAST(price AS VARCHAR), ',' ORDER BY CAST(price AS VARCHAR)) AS garnish_values,
          sum(l_quantity) AS garnish_quantity
-  FROM kept GROUP BY order_id, piece)
+  FROM kept GROUP BY order_id)
 SELECT d.order_id, CAST(d.items AS INTEGER) AS items, d.names, d.external_ids, d.total_values,
        d.currencies, CAST(d.items AS INTEGER) AS garnish_lists,
        coalesce(garnish_names, '') AS garnish_names, coalesce(garnish_ids, '') AS garnish_ids,
        coalesce(garnish_values, '') AS garnish_values, coalesce(garnish_quantity, 0.0) AS garnish_quantity
-FROM docs d LEFT JOIN loose g ON g.order_id = d.order_id AND g.piece = d.piece""",
+FROM docs d LEFT JOIN loose g ON g.order_id = d.order_id""",
     "trusted_order": f"WITH {ORD}, {CONSUMER}, {MERCHANT}, {STATUS}, {CHOSEN} SELECT * FROM trusted",
     "trusted_lake": f"""
-WITH {ORD}, {CONSUMER}, {MERCHANT}, {STATUS}, {CHOSEN}, {FIRST_PIECE}, {GARNISH}, {ITEM_IDS},
+WITH {ORD}, {CONSUMER}, {MERCHANT}, {STATUS}, {CHOSEN}, {LINE}, {GARNISH}, {ITEM_IDS},
 item_rows AS (
   SELECT i.order_id FROM item i
-  JOIN trusted t ON t.order_id = i.order_id AND i.piece = 0
-  JOIN item_id d ON d.order_id = i.order_id AND d.piece = i.piece AND d.brand = i.name
+  JOIN trusted t ON t.order_id = i.order_id
+  JOIN item_id d ON d.order_id = i.order_id AND d.brand = i.name
   JOIN garnish g ON g.order_id = d.order_id AND g.garnish_external_id = d.garnish_external_id),
 status_rows AS (
   SELECT DISTINCT o.order_id, {STATUS_COLUMNS} FROM trusted o

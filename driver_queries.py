@@ -296,7 +296,7 @@ def trusted_order(spark, sf_dir):
 
 
 def order_statuses(spark, sf_dir):
-    return ops.status_table(t.orders(spark, sf_dir), t.status(spark, sf_dir), method="join")
+    return ops.status_table(t.orders(spark, sf_dir), t.status(spark, sf_dir), gather=False)
 
 
 def order_statuses_one_pass(spark, sf_dir):
@@ -314,8 +314,7 @@ def order_status_funnel(spark, sf_dir):
 def trusted_lake(spark, sf_dir):
     """All jobs on a lake of their own: raw days, the three trusted tables, and what they hold."""
     zones = {"raw": _fresh(spark, "raw"), "trusted": _fresh(spark, "trusted")}
-    # A raw order carries one document; of an order delivered in pieces that is the first.
-    carts = t.cart_pieces(spark, sf_dir).filter("piece = 0").drop("piece")
+    carts = t.carts(spark, sf_dir)
     orders = t.orders(spark, sf_dir).join(carts, "order_id", "left")
     for name, df in (
         ("order", orders),

@@ -5,11 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# An order with more lines than this is delivered as several documents.
-LINES_PER_DOCUMENT = 1_000
-# Ids of such orders are broadcast up to this many (16 MB).
-BROADCAST_ORDERS = 1_000_000
-
 # Line flag and status to order status; other pairs keep their own letters.
 STATUS_NAMES = {"AF": "REGISTERED", "NF": "PLACED", "NO": "CONCLUDED", "RF": "CANCELLED"}
 
@@ -84,80 +79,82 @@ def _garnish(line: Column) -> Column:
         line["l_partkey"].cast("string").alias("integrationId"),
         line["l_returnflag"].alias("categoryId"),
         line["l_linestatus"].alias("categoryName"),
-        _money(_hundredths(line["l_tax"])).alias("addition"),
-        _money(_hundredths(line["l_discount"])).alias("discount"),
-        _money(_hundredths(line["p_retailprice"])).alias("unitPrice"),
-        _money(_hundredths(line["l_extendedprice"])).alias("totalValue"),
+        _money(line["tax"]).alias("addition"),
+        _money(line["discount"]).alias("discount"),
+        _money(line["retail"]).alias("unitPrice"),
+        _money(line["price"]).alias("totalValue"),
     )
 
 
 def carts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Item documents of each order."""
-    return cart_pieces(spark, sf_dir).drop("piece")
+    """Item documents of each order: an item per brand, and in it a garnish per number of lines not returned.
 
+    Lines are summed up by order, brand and line number before anything is collected. There are
+    seven line numbers and 25 brands, so a document stays small however many lines an order has,
+    and no task receives an order's lines one by one.
+    """
+    kept = F.col("l_returnflag") != "R"
 
-def cart_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Item documents by order and piece: an item per brand of the order, a garnish per distinct line not returned.
+    def of_kept(function, column):
+        return function(F.when(kept, column))
 
-    Lines of an order of ordinary size are brought together once, and both groupings run there.
-    A larger order is cut into pieces by the content of its lines, and its lines are aggregated
-    before they are shuffled, so that copies of one line cannot pile up in a task either.
-    """
-    line = table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "order_id")
-    large = (
-        line.groupBy("order_id")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") > LINES_PER_DOCUMENT)
-        .select("order_id", F.ceil(F.col("n") / LINES_PER_DOCUMENT).alias("pieces"))
+    lines = table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "order_id").select(
+        "order_id", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus",
+        _hundredths("l_extendedprice").alias("price"),
+        _hundredths("l_tax").alias("tax"),
+        _hundredths("l_discount").alias("discount"),
     )
-    large_orders = large.count()
-    if large_orders == 0:
-        return _documents(_whole(line, spark, sf_dir))
-    if large_orders <= BROADCAST_ORDERS:
-        large = F.broadcast(large)
-    spread = (
-        F.col("l_partkey") * 31 + F.col("l_suppkey") * 7 + F.col("l_linenumber")
-        + _hundredths("l_extendedprice")
+    parts = table(spark, sf_dir, "part").select(
+        "p_partkey", "p_name", F.col("p_brand").alias("name"), _hundredths("p_retailprice").alias("retail")
     )
-    pieces = _with_parts(line.join(large, "order_id"), spark, sf_dir).withColumn(
-        "piece", F.pmod(spread, F.col("pieces"))
+    numbered = (
+        lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+        .groupBy("order_id", "name", "l_linenumber")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum("l_quantity").alias("all_quantity"),
+            F.min("l_partkey").alias("all_partkey"),
+            F.max("l_linestatus").alias("all_linestatus"),
+            F.sum("discount").alias("all_discount"),
+            F.max("price").alias("all_unit"),
+            F.sum("price").alias("all_price"),
+            F.sum("tax").alias("all_tax"),
+            F.count_if(~kept).alias("returned"),
+            of_kept(F.min, F.col("p_name")).alias("p_name"),
+            of_kept(F.sum, F.col("l_quantity")).alias("l_quantity"),
+            of_kept(F.min, F.col("l_suppkey")).alias("l_suppkey"),
+            of_kept(F.min, F.col("l_partkey")).alias("l_partkey"),
+            of_kept(F.min, F.col("l_returnflag")).alias("l_returnflag"),
+            of_kept(F.min, F.col("l_linestatus")).alias("l_linestatus"),
+            of_kept(F.sum, F.col("tax")).alias("tax"),
+            of_kept(F.sum, F.col("discount")).alias("discount"),
+            of_kept(F.min, F.col("retail")).alias("retail"),
+            of_kept(F.sum, F.col("price")).alias("price"),
+        )
+        # Both groupings below run on this one partitioning.
+        .repartition("order_id")
     )
-    whole = _whole(line.join(large, "order_id", "left_anti"), spark, sf_dir)
-    return _documents(whole).unionByName(_documents(pieces))
-
-
-def _with_parts(line: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-
-
-def _whole(line: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _with_parts(line, spark, sf_dir).withColumn("piece", F.lit(0).cast("bigint"))
-    return lines.repartition("order_id")
-
-
-def _documents(lines: DataFrame) -> DataFrame:
-    # Numbers are collected as they are and put into document form after the shuffle.
-    values = F.struct(
-        "p_name", "l_quantity", "l_linenumber", "l_suppkey", "l_partkey", "l_returnflag",
-        "l_linestatus", "l_tax", "l_discount", "p_retailprice", "l_extendedprice",
+    garnish = F.struct(
+        "p_name", "l_quantity", "l_linenumber", "l_suppkey", "l_partkey", "l_returnflag", "l_linestatus", "tax",
+        "discount", "retail", "price",
     )
-    items = lines.groupBy("order_id", "piece", F.col("p_brand").alias("name")).agg(
-        F.sum("l_quantity").alias("quantity"),
-        F.min("l_partkey").cast("string").alias("externalId"),
-        F.col("piece").cast("string").alias("integrationId"),
-        F.when(F.count(F.lit(1)) > 1, F.max("l_linestatus")).alias("customerNote"),
-        _money(F.count(F.lit(1))).alias("addition"),
-        _money(F.sum(_hundredths("l_discount"))).alias("discount"),
-        _money(F.max(_hundredths("l_extendedprice"))).alias("unitPrice"),
-        _money(F.sum(_hundredths("l_extendedprice"))).alias("totalValue"),
-        _money(F.sum(_hundredths("l_tax"))).alias("totalAddition"),
-        _money(F.count_if(F.col("l_returnflag") == "R")).alias("totalDiscount"),
-        F.collect_set(F.when(F.col("l_returnflag") != "R", values)).alias("lines"),
+    items = numbered.groupBy("order_id", "name").agg(
+        F.sum("all_quantity").alias("quantity"),
+        F.min("all_partkey").cast("string").alias("externalId"),
+        F.lit("0").alias("integrationId"),
+        F.when(F.sum("n") > 1, F.max("all_linestatus")).alias("customerNote"),
+        _money(F.sum("n")).alias("addition"),
+        _money(F.sum("all_discount")).alias("discount"),
+        _money(F.max("all_unit")).alias("unitPrice"),
+        _money(F.sum("all_price")).alias("totalValue"),
+        _money(F.sum("all_tax")).alias("totalAddition"),
+        _money(F.sum("returned")).alias("totalDiscount"),
+        F.collect_list(F.when(F.col("n") > F.col("returned"), garnish)).alias("lines"),
     )
-    fields = [c for c in items.columns if c not in ("order_id", "piece", "lines")]
+    fields = [c for c in items.columns if c not in ("order_id", "lines")]
     item = F.struct(*fields, F.transform("lines", _garnish).alias("garnishItems"))
     return (
-        items.groupBy("order_id", "piece")
+        items.groupBy("order_id")
         .agg(F.collect_list(item).alias("items"))
-        .select("order_id", "piece", F.to_json("items").alias("items"))
+        .select("order_id", F.to_json("items").alias("items"))
     )

@@ -95,7 +95,7 @@ def statuses(spark, history, orders=("o",), **options):
     )
 
 
-METHODS = [{"method": "gather"}, {"method": "join"}, {"method": "join", "hot_rows": 1}]
+METHODS = [{}, {"hot_rows": 1}, {"gather": False}, {"gather": False, "hot_rows": 1}]
 
 
 @pytest.mark.parametrize("options", METHODS)

@@ -7,9 +7,11 @@ import pytest
 from compare import connect, duck_rows, spark_rows
 
 import __spark_entry__ as contract
+import driver_oracle
+import driver_queries
 
-QUERIES = contract.queries()
-ORACLE = contract.oracle_sql()
+QUERIES = driver_queries.QUERIES
+ORACLE = driver_oracle.ORACLE
 
 
 @pytest.fixture(scope="module")

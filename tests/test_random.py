@@ -59,7 +59,7 @@ def test_order_items(spark, route, per_item):
 
 
 @pytest.mark.parametrize("chained", [False, True])
-@pytest.mark.parametrize("options", [{"method": "gather"}, {"method": "join"}, {"method": "join", "hot_rows": 1}])
+@pytest.mark.parametrize("options", [{}, {"hot_rows": 1}, {"gather": False}, {"gather": False, "hot_rows": 1}])
 def test_status_table(spark, options, chained):
     rng = random.Random(11)
     steps = ("A", "B", "C")
