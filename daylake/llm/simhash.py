@@ -174,21 +174,22 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
 
 
 def _components(prints: DataFrame, limit: int) -> DataFrame:
-    """(fp, component_id) of every fingerprint in `prints` (doc_id, fp)."""
+    """(fp, root, component_id) of every fingerprint in `prints` (doc_id, fp); the root tells components
+    apart that have the same least id because an id repeats."""
     nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "simhash-nodes")
     labels = connected_components(fingerprint_links(nodes, limit), "simhash-links")
     rooted = nodes.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "least_id", F.coalesce("label", "fp").alias("root")
     )
     least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    return rooted.join(least, "root").select("fp", "component_id")
+    return rooted.join(least, "root").select("fp", "root", "component_id")
 
 
 def one_per_group(docs: DataFrame, limit: int = 3) -> DataFrame:
     """`docs` with one document of each near-duplicate group, the one with the least doc_id.
 
-    All columns stay. Of rows that repeat an id and a fingerprint one stays, and so for a group whose
-    ids are all null. The fingerprinted documents are written once, so that the Python work on the
+    All columns stay. Of rows that repeat an id and a fingerprint one stays, and so in a group whose
+    ids are all null. Texts of one id that are no near-duplicates are groups of their own. The fingerprinted documents are written once, so that the Python work on the
     texts is not done again for the second pass.
     """
     mark, kept = "__simhash_fp", "__simhash_kept"
@@ -197,7 +198,7 @@ def one_per_group(docs: DataFrame, limit: int = 3) -> DataFrame:
     chosen = (
         prints.join(_components(prints, limit), "fp")
         .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy("doc_id", F.when(F.col("doc_id").isNull(), F.col("fp")).alias("own"))
+        .groupBy("root", "doc_id")
         .agg(F.min("fp").alias("fp"))
     )
     keys = chosen.select(F.struct("doc_id", "fp").alias(kept))

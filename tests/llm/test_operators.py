@@ -1,0 +1,235 @@
+"""Operators and pipeline in Spark: brute force on the smallest tables, and awkward rows."""
+
+from __future__ import annotations
+
+import hashlib
+import zlib
+from collections import Counter, defaultdict
+from math import log10
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from daylake.llm import decontaminate, html, langid, lm, packing, pii, quality, queries, secrets, simhash, warc
+from test_units import plain_fingerprint, plain_pii
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fp string, component_id int, rank int, part int, word int"
+
+
+@pytest.fixture(scope="module")
+def docs(spark, small):
+    return [tuple(r) for r in spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text", "lang").collect()]
+
+
+@pytest.fixture(scope="module")
+def awkward(spark):
+    """Null and repeated ids, null, empty and very long texts, repeated rows, clashing columns."""
+    words = " ".join(f"word{i % 977}" for i in range(60_000))
+    rows = [
+        (1, None), (2, ""), (3, " \n\t "), (4, words), (5, words), (None, "the cat sat on the mat"), (None, None),
+        (6, "the cat sat on the mat"), (6, "the cat sat on the mat"), (7, "x" * 200_000), (8, "12345 !!"), (6, "another text of the same id"),
+    ]
+    return spark.createDataFrame([(i, t, "en" if i else None, "s", None, "f", 1, 2, 3, 4) for i, t in rows], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+LABELS = "doc_id long, quality int, toxic int"
+BENCHMARK = "item_id long, text string, doc_id long"
+
+
+def run_all(spark, df):
+    labels = spark.createDataFrame([(1, 0, 0), (None, 1, 0), (4, None, 0), (4, 1, 0)], LABELS)
+    items = spark.createDataFrame([(1, "the cat sat on the mat", 1), (2, None, 2), (3, "", 3), (None, "word1 word2 word3 word4", 4)], BENCHMARK)
+    return {
+        "secrets": secrets.scan(df, secrets.train(df)),
+        "pii": pii.personal_data(df),
+        "contaminations": decontaminate.contaminations(df, items),
+        "lm": lm.scored_documents(df),
+        "quality": quality.judged(df, labels),
+        "packed": packing.packed(df, queries.tokenizer_path()),
+        "language": langid.identified(df, langid.fit_model(langid.sample(df))),
+        "simhash": simhash.near_duplicates(df),
+    }
+
+
+def test_awkward_rows_have_defined_results(spark, awkward):
+    got = {name: df.collect() for name, df in run_all(spark, awkward).items()}
+    for name in ("secrets", "pii", "lm", "quality", "language", "simhash"):
+        assert Counter(r["doc_id"] for r in got[name]) == Counter({1: 1, 2: 1, 3: 1, 4: 1, 5: 1, None: 2, 6: 3, 7: 1, 8: 1}), name
+    assert {r["doc_id"] for r in got["packed"]} == {1, 2, 3, 4, 5, None, 6, 7, 8}
+    assert Counter((r["doc_id"], r["item_id"]) for r in got["contaminations"]) == Counter(
+        {(None, 1): 1, (6, 1): 2, (4, None): 1, (5, None): 1}
+    )
+    assert {r["lang_pred"] for r in got["language"] if r["doc_id"] in (1, 2, 3, 8)} == {"und"}
+    component = defaultdict(set)
+    for r in got["simhash"]:
+        component[r["doc_id"]].add(r["component_id"])
+    assert component[5] == {4} and component[1] == component[3] == {1} and component[6] == {6} and component[None] == {1, 6}
+    assert all(r["base_failed"] for r in got["quality"] if r["doc_id"] in (1, 2, 3))
+
+
+def test_empty_tables_give_no_rows(spark, empty):
+    for name, df in run_all(spark, empty).items():
+        assert df.count() == 0, name
+    pages = spark.createDataFrame([], "page_id long, url string, html string")
+    assert warc.archived(pages).count() == 0 and html.extracted(pages).count() == 0
+    assert simhash.one_per_group(empty).columns == empty.columns and simhash.one_per_group(empty).count() == 0
+
+
+def test_filters_keep_columns_and_clean_rows(spark, awkward):
+    items = spark.createDataFrame([(1, "the cat sat on the mat")], "item_id long, text string")
+    kept = decontaminate.without_contaminated(awkward, items)
+    assert kept.columns == awkward.columns and kept.count() == awkward.count() - 3
+    one = simhash.one_per_group(awkward)
+    assert one.columns == awkward.columns
+    assert sorted(r["doc_id"] for r in one.collect()) == [1, 4, 6, 6, 7, 8]
+    assert pii.masked(awkward).columns == awkward.columns
+
+
+def test_pages_in_archives(spark):
+    big, small_ = "<p>" + "x" * 1_200, "short"
+    rows = [(1, "u 1", big), (2, None, big), (3, "u", big), (4, "u", small_), (5, "u", small_), (6, "u", None), (None, "u", big), (3, "u", big)]
+    pages = spark.createDataFrame([(*r, 0, 0) for r in rows], "page_id long, url string, html string, digest int, first int")
+    got = {(r.page_id, r.record_type, r.refers_to, r.payload_bytes) for r in warc.archived(pages).collect()}
+    assert got == {
+        (1, "revisit", 3, 1203), (2, "revisit", 3, 1203), (None, "revisit", 3, 1203), (3, "response", None, 1203),
+        (4, "response", None, 5), (5, "response", None, 5), (6, "response", None, 0),
+    }
+    assert warc.archived(pages).count() == len(rows)
+
+
+def test_pages_match_sql(spark, small):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{small}/pages.parquet'")
+    want = con.execute(queries.ORACLE["op1_warc"]).fetchall()
+    names = [c[0] for c in con.description]
+    got = queries.op1_warc(spark, small).select(*names).collect()
+    assert Counter(map(tuple, got)) == Counter(want)
+
+
+def test_simhash_components_match_brute_force(spark, small, docs):
+    prints = {i: plain_fingerprint(t or "") for i, t, _ in docs}
+    ids = sorted(prints)
+    label = {i: i for i in ids}
+    links = [(a, b) for n, a in enumerate(ids) for b in ids[n + 1 :] if (prints[a] ^ prints[b]).bit_count() <= 3]
+    changed = True
+    while changed:
+        changed = False
+        for a, b in links:
+            low = min(label[a], label[b])
+            changed |= label[a] != low or label[b] != low
+            label[a] = label[b] = low
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in queries.op10_simhash(spark, small).collect()}
+    assert got == {i: (f"{prints[i]:016x}", label[i]) for i in ids}
+
+
+def test_components_of_a_path_and_a_star(spark):
+    from daylake.llm.components import connected_components
+
+    edges = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 160)] + [(7, 7), (1, 0), (300, 200)]
+    got = dict(map(tuple, connected_components(spark.createDataFrame(edges, "a long, b long")).collect()))
+    assert got == {i: 0 for i in range(61)} | {i: 100 for i in range(100, 160)} | {200: 200, 300: 200}
+
+
+def test_contaminations_match_plain_search(spark, small, docs):
+    con = duckdb.connect()
+    items = {i: " ".join(t.lower().split()) for i, t in con.execute(f"select item_id, text from '{small}/benchmark.parquet'").fetchall() if t}
+    exact = {(d, i) for d, t, _ in docs for i, item in items.items() if item in " ".join((t or "").lower().split())}
+    rows = queries.op4_decontamination(spark, small).collect()
+    assert {(r.doc_id, r.item_id) for r in rows if r.distance == 0} == exact
+    spread = decontaminate.contaminations(spark.read.parquet(f"{small}/documents.parquet"), spark.read.parquet(f"{small}/benchmark.parquet"), block_chars=300)
+    assert sorted(map(tuple, spread.collect())) == sorted(map(tuple, rows))
+
+
+def test_personal_data_and_secrets_match_patterns(spark, small, docs):
+    texts = {i: t or "" for i, t, _ in docs}
+    for r in queries.op3_pii(spark, small).collect():
+        base = plain_pii(texts[r.doc_id])
+        assert r.base_sha256 == hashlib.sha256(pii.digest_of(base).encode()).hexdigest()
+        assert set(pii.digest_of(base).split(",")) <= set(r.spans.split(",")) and r.n_email == sum(k == "email" for *_, k in base)
+    for r in queries.op2_secret_scans(spark, small).collect():
+        base = [s for s, _ in secrets.base_matches(texts[r.doc_id])]
+        assert r.base_sha256 == hashlib.sha256(secrets.digest_of(base).encode()).hexdigest()
+
+
+def test_language_model_base_matches_plain_counts(spark, small, docs):
+    split = {i: [*(t or "").encode().lower().split(), b""] for i, t, _ in docs}
+    train = [i for i in split if zlib.crc32(str(i).encode()) % 7 != 2]
+    counts = Counter(w for i in train for w in split[i])
+    total, kinds = sum(counts.values()), len(counts)
+    rows = queries.op5_lm_scoring(spark, small).collect()
+    for r in rows:
+        words = split[r.doc_id]
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(words), sum(w in counts for w in words), total)
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 7 == 2)
+        assert r.base_score == pytest.approx(sum(log10((counts[w] + 1) / (total + kinds + 1)) for w in words))
+        assert r.score < 0
+    learned = [r for r in rows if not r.held_out]
+    assert sum(r.score for r in learned) / sum(r.n_tokens for r in learned) > -6
+
+
+def test_packing_covers_every_id_once(spark, small, docs):
+    encode = packing.Encoder(queries.tokenizer_path())
+    whole = {i: encode.tokenizer.encode(t or "", add_special_tokens=False).ids + [2] for i, t, _ in docs}
+    pieces = packing.packed(spark.read.parquet(f"{small}/documents.parquet"), queries.tokenizer_path())
+    got = sorted(pieces.collect(), key=lambda r: (r.sequence_id, r.offset))
+    place = 0
+    for r in got:
+        assert (r.sequence_id, r.offset) == divmod(place, 4096)
+        part = np.array(whole[r.doc_id][r.start : r.start + r.length], "<u4").tobytes()
+        assert part == r.ids and zlib.crc32(part) == r.ids_crc32 and r.doc_tokens == len(whole[r.doc_id])
+        place += r.length
+    assert place == sum(map(len, whole.values()))
+    full = packing.sequences(pieces).collect()
+    assert {len(r["ids"]) for r in full} == {4 * 4096} and sum(r["length"] for r in full) == place
+
+
+def test_languages_of_held_out_documents(spark, small, docs):
+    lang = {i: name for i, _, name in docs}
+    rows = [r for r in queries.op9_language_id(spark, small).collect() if r.held_out and lang[r.doc_id]]
+    assert all(zlib.crc32(str(r.doc_id).encode()) % 3 == 1 and 0 <= r.score <= 1 for r in rows)
+    assert sum(r.lang_pred == lang[r.doc_id] for r in rows) / len(rows) > 0.9
+
+
+def test_quality_verdict_follows_labels(spark, small):
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{small}/labels.parquet").collect()}
+    rows = queries.op6_quality_rules(spark, small).collect()
+    assert all(r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words) for r in rows)
+    judged = [r for r in rows if r.doc_id in labels and not r.base_failed]
+    assert sum(r.kept == (labels[r.doc_id] == 1) for r in judged) / len(judged) > 0.9
+
+
+def test_articles_of_pages(spark, small):
+    pages = {r.page_id: r.html for r in spark.read.parquet(f"{small}/pages.parquet").collect()}
+    rows = queries.op7_html_extraction(spark, small).collect()
+    assert {r.page_id for r in rows} == set(pages) and all(r.n_chars == len(r.text) > 0 for r in rows)
+
+
+def test_pipeline_matches_the_stages_in_plain_python(spark, small, docs):
+    """The language model and packing's order are those of the operators; the rest is restated."""
+    con = duckdb.connect()
+    table = spark.read.parquet(f"{small}/documents.parquet")
+    predicted = {r.doc_id: r for r in langid.identified(table, langid.fit_model(langid.sample(table))).collect()}
+    kept = {i: t for i, t, _ in docs if predicted[i].lang_pred != "und" and predicted[i].score >= corpus_pipeline.LEAST_SCORE}
+    prints = {i: plain_fingerprint(t) for i, t in kept.items()}
+    label = {i: i for i in kept}
+    for _ in range(20):
+        for a in kept:
+            for b in kept:
+                if (prints[a] ^ prints[b]).bit_count() <= 3:
+                    label[a] = label[b] = min(label[a], label[b])
+    kept = {i: t for i, t in kept.items() if label[i] == i}
+    items = [" ".join(t.lower().split()) for (t,) in con.execute(f"select text from '{small}/benchmark.parquet'").fetchall() if t]
+    kept = {i: t for i, t in kept.items() if not any(item in " ".join(t.lower().split()) for item in items)}
+    encode = packing.Encoder(queries.tokenizer_path())
+    want = {i: len(encode.tokenizer.encode(pii.mask(t), add_special_tokens=False).ids) + 1 for i, t in kept.items()}
+    got = corpus_pipeline.run(spark, small).groupBy("doc_id").agg(F.sum("length"), F.max("doc_tokens")).collect()
+    assert {r[0]: r[1] for r in got} == want == {r[0]: r[2] for r in got}
+    assert [len(stage) for stage in corpus_pipeline.STAGES] == [2] * 5
