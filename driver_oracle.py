@@ -213,8 +213,9 @@ SELECT c_custkey AS customer_id, TRY_CAST(right(c_name, 9) AS BIGINT) * 5 / 2 AS
     "items_parsed": ITEM_ROWS,
     "items_inferred": ITEM_ROWS,
     "malformed_documents": """
-SELECT role, count(*) AS malformed FROM conversations
-WHERE text IS NOT NULL AND NOT json_valid(text) GROUP BY role""",
+SELECT DISTINCT l_orderkey AS order_id FROM lineitem JOIN part ON l_partkey = p_partkey
+WHERE l_orderkey % 3 = 0""",
+    "file_inventory": "SELECT DISTINCT CAST(ts AS DATE) AS day FROM events",
     "item_detail": f"""
 WITH {LINE}, {ITEM_IDS}
 SELECT i.order_id, {ITEM_COLUMNS}, d.garnish_external_id, CAST(g.garnishes AS INTEGER) AS garnish_items
