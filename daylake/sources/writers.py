@@ -100,18 +100,20 @@ def write_gated(
     """
     dataset = path.rstrip("/").rsplit("/", 1)[-1]
     table = hashlib.sha256(path.encode()).hexdigest()[:16]
-    staged_path = f"{work_dir(df.sparkSession)}/staging/{table}/{dataset}"
     spark = df.sparkSession
-    df.write.mode("overwrite").parquet(staged_path)
-    staged = spark.read.schema(df.schema).parquet(staged_path)
-
-    actual = staged.count()
-    before = latest_day_before(spark, path, run_date)
-    previous = None if before is None else count_day(spark, path, before)
-    previous = 1 if previous is None else previous
-    written = passes_gate(actual, previous, max_drop_percent)
-    if written:
-        write_day(staged, path, run_date, DAY, files)
-    else:
-        log.warning("%s refused: %d rows after %d", dataset, actual, previous)
+    staged_path = f"{work_dir(spark)}/staging/{table}/{dataset}-{run_date.isoformat()}-{uuid.uuid4().hex}"
+    try:
+        df.write.parquet(staged_path)
+        staged = spark.read.schema(df.schema).parquet(staged_path)
+        actual = staged.count()
+        before = latest_day_before(spark, path, run_date)
+        previous = None if before is None else count_day(spark, path, before)
+        previous = 1 if previous is None else previous
+        written = passes_gate(actual, previous, max_drop_percent)
+        if written:
+            write_day(staged, path, run_date, DAY, files)
+        else:
+            log.warning("%s refused: %d rows after %d", dataset, actual, previous)
+    finally:
+        remove(spark, staged_path)
     return GateResult(dataset, run_date, actual, previous, written)
