@@ -262,3 +262,47 @@ def test_records_come_back_and_damage_is_seen():
 )
 def test_main_text(source, text):
     assert html.main_text(source) == text
+
+
+def _read_word_by_word(words, lp):
+    """log10 probability of one text, with the restaurants of the text as plain counters."""
+    (d1, d2), (s1, s2) = lm.TEXT_DISCOUNTS, lm.TEXT_STRENGTHS
+    upper, lower, out, before = {}, {}, 0.0, None
+    for word in words:
+        held = sum(upper.values())
+        chance = (max(upper.get(word, 0) - d1, 0) + (s1 + d1 * len(upper)) * 10 ** lp[word]) / (s1 + held)
+        room = lower.setdefault(before, {})
+        held = sum(room.values())
+        out += np.log10((max(room.get(word, 0) - d2, 0) + (s2 + d2 * len(room)) * chance) / (s2 + held))
+        if word not in room:
+            upper[word] = upper.get(word, 0) + 1
+        room[word] = room.get(word, 0) + 1
+        before = word
+    return out
+
+
+def test_texts_are_scored_given_their_own_past():
+    rng = np.random.default_rng(3)
+    lp = np.log10(rng.dirichlet(np.ones(9)))
+    texts = [rng.integers(0, 9, size) for size in (1, 2, 40, 1, 300, 7)]
+    texts += [np.zeros(50, np.int64), np.tile([4, 5], 20)]
+    got = lm.chained(np.concatenate(texts), np.array([len(t) for t in texts]), lp)
+    assert got == pytest.approx([_read_word_by_word(t.tolist(), lp) for t in texts])
+    # What may follow a text has chances that sum to one.
+    for text in texts:
+        longer = [np.append(text, word) for word in range(9)]
+        scores = lm.chained(np.concatenate(longer), np.full(9, len(text) + 1), lp)
+        alone = lm.chained(text, np.array([len(text)]), lp)[0]
+        assert (10 ** (scores - alone)).sum() == pytest.approx(1)
+
+
+def test_texts_with_words_too_rare_for_a_float_are_scored():
+    got = lm.chained(np.array([0, 0, 1]), np.array([3]), np.array([-4_000.0, -0.1]))
+    assert np.isfinite(got).all() and -4_010 < got[0] < -4_000
+
+
+def test_parts_of_texts_cover_each_once():
+    sizes = np.array([5, 1, 1, 90, 3, 3, 3])
+    parts = list(lm._in_parts(sizes, 6))
+    assert [i for a, b in parts for i in range(a, b)] == list(range(7))
+    assert all(sizes[a:b].sum() <= 6 or b == a + 1 for a, b in parts)
