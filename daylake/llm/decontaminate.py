@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from daylake.llm.common import batch, workers_import
 
 #: Edits allowed per character of an item.
-ERROR_RATE = 0.05
+ERROR_RATE = 0.08
 #: Characters of items in one automaton; more items mean more passes over the documents.
 BLOCK_CHARS = 1_000_000
 
