@@ -31,12 +31,18 @@ REMEMBERED = 800_000
 _MARKS = re.compile(rb"(?:(?<=[a-z0-9])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))[.,!?;:*#$%&|<>)]+(?=[ \t\n\v\f\r]|\Z)")
 
 
+#: Case, white space, marks at the ends of words and within them: what tells whether words may be
+#: encoded one by one.
+_PROBE = b"The End, the END.\tOf it's\n\n a-b (c) x!? 3.5; 1,000 $9 #tag \xc3\x89t\xc3\xa9: na\xc3\xafve* 50%  <a>|&  z."
+
+
 class Encoder:
-    """Ids of texts as little-endian unsigned 32-bit bytes, by way of remembered words.
+    """Ids of texts as little-endian unsigned 32-bit bytes, by way of remembered words where that holds.
 
     It holds for tokenizers of lower-case text that never join text across ASCII white space, nor
     letters and marks: a text's ids are then those of its words one after the other. A-Z are lowered
     and marks at the ends of words set apart beforehand, so that there are fewer words to remember.
+    A tokenizer for which a probe text shows otherwise gets every text as a whole.
     """
 
     def __init__(self, path: str):
@@ -46,8 +52,17 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.known: dict[bytes, bytes] = {}
+        self.by_words = self._by_words([_PROBE]) == self._whole([_PROBE])
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
+        return self._by_words(texts) if self.by_words else self._whole(texts)
+
+    def _whole(self, texts: list[bytes]) -> list[bytes]:
+        as_text = [text.decode("utf-8", "replace") for text in texts]
+        encoded = self.tokenizer.encode_batch_fast(as_text, add_special_tokens=False)
+        return [np.array(one.ids, "<u4").tobytes() for one in encoded]
+
+    def _by_words(self, texts: list[bytes]) -> list[bytes]:
         split = [_MARKS.sub(rb" \g<0>", text.lower()).split() for text in texts]
         if len(self.known) > REMEMBERED:
             self.known.clear()
