@@ -27,8 +27,10 @@ REMEMBERED = 800_000
 
 
 #: Marks that end a word after an ASCII or Latin-1 letter or a digit. Pre-tokenizers that keep marks
-#: apart from letters and digits cut there anyway.
-_MARKS = re.compile(rb"(?:(?<=[a-z0-9])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))[.,!?;:*#$%&|<>)]+(?=[ \t\n\v\f\r]|\Z)")
+#: apart from letters and digits cut there anyway. A search goes by the first mark, then looks back.
+_MARKS = re.compile(
+    rb"[.,!?;:*#$%&|<>)](?:(?<=[a-z0-9].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))[.,!?;:*#$%&|<>)]*(?=[ \t\n\v\f\r]|\Z)"
+)
 
 
 #: Case, white space, marks at the ends of words and within them: what tells whether words may be
