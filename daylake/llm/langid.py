@@ -154,11 +154,13 @@ def sample(docs: DataFrame, per_language: int = PER_LANGUAGE, chars: int = FIT_C
     share = F.create_map(
         *[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, 5 * per_language / n))]
     )
-    near = hashed.where(F.pmod("h", F.lit(1_000_000)) < F.element_at(share, F.col("lang")) * 1_000_000)
-    best = near.withColumn(
-        "rank", F.dense_rank().over(Window.partitionBy("lang").orderBy("h", "text"))
-    ).where(F.col("rank") <= per_language)
-    rows = best.groupBy("lang", "rank").agg(F.min("text").alias("text")).orderBy("lang", "rank").collect()
+    steps = 1 << 53
+    near = hashed.where(F.pmod("h", F.lit(steps)) < F.element_at(share, F.col("lang")) * steps)
+    # Copies become one row before the shuffle, so that none is ranked however many there are.
+    single = near.groupBy("lang", "h").agg(F.min("text").alias("text"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    best = single.withColumn("rank", rank).where(F.col("rank") <= per_language)
+    rows = best.orderBy("lang", "rank").collect()
     return [(row["text"], row["lang"]) for row in rows if has_letter(row["text"])]
 
 

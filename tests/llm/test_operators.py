@@ -198,6 +198,16 @@ def test_languages_of_held_out_documents(spark, small, docs):
     assert sum(r.lang_pred == lang[r.doc_id] for r in rows) / len(rows) > 0.9
 
 
+def test_copies_of_a_text_are_one_sample(spark):
+    rows = [(i, "the same text again and again", "en") for i in range(3_000)]
+    rows += [(i, f"ein text mit der nummer {'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}", "de") for i in range(3_000)]
+    picked = langid.sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"), per_language=50)
+    assert picked.count(("the same text again and again", "en")) <= 1
+    assert 0 < sum(lang == "de" for _, lang in picked) <= 50 and len(set(picked)) == len(picked)
+    few = langid.sample(spark.createDataFrame(rows[:20] + rows[-20:], "doc_id long, text string, lang string"))
+    assert sorted({lang for _, lang in few}) == ["de", "en"] and len(few) == len(set(few))
+
+
 def test_quality_verdict_follows_labels(spark, small):
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{small}/labels.parquet").collect()}
     rows = queries.op6_quality_rules(spark, small).collect()
