@@ -2,12 +2,16 @@
 
 An item may be off by a budget of k edits, a share of its length. It is split into k + 1 pieces, of
 which one must then be intact. An Aho-Corasick automaton finds intact pieces in one pass over a
-text; each hit fixes a window, in which Myers' bit-parallel distance is taken.
+text. Pieces are joined into groups of two, four and so on: of an item within its budget, some
+intact piece lies only in groups of p pieces with fewer than p edits, so a hit is checked in its pair
+first and in larger groups after that. What is left fixes a window for the whole item. Groups and
+windows are measured with Myers' bit-parallel distance.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import ahocorasick
 import pandas as pd
@@ -19,7 +23,7 @@ from pyspark.sql import types as T
 from daylake.llm.common import batch, workers_import
 
 #: Edits allowed per character of an item.
-ERROR_RATE = 0.08
+ERROR_RATE = 0.12
 #: Characters of items in one automaton; more items mean more passes over the documents.
 BLOCK_CHARS = 1_000_000
 
@@ -36,10 +40,52 @@ def budget(item: str, error_rate: float = ERROR_RATE) -> int:
     return int(len(item) * error_rate)
 
 
-def pieces(item: str, errors: int) -> list[tuple[int, str]]:
-    """`errors` + 1 consecutive pieces of nearly equal length, each with its place."""
-    cuts = [len(item) * i // (errors + 1) for i in range(errors + 2)]
-    return [(a, item[a:b]) for a, b in zip(cuts, cuts[1:])]
+def cuts(item: str, errors: int) -> list[int]:
+    """Bounds of `errors` + 1 consecutive pieces of nearly equal length."""
+    return [len(item) * i // (errors + 1) for i in range(errors + 2)]
+
+
+class Piece(NamedTuple):
+    """A piece of an item: its place, the other piece of its pair, and the larger groups it is in."""
+
+    item: int
+    offset: int
+    #: The pair's other piece, reversed if it comes before; None if the piece has no pair.
+    other: str | None
+    after: bool
+    #: (offset, text, edits allowed) of each group, smallest first, without the pair and the item.
+    groups: list[tuple[int, str, int]]
+
+
+def pieces(number: int, item: str, errors: int) -> Iterator[tuple[str, Piece]]:
+    """The `errors` + 1 pieces of an item, each with what is to be checked around a hit."""
+    bounds, count = cuts(item, errors), errors + 1
+    for at in range(count):
+        low, high = bounds[at], bounds[at + 1]
+        pair, groups = at ^ 1, []
+        size = 4 if pair < count else 2
+        while size < count:
+            first = at // size * size
+            last = min(first + size, count)
+            if last - first > 1:
+                groups.append((bounds[first], item[bounds[first] : bounds[last]], last - first - 1))
+            size *= 2
+        other = item[bounds[pair] : bounds[pair + 1]] if pair < count else None
+        after = pair > at
+        yield item[low:high], Piece(number, low, other if after or other is None else other[::-1], after, groups)
+
+
+def begins(text: str, piece: str) -> bool:
+    """Whether `text` begins with `piece`, up to one edit, which may be placed at the first difference."""
+    if text.startswith(piece):
+        return True
+    size, at = len(piece), 0
+    for a, b in zip(text, piece):
+        if a != b:
+            break
+        at += 1
+    rest = piece[at + 1 :]
+    return text[at + 1 : size] == rest or text[at : size - 1] == rest or text[at + 1 : size + 1] == piece[at:]
 
 
 def myers(pattern: str, text: str, limit: int) -> tuple[int, int] | None:
@@ -78,10 +124,10 @@ class Matcher:
 
     def __init__(self, items: list[Item], error_rate: float = ERROR_RATE):
         self.items = [(item_id, text, budget(text, error_rate)) for item_id, text in items if text]
-        places: dict[str, list[tuple[int, int]]] = {}
+        places: dict[str, list[Piece]] = {}
         for number, (_, text, errors) in enumerate(self.items):
-            for offset, piece in pieces(text, errors):
-                places.setdefault(piece, []).append((number, offset))
+            for piece, place in pieces(number, text, errors):
+                places.setdefault(piece, []).append(place)
         self.automaton = ahocorasick.Automaton()
         for piece, found in places.items():
             self.automaton.add_word(piece, (len(piece), found))
@@ -92,20 +138,24 @@ class Matcher:
         """(item, least distance, start of its window, its end) of each item within its budget."""
         if not self.items or not text:
             return []
+        exact: dict[int, int] = {}
         starts: dict[int, set[int]] = {}
         for end, (size, found) in self.automaton.iter(text):
-            for number, offset in found:
-                starts.setdefault(number, set()).add(end + 1 - size - offset)
-        out = []
-        for number, wanted in starts.items():
+            at = end + 1 - size
+            for piece in found:
+                if piece.item in exact:
+                    continue
+                start = at - piece.offset
+                if start >= 0 and text.startswith(self.items[piece.item][1], start):
+                    exact[piece.item] = start
+                elif self._grows(text, at, end + 1, piece):
+                    starts.setdefault(piece.item, set()).add(start)
+        out = [(self.items[n][0], 0, start, start + len(self.items[n][1])) for n, start in exact.items()]
+        for number in starts.keys() - exact.keys():
             item_id, pattern, errors = self.items[number]
             best = None
-            for low, high in _runs(sorted(wanted), errors):
+            for low, high in _runs(sorted(starts[number]), errors):
                 low, high = max(0, low - errors), high + len(pattern) + errors
-                exact = text.find(pattern, low, high)
-                if exact >= 0:
-                    best = (0, exact, exact + len(pattern))
-                    break
                 near = myers(pattern, text[low:high], errors if best is None else best[0] - 1)
                 if near:
                     best = (near[0], low, low + near[1])
@@ -113,6 +163,20 @@ class Matcher:
                 out.append((item_id, *best))
         return out
 
+    @staticmethod
+    def _grows(text: str, at: int, end: int, piece: Piece) -> bool:
+        """Whether all groups of a piece that is intact at text[at:end] are there within their edits."""
+        if piece.other is not None:
+            size = len(piece.other) + 1
+            beside = text[end : end + size] if piece.after else text[max(0, at - size) : at][::-1]
+            if not begins(beside, piece.other):
+                return False
+        for offset, group, errors in piece.groups:
+            low = at - piece.offset + offset
+            if myers(group, text[max(0, low - errors) : low + len(group) + errors], errors) is None:
+                return False
+        return True
+
 
 def _runs(starts: list[int], gap: int) -> Iterator[tuple[int, int]]:
     """Starts that lie within `gap` of each other share a window."""

@@ -92,6 +92,28 @@ def test_edited_items_are_found_and_fragments_are_not():
     assert decontaminate.Matcher([]).matches("text") == [] and matcher.matches("") == []
 
 
+def test_matches_are_those_of_a_search_without_pieces():
+    found = 0
+    for _ in range(600):
+        letters = RNG.choice(["ab", "abcde ", "abcdefghijklmnop "])
+        items = [(n, "".join(RNG.choices(letters, k=RNG.randint(1, 70)))) for n in range(4)]
+        edited = list(RNG.choice(items)[1])
+        for _ in range(RNG.randint(0, 9)):
+            at = RNG.randint(0, len(edited))
+            edited[at : at + RNG.randint(0, 1)] = RNG.choices(letters, k=RNG.randint(0, 1))
+        text = "".join(RNG.choices(letters, k=RNG.randint(0, 40)) + edited + RNG.choices(letters, k=RNG.randint(0, 40)))
+        rate = RNG.choice([0.02, 0.08, 0.12, 0.25])
+        wanted = {}
+        for n, item in items:
+            near = decontaminate.myers(item, text, decontaminate.budget(item, rate)) if text else None
+            if near:
+                wanted[n] = near[0]
+        got = decontaminate.Matcher(items, rate).matches(text)
+        assert {m[0]: m[1] for m in got} == wanted and len(got) == len(wanted)
+        found += len(wanted)
+    assert found > 500
+
+
 PLAIN_PII = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
