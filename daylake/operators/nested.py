@@ -149,8 +149,11 @@ def _match_by_join(docs: DataFrame, per_item: bool) -> DataFrame:
             .select("order_id", *_item_columns(), *_garnish_columns())
         )
     rows = _item_ids(items).select("order_id", "garnish_external_id", *_item_columns())
+    # As in `explode_items`: a filter on the size, pushed below the shuffle of the distinct items,
+    # would keep the two sides from sharing it.
+    every_garnish = F.transform("item.garnishItems", lambda g: g)
     garnishes = (
-        items.select("order_id", F.explode("item.garnishItems").alias("garnish"))
+        items.select("order_id", F.explode(every_garnish).alias("garnish"))
         .select("order_id", *_garnish_columns())
         .dropDuplicates()
     )

@@ -9,6 +9,8 @@ from compare import connect, duck_rows, spark_rows
 import __spark_entry__ as contract
 import driver_oracle
 import driver_queries
+from daylake.operators import order_items
+from driver_tables import carts
 
 QUERIES = driver_queries.QUERIES
 ORACLE = driver_oracle.ORACLE
@@ -67,3 +69,11 @@ def test_filters_and_columns_reach_the_scan(spark, small):
 @pytest.mark.parametrize("name", ["items_parsed", "item_detail", "garnish_detail", "order_items"])
 def test_documents_are_parsed_in_one_place(spark, small, name):
     assert "size(from_json" not in plan(QUERIES[name](spark, small))
+
+
+def test_join_of_items_reads_and_parses_documents_once(spark, small, tmp_path):
+    carts(spark, small).write.parquet(str(tmp_path / "cart"))
+    joined = order_items(spark.read.parquet(str(tmp_path / "cart")), always_join=True)
+    joined.collect()
+    final = plan(joined).split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1 and final.count("from_json") == 1 and final.count("ReusedExchange") == 1
