@@ -177,12 +177,16 @@ def _components(prints: DataFrame, limit: int) -> DataFrame:
     """(fp, root, component_id) of every fingerprint in `prints` (doc_id, fp); the root tells components
     apart that have the same least id because an id repeats."""
     nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "simhash-nodes")
-    labels = connected_components(fingerprint_links(nodes, limit), "simhash-links")
-    rooted = nodes.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select(
+    return rooted(nodes, connected_components(fingerprint_links(nodes, limit), "simhash-links"))
+
+
+def rooted(nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """(fp, root, component_id) of `nodes` (fp, least_id), from the labels of those that have links."""
+    known = nodes.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "least_id", F.coalesce("label", "fp").alias("root")
     )
-    least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    return rooted.join(least, "root").select("fp", "root", "component_id")
+    least = known.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    return known.join(least, "root").select("fp", "root", "component_id")
 
 
 def one_per_group(docs: DataFrame, limit: int = 3) -> DataFrame:
@@ -192,11 +196,18 @@ def one_per_group(docs: DataFrame, limit: int = 3) -> DataFrame:
     ids are all null. Texts of one id that are no near-duplicates are groups of their own. The fingerprinted documents are written once, so that the Python work on the
     texts is not done again for the second pass.
     """
-    mark, kept = "__simhash_fp", "__simhash_kept"
+    mark = "__simhash_fp"
     marked = stored(with_fingerprint(docs, into=mark), "simhash-documents")
     prints = marked.select("doc_id", F.col(mark).alias("fp"))
+    return least_rows(marked, _components(prints, limit), mark).select(docs.columns)
+
+
+def least_rows(marked: DataFrame, components: DataFrame, mark: str) -> DataFrame:
+    """Of each component (fp, root, component_id) the rows of `marked` with its least doc_id, repeated ones once."""
+    kept = "__kept"
+    prints = marked.select("doc_id", F.col(mark).alias("fp"))
     chosen = (
-        prints.join(_components(prints, limit), "fp")
+        prints.join(components, "fp")
         .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
         .groupBy("root", "doc_id")
         .agg(F.min("fp").alias("fp"))
@@ -205,4 +216,4 @@ def one_per_group(docs: DataFrame, limit: int = 3) -> DataFrame:
     joined = marked.join(
         keys, marked["doc_id"].eqNullSafe(keys[f"{kept}.doc_id"]) & (marked[mark] == keys[f"{kept}.fp"])
     )
-    return joined.dropDuplicates(["doc_id", mark]).select([joined[c] for c in docs.columns])
+    return joined.dropDuplicates(["doc_id", mark]).drop(kept)

@@ -1,0 +1,78 @@
+"""Near copies against brute-force Jaccard."""
+
+from __future__ import annotations
+
+import random
+import re
+
+import numpy as np
+
+import corpus_pipeline
+from daylake.llm import neardup, simhash
+
+SCHEMA = "doc_id long, text string, lang string"
+
+
+def plain_shingles(text: str) -> frozenset:
+    words = [w for w in re.split(r"[ \t-\r]+", "".join(c.lower() if c.isascii() else c for c in text)) if w]
+    return frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
+
+
+def plain_kept(texts: dict[int, str]) -> set[int]:
+    sets = {i: plain_shingles(t) for i, t in texts.items()}
+    label = {i: i for i in sets}
+    where: dict = {}
+    for i, s in sets.items():
+        for x in s or [()]:
+            where.setdefault(x, set()).add(i)
+    links = set()
+    for i, s in sets.items():
+        for j in set().union(*(where[x] for x in s or [()])):
+            either = len(s | sets[j])
+            if i < j and (not either or len(s & sets[j]) >= 0.8 * either):
+                links.add((i, j))
+    for _ in sets:
+        before = dict(label)
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+        if before == label:
+            break
+    return {i for i in label if label[i] == i}
+
+
+def test_stage_keeps_one_of_texts_alike_by_jaccard(spark):
+    rng = random.Random(8)
+    words = [f"w{n}" for n in range(3_000)]
+    texts, number = {}, 0
+    for _ in range(60):
+        base = rng.choices(words, k=rng.choice([3, 40, 150, 400]))
+        for share in (0, 0, 0.005, 0.01, 0.02, 0.03, 0.1):
+            number += 1
+            texts[number] = " ".join(rng.choice(words) if rng.random() < share else w for w in base)
+    texts |= {900: "", 901: " \n", 902: None}
+    docs = spark.createDataFrame([(i, t, "en") for i, t in texts.items()], SCHEMA)
+    want = plain_kept({i: t or "" for i, t in texts.items()})
+    got = [r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect()]
+    assert sorted(got) == sorted(want)
+    assert len(want) < len({r.doc_id for r in simhash.one_per_group(docs).collect()})
+
+
+def test_stage_on_the_documents(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    texts = {r.doc_id: r.text or "" for r in docs.select("doc_id", "text").collect()}
+    assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, small).collect()} == plain_kept(texts)
+
+
+def test_repeated_and_null_ids(spark):
+    rows = [(6, "the cat sat on the mat"), (6, "The cat  sat on the mat"), (6, "another text of one id"), (None, "no id here"), (None, "no id here"), (None, "the cat sat on the mat")]
+    docs = spark.createDataFrame([(i, t, None) for i, t in rows], SCHEMA)
+    got = neardup.one_per_group(docs)
+    assert got.columns == docs.columns
+    assert sorted((r.doc_id or 0, len(r.text)) for r in got.collect()) in ([(0, 10), (6, 22), (6, 22)], [(0, 10), (6, 22), (6, 23)])
+
+
+def test_links_reach_what_the_first_text_does_not():
+    whole = np.arange(100, dtype=np.uint64)
+    sets = [whole, whole + np.uint64(20), whole + np.uint64(10)]
+    bands = np.zeros((3, neardup.BANDS), np.int64)
+    assert sorted(map(tuple, map(sorted, neardup.links_of(sets, bands)))) == [(0, 2), (1, 2)]
