@@ -25,8 +25,8 @@ from daylake.llm.common import batch, workers_import
 LENGTHS = (2, 3, 4)
 SLOT_BITS = 18
 SLOTS = 1 << SLOT_BITS
-#: Fit on at most this many labelled documents of a language, none longer than this, whatever the
-#: size of the table. All are read whole.
+#: Fit on at most this many labelled documents of a language, none longer than this if it has shorter
+#: ones, whatever the size of the table. All are read whole.
 PER_LANGUAGE, FIT_CHARS = 400, 8_000
 LANDMARKS, RIDGE = 128, 0.05
 #: Below this kernel value to every landmark, a score falls in proportion.
@@ -140,26 +140,39 @@ def remainder(id_column: str = "doc_id") -> Column:
 def sample(docs: DataFrame, per_language: int = PER_LANGUAGE, chars: int = FIT_CHARS) -> list[tuple[str, str]]:
     """At most `per_language` labelled (text, language) of each language outside the held-out third.
 
-    Counts are taken over all rows; a hash of the text then picks a few times as many rows as needed,
-    so that what is ranked and sent does not grow with the table. A null id, text or language and a
-    text without a letter or longer than `chars` are not used. Equal texts count once.
+    Distinct texts are counted for each language by sketches; a hash of the text then picks a few times as
+    many of them as needed, so that what is ranked and sent does not grow with the table. A null id, text
+    or language and a text without a letter are not used. Texts longer than `chars` are used only where a
+    language has no shorter one, the shortest first, until they have per_language * chars characters; each
+    is read whole. Equal texts count once.
     """
-    usable = docs.select("doc_id", "text", "lang").where(
-        (remainder() != 1) & F.col("lang").isNotNull() & (F.char_length("text").between(1, chars))
+    labelled = docs.select("doc_id", "text", "lang").where((remainder() != 1) & F.col("lang").isNotNull())
+    size = F.char_length("text")
+    hashed = labelled.where(F.col("text").rlike(r"\p{L}")).select(
+        "lang", "text", F.xxhash64("text", F.lit("sample")).alias("h"), size.alias("size"), (size > chars).alias("long")
     )
-    hashed = usable.withColumn("h", F.xxhash64("text", F.lit("sample")))
-    counts = {lang: n for lang, n in usable.groupBy("lang").agg(F.count("*")).collect()}
-    if not counts:
+    distinct: dict[str, tuple[bool, int]] = {}
+    for lang, long, n in hashed.groupBy("lang", "long").agg(F.approx_count_distinct("h")).collect():
+        distinct[lang] = min(distinct.get(lang, (True, n)), (long, n))
+    if not distinct:
         return []
     share = F.create_map(
-        *[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, 5 * per_language / n))]
+        *[F.lit(x) for lang, (_, n) in distinct.items() for x in (lang, min(1.0, 5 * per_language / max(1, n)))]
     )
+    from_long = F.create_map(*[F.lit(x) for lang, (long, _) in distinct.items() for x in (lang, long)])
     steps = 1 << 53
-    near = hashed.where(F.pmod("h", F.lit(steps)) < F.element_at(share, F.col("lang")) * steps)
+    near = hashed.where(
+        (F.col("long") == F.element_at(from_long, F.col("lang")))
+        & (F.pmod("h", F.lit(steps)) < F.element_at(share, F.col("lang")) * steps)
+    )
     # Copies become one row before the shuffle, so that none is ranked however many there are.
-    single = near.groupBy("lang", "h").agg(F.min("text").alias("text"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    best = single.withColumn("rank", rank).where(F.col("rank") <= per_language)
+    single = near.groupBy("lang", "h", "size", "long").agg(F.min("text").alias("text"))
+    order = Window.partitionBy("lang").orderBy(F.when(F.col("long"), F.col("size")), "h")
+    best = (
+        single.withColumn("rank", F.row_number().over(order))
+        .withColumn("before", F.sum("size").over(order) - F.col("size"))
+        .where((F.col("rank") <= per_language) & (~F.col("long") | (F.col("before") < per_language * chars)))
+    )
     rows = best.orderBy("lang", "rank").collect()
     return [(row["text"], row["lang"]) for row in rows if has_letter(row["text"])]
 
