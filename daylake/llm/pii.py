@@ -34,6 +34,17 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+#: Fixed value: length of an IBAN by country, from the registry of ISO 13616.
+IBAN_LENGTHS = {
+    part[:2]: int(part[2:])
+    for part in (
+        "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29"
+        " ES24 FI18 FK18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20"
+        " LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29"
+        " PT25 QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20"
+        " YE30"
+    ).split()
+}
 _SSN = re.compile(r"(?<![0-9-])([0-9]{3})-([0-9]{2})-([0-9]{4})(?![0-9-])")
 _CARD_ALONE = re.compile(r"(?<![0-9])(?:[0-9]{4}[ -]){3}[0-9]{1,7}(?![0-9])|(?<![0-9])[0-9]{12,19}(?![0-9])")
 _PHONE_ALONE = re.compile(
@@ -113,6 +124,30 @@ def _ordered(spans: list[Span]) -> list[Span]:
     return sorted(spans, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Spans that pass mod-97. A proposal may run on into the words after it, so it is cut at its country's
+    length, or for countries unknown at each end of a word, the longest first; the search goes on behind
+    what is found, or within what is not."""
+    m = _IBAN.search(text)
+    while m:
+        end = next((at for at in _iban_ends(m) if mod97(text[m.start() : at].replace(" ", ""))), None)
+        if end:
+            yield m.start(), end
+        m = _IBAN.search(text, end or m.start() + 1)
+
+
+def _iban_ends(m: re.Match) -> list[int]:
+    """Where an IBAN within the proposal may end: it has 15 to 34 characters and no part of a word is left."""
+    sizes, size = {}, 0
+    for at, char in enumerate(m[0], 1):
+        size += char != " "
+        if char != " " and m[0][at : at + 1] in ("", " ") and 15 <= size <= 34:
+            sizes[size] = m.start() + at
+    if known := IBAN_LENGTHS.get(m[0][:2]):
+        return [sizes[n] for n in dict.fromkeys((known, max(sizes, default=0))) if n in sizes]
+    return [sizes[n] for n in sorted(sizes, reverse=True)]
+
+
 def _score(text: str, start: int, end: int, kind: str, confirmed: bool) -> float:
     around = text[max(0, start - WINDOW) : start] + " " + text[end : end + WINDOW]
     score = PRIOR[kind] + CONFIRMED * confirmed
@@ -123,10 +158,7 @@ def added_spans(text: str, base: list[Span]) -> list[Span]:
     """Proposals beyond the base rules that reach the threshold and meet no base span."""
     proposals: list[tuple[int, int, str, bool]] = []
     if len(_DIGITS.findall(text)) >= 9:
-        for m in _IBAN.finditer(text):
-            code = m[0].replace(" ", "")
-            if 15 <= len(code) <= 34 and mod97(code):
-                proposals.append((*m.span(), "iban", True))
+        proposals += [(start, end, "iban", True) for start, end in _ibans(text)]
         for m in _CARD_ALONE.finditer(text):
             digits = _only_digits(m[0])
             if 12 <= len(digits) <= 19 and luhn(digits):
