@@ -56,6 +56,11 @@ MARKS = frozenset(
 SITE_MARKS = frozenset("header siteheader pageheader".split())
 
 _ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+#: Classes that say how a page is laid out, though they name a part of it.
+_LAYOUT = re.compile(
+    r"(?<!\S)(?:(?:has|no|with|without|overflow)[-_]\S*|elementor-widget(?=-|\s|$)(?:-(?:container|wrap|text-editor|theme-\S*))?)(?!\S)",
+    re.IGNORECASE,
+)
 _NAME = re.compile(r"[A-Za-z][^\s/>]*")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _ENDS = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.IGNORECASE) for tag in RAW}
@@ -65,7 +70,7 @@ class Page:
     """Elements in page order as parallel lists; a parent comes before its children."""
 
     def __init__(self, source: str):
-        self.tags, self.parents, self.dropped = ["#root"], [-1], [False]
+        self.tags, self.parents, self.dropped, self.marked = ["#root"], [-1], [False], [False]
         #: (element, text) in page order; text None is a boundary of blocks.
         self.pieces: list[tuple[int, str | None]] = []
         self._stack, self._open = [0], {"#root": 1}
@@ -134,7 +139,10 @@ class Page:
         number = len(self.tags)
         self.tags.append(tag)
         self.parents.append(self._stack[-1])
-        self.dropped.append(tag in LEFT_OUT or self._marked(tag, attributes))
+        left_out = tag in LEFT_OUT or (tag == "header" and not any(self._open.get(name) for name in ARTICLE))
+        hidden = tag not in ("html", "body", *ARTICLE) and self._hidden(attributes)
+        self.dropped.append(left_out or hidden)
+        self.marked.append(self._marked(tag, attributes))
         if tag not in INLINE:
             self._boundary(number)
         if tag not in VOID:
@@ -143,19 +151,23 @@ class Page:
 
     def _marked(self, tag: str, attributes: str) -> bool:
         in_article = any(self._open.get(name) for name in ARTICLE)
-        if tag == "header":
-            return not in_article
-        if not attributes or tag in ("html", "body", *ARTICLE):
+        if not attributes or tag in ("html", "body", "header", *ARTICLE):
             return False
         for name, *values in _ATTRIBUTE.findall(attributes):
             name = name.lower()
             if name in ("class", "id", "role"):
-                for word in re.split(r"[^A-Za-z]+", "".join(values)):
+                for word in re.split(r"[^A-Za-z]+", _LAYOUT.sub(" ", "".join(values))):
                     low = word.lower()
                     parts = {low, *(p.lower() for p in _WORD.findall(word))}
                     if parts & MARKS or (not in_article and parts & SITE_MARKS):
                         return True
-            elif name == "aria-hidden" and "".join(values).lower() == "true":
+        return False
+
+    def _hidden(self, attributes: str) -> bool:
+        if not attributes:
+            return False
+        for name, *values in _ATTRIBUTE.findall(attributes):
+            if name.lower() == "aria-hidden" and "".join(values).lower() == "true":
                 return True
         return bool(re.search(r"\bhidden\b(?!\s*=)", re.sub(r"\"[^\"]*\"|'[^']*'", "", attributes)))
 
@@ -171,9 +183,37 @@ class Page:
             if name == tag:
                 return
 
+    def _drop_marked(self) -> None:
+        """Drop marked elements, except wrappers of the whole article.
+
+        If no article or main element stands outside the marked ones, those that hold one, or that hold most
+        of the page's text outside links, are left to the density.
+        """
+        size, tags = len(self.tags), self.tags
+        left_out, under, linked = self.dropped[:], self.marked[:], [False] * size
+        for i in range(1, size):
+            up = self.parents[i]
+            left_out[i] = left_out[i] or left_out[up]
+            under[i] = under[i] or under[up]
+            linked[i] = tags[i] == "a" or linked[up]
+        chars, holds = [0] * size, [False] * size
+        for element, text in self.pieces:
+            if text and not left_out[element] and not linked[element]:
+                chars[element] += len("".join(text.split()))
+        for i in range(size - 1, 0, -1):
+            up = self.parents[i]
+            chars[up] += chars[i]
+            holds[up] = holds[up] or holds[i] or (tags[i] in ARTICLE and not left_out[i] and chars[i] > 0)
+        plain = any(tags[i] in ARTICLE and chars[i] and not under[i] for i in range(1, size))
+        for i in range(1, size):
+            if self.marked[i] and (plain or not (holds[i] or 2 * chars[i] > chars[0])):
+                self.dropped[i] = True
+
     def content(self) -> list[bool]:
         """Which elements hold the article."""
         size = len(self.tags)
+        if any(self.marked):
+            self._drop_marked()
         dropped = self.dropped
         for i in range(1, size):
             dropped[i] = dropped[i] or dropped[self.parents[i]]

@@ -1,0 +1,29 @@
+"""Articles within elements whose class has a word for boilerplate."""
+
+from __future__ import annotations
+
+import pytest
+
+from daylake.llm import html
+
+TEXT = " ".join(["A sentence of the article that is long enough."] * 5)
+ADS = "<div class='sidebar'><p>Buy this now</p></div>"
+
+
+@pytest.mark.parametrize("name", ["overflow-hidden", "elementor-widget-container", "layout has-sidebar", "no-sidebar", "promo overlay"])
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+def test_wrappers_of_the_article_stay(name, tag):
+    assert html.main_text(f"<body><div class='{name}'><{tag}><p>{TEXT}</p></{tag}>{ADS}</div></body>") == TEXT
+
+
+def test_layout_classes_of_parts_of_an_article_stay():
+    part = "<div class='elementor-widget elementor-widget-text-editor'><p>{}</p></div>"
+    parts = "".join(part.format(f"{TEXT} {n}.") for n in range(3))
+    assert html.main_text(f"<body><div>{parts}</div>{ADS}</body>") == " ".join(f"{TEXT} {n}." for n in range(3))
+
+
+def test_marked_parts_beside_an_article_go():
+    comments = f"<div id=comments><article><p>{'Nice one. ' * 200}</p></article></div>"
+    assert html.main_text(f"<body><article><p>{TEXT}</p></article>{comments}</body>") == TEXT
+    assert html.main_text(f"<body><header><p>{TEXT}</p></header><article><p>Short.</p></article></body>") == "Short."
+    assert html.main_text(f"<body><article><p>{TEXT}</p><div class='share'>Tell all</div></article></body>") == TEXT
