@@ -37,7 +37,7 @@ COUNTS = (
     "n_digits",
     "longest_word",
 )
-#: Learned from at most this many labelled documents, picked by a hash of their id.
+#: Learned from about this many labelled documents at most, picked by a hash of id, label and statistics.
 FIT_ROWS = 20_000
 
 
@@ -239,13 +239,14 @@ def described(rules: list[Rule]) -> list[str]:
 def train(stats: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> list[Rule]:
     """Rules from statistics joined with labels (doc_id, quality: 0 is bad).
 
-    The join carries numbers only. Beyond `fit_rows` labelled rows a hash of the id picks about that
-    many. Null ids and labels are not used.
+    The join carries numbers only, and rows that are alike in id, label and statistics count once. Beyond
+    `fit_rows` of these a hash of all three picks about that many. Null ids and labels are not used.
     """
-    known = labels.select(F.col("doc_id").alias("id"), "quality").where("quality is not null")
-    joined = stats.join(known, stats["doc_id"] == known["id"])
-    total = known.count()
-    share = F.pmod(F.xxhash64("id", F.lit("fit")), F.lit(1_000_000)) < 1_000_000 * min(1.0, fit_rows / max(1, total))
+    known = labels.select(F.col("doc_id").alias("id"), "quality").where("quality is not null").distinct()
+    once = stats.select("doc_id", *COUNTS).distinct()
+    joined = stored(once.join(known, once["doc_id"] == known["id"]).select("id", "quality", *COUNTS), "quality-labelled")
+    hashed = F.pmod(F.xxhash64("id", "quality", *COUNTS, F.lit("fit")), F.lit(1 << 53))
+    share = hashed < (1 << 53) * min(1.0, fit_rows / max(1, joined.count()))
     rows = (
         joined.where(share)
         .select("id", "quality", *[c.alias(n) for n, c in features().items()])
