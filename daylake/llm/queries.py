@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daylake.llm import decontaminate, html, langid, lm, packing, pii, quality, secrets, simhash, warc
+from daylake.llm import (
+    decontaminate,
+    html,
+    langid,
+    lm,
+    packing,
+    periodic,
+    phrases,
+    pii,
+    quality,
+    secrets,
+    simhash,
+    warc,
+    whitening,
+)
 from daylake.llm.common import table
 
 
@@ -59,6 +73,39 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of documents in which some repeat themselves; the longest run, and digests of all and of what is kept."""
+    found = periodic.periodic_runs(table(spark, sf_dir, "documents"), repeats=periodic.planted_repeats)
+    # The greatest length, then the least start, then the least period.
+    longest = F.array_max(
+        F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("p")))
+    )
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.concat(F.array_join(line, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.withColumn("longest", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("longest.s")).alias("start"),
+        F.col("longest.length").alias("length"),
+        (-F.col("longest.p")).alias("period"),
+        F.expr("1000 * longest.length div -longest.p").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened embeddings; a deviation that 64 bits cannot hold is null."""
+    return whitening.whitened(table(spark, sf_dir, "embeddings")).withColumn(
+        "deviation", F.col("deviation").try_cast("long")
+    )
+
+
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = phrases.without_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -72,6 +119,9 @@ QUERIES = {
         op8_packing,
         op9_language_id,
         op10_simhash,
+        op11_periodic_runs,
+        op12_whitening,
+        op13_substring_dedup,
     )
 }
 #: A page's record as SQL has it: digests and the choice of the stored copy.
