@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daylake.llm import decontaminate, langid, neardup, packing, pii
+from daylake.llm import decontaminate, langid, packing, pii, simhash
 from daylake.llm.common import stored, table
 from daylake.llm.queries import tokenizer_path
 
@@ -20,9 +20,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.fit_model(langid.sample(docs))
     return langid.accepted(docs, model, LEAST_SCORE)
 
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one with the least id: five-word shingles, similarity 0.8."""
-    return neardup.one_per_group(docs)
+    """One document of each group of near copies, the one with the least id: fingerprints of three-word shingles, at
+    most three bits apart at each link."""
+    return simhash.one_per_group(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
