@@ -318,7 +318,8 @@ def without_repeats(
     if not 1 <= gram <= window:
         raise ValueError("a gram has between one word and those of a window")
     slim = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    blocks = stored(blocks_of(slim, block_bytes), "phrases-blocks")
+    # Said once for both joins, so that they share one shuffle of the blocks.
+    blocks = stored(blocks_of(slim, block_bytes), "phrases-blocks").filter("block IS NOT NULL")
     anchored = blocks.mapInArrow(_emit_anchors(window, gram), "anchor long, block long, n int")
     shared = _recurring(anchored, "anchor").groupBy("block").agg(F.collect_list("anchor").alias("anchors"))
     windows = blocks.join(shared, "block").mapInArrow(
