@@ -20,6 +20,7 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import compress
+from math import isqrt
 
 import ahocorasick
 import numpy as np
@@ -36,7 +37,7 @@ WINDOW = 35
 GRAM = 12
 #: Text of a block, in bytes; a longer text is a block of its own.
 BLOCK_BYTES = 4_000_000
-#: Words of the passages in one automaton. Each distinct word is one letter there, of some 1.1 million.
+#: Words of the passages in one automaton.
 SHARD_WORDS = 500_000
 
 DOCS = pa.schema([("doc_id", pa.int64()), ("text", pa.binary())])
@@ -195,37 +196,41 @@ def passages(places: np.ndarray, window: int) -> Iterator[tuple[int, int]]:
 
 
 class PhraseAutomaton:
-    """An Aho-Corasick automaton over phrases cut from passages; a letter is a word's number."""
+    """An Aho-Corasick automaton over phrases cut from passages.
 
-    def __init__(self, pieces: list[np.ndarray], window: int, gram: int):
+    A word's number, below `numbers`, is written as two letters, its quotient and rest by the root of `numbers`:
+    a state then has few branches to search, the first one above all.
+    """
+
+    def __init__(self, pieces: list[np.ndarray], numbers: int, window: int, gram: int):
         self.window, self.gram = window, gram
+        # Marks are the numbers -1 and -2.
+        self.base = isqrt(numbers + 2) + 1
         mark = np.array([-2], np.int32)
         self.text = np.concatenate([part for piece in pieces for part in (piece, mark)])
-        self.letters = np.unique(self.text)
         written = self._written(self.text)
-        self.places: dict[str, list[int]] = defaultdict(list)
+        places: dict[str, list[int]] = defaultdict(list)
         step, at = window - gram + 1, 0
         for piece in pieces:
             for place in range(at, at + len(piece) - gram + 1, step):
-                self.places[written[place : place + gram]].append(place)
+                places[written[2 * place : 2 * (place + gram)]].append(place)
             at += len(piece) + 1
         self.automaton = ahocorasick.Automaton()
-        for phrase, places in self.places.items():
-            self.automaton.add_word(phrase, places)
+        for phrase, found in places.items():
+            self.automaton.add_word(phrase, found)
         self.automaton.make_automaton()
 
     def _written(self, numbers: np.ndarray) -> str:
-        """Numbers as a string of one letter each; those in no passage share the letter 0."""
-        rank = np.minimum(np.searchsorted(self.letters, numbers), len(self.letters) - 1)
-        letter = np.where(self.letters[rank] == numbers, rank + 1, 0)
-        # No letter of a string lies in the range of surrogates.
-        return (letter + 2_048 * (letter >= 0xD800)).astype("<u4").tobytes().decode("utf-32-le")
+        letters = np.stack(np.divmod(numbers + 2, self.base), axis=1) + 1
+        return letters.astype("<u4").tobytes().decode("utf-32-le")
 
     def cover(self, numbers: np.ndarray) -> Iterator[tuple[int, int]]:
         """(start, end) of the runs of `numbers` that agree with a passage in `window` words or more."""
         reached: dict[int, int] = {}
         for end, places in self.automaton.iter(self._written(numbers)):
-            start = end - self.gram + 1
+            if not end % 2:
+                continue  # a hit from the middle of one word to that of another
+            start = end // 2 - self.gram + 1
             for place in places:
                 # What is matched along one diagonal needs no second look.
                 if reached.get(start - place, 0) > start:
@@ -259,7 +264,7 @@ def covered(block: Block, places: np.ndarray, window: int, gram: int, shard: int
     held = 0
 
     def stream() -> None:
-        for start, end in PhraseAutomaton(pieces, window, gram).cover(marked):
+        for start, end in PhraseAutomaton(pieces, len(block.vocabulary), window, gram).cover(marked):
             steps[start] += 1
             steps[end] -= 1
 
