@@ -1,9 +1,14 @@
+from daylake.plans.colocated import orders_with_last_status, publish_colocated
 from daylake.plans.jobs import (
+    Ingested,
+    IngestFailed,
     ingest,
+    ingest_each,
     refresh_order_items,
     refresh_order_statuses,
     refresh_orders,
     refresh_trusted,
+    registry,
 )
 from daylake.plans.trusted_order import (
     orders_with_consumers,
@@ -12,12 +17,18 @@ from daylake.plans.trusted_order import (
 )
 
 __all__ = [
+    "IngestFailed",
+    "Ingested",
     "ingest",
+    "ingest_each",
     "orders_with_consumers",
+    "orders_with_last_status",
     "orders_with_merchants",
+    "publish_colocated",
     "refresh_order_items",
     "refresh_order_statuses",
     "refresh_orders",
     "refresh_trusted",
+    "registry",
     "trusted_order",
 ]

@@ -47,16 +47,42 @@ def trusted_order(
     with `key="customer_id"` its existence needs no check before the choice. Dimensions that
     repeat a key are reduced to one row, as the choice per key would do.
     """
-    linked = orders.filter("customer_id IS NOT NULL").join(
-        merchants.select(F.col("id").alias("merchant_id")), "merchant_id", "left_semi"
+    chosen = latest(linked_orders(orders, consumers, merchants, key), key, newest, tie_break)
+    return completed(
+        chosen,
+        one_per_key(consumers, "customer_id"),
+        one_per_key(merchants, "id"),
+        last_status(status),
+        run_date,
+        salt,
+        hashed,
     )
+
+
+def linked_orders(orders: DataFrame, consumers: DataFrame, merchants: DataFrame, key: str) -> DataFrame:
+    """Orders that have a merchant and may have a consumer: the rows among which the newest is chosen."""
+    known = merchants.select(F.col("id").alias("merchant_id"))
+    linked = orders.filter("customer_id IS NOT NULL").join(known, "merchant_id", "left_semi")
     if key != "customer_id":
         linked = linked.join(consumers.select("customer_id"), "customer_id", "left_semi")
-    chosen = latest(linked, key, newest, tie_break)
+    return linked
 
-    full = orders_with_consumers(chosen, one_per_key(consumers, "customer_id"))
-    full = orders_with_merchants(full, one_per_key(merchants, "id"))
-    last_status = latest(status, "order_id", "status_created_at", ["status_value"]).select(
-        "order_id", "status_created_at", "status_value"
-    )
-    return hash_columns(stamp(full.join(last_status, "order_id"), run_date), hashed, salt)
+
+def last_status(status: DataFrame) -> DataFrame:
+    """The latest status row of each order."""
+    ranked = latest(status, "order_id", "status_created_at", ["status_value"])
+    return ranked.select("order_id", "status_created_at", "status_value")
+
+
+def completed(
+    chosen: DataFrame,
+    consumers: DataFrame,
+    merchants: DataFrame,
+    last: DataFrame,
+    run_date: dt.date,
+    salt: str,
+    hashed: Sequence[str] = ("cpf",),
+) -> DataFrame:
+    """Chosen orders with the columns of their consumer, merchant and latest status; each of these holds a key once."""
+    full = orders_with_merchants(orders_with_consumers(chosen, consumers), merchants)
+    return hash_columns(stamp(full.join(last, "order_id"), run_date), hashed, salt)

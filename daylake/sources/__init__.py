@@ -1,4 +1,6 @@
+from daylake.sources.commits import vacuum
 from daylake.sources.readers import (
+    Days,
     file_inventory,
     latest_day_before,
     raw_consumers,
@@ -8,12 +10,16 @@ from daylake.sources.readers import (
     read_source,
     scan,
 )
+from daylake.sources.registry import Registry, SchemaConflict
 from daylake.sources.writers import AUTO, GateResult, stamp, write_by_day, write_day, write_flat, write_gated
 from daylake.sources.zones import work_dir, zone_path
 
 __all__ = [
     "AUTO",
+    "Days",
     "GateResult",
+    "Registry",
+    "SchemaConflict",
     "file_inventory",
     "latest_day_before",
     "raw_consumers",
@@ -23,6 +29,7 @@ __all__ = [
     "read_source",
     "scan",
     "stamp",
+    "vacuum",
     "work_dir",
     "write_by_day",
     "write_day",

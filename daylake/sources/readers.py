@@ -3,25 +3,46 @@
 from __future__ import annotations
 
 import datetime as dt
+from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from daylake.functions.privacy import mask_linear
+from daylake.sources import commits
+from daylake.sources.commits import DAY
 
-DAY = "partition"
 RAW_DAY = "partition_column"
 
 
+class Days(NamedTuple):
+    """The days after one up to another, which counts; without the first, all up to the other."""
+
+    after: dt.date | None
+    upto: dt.date
+
+    def __contains__(self, day: object) -> bool:
+        return isinstance(day, dt.date) and day <= self.upto and (self.after is None or day > self.after)
+
+    def where(self, column: str) -> Column:
+        until = F.col(column) <= F.lit(self.upto)
+        return until if self.after is None else until & (F.col(column) > F.lit(self.after))
+
+
 def read_source(
-    spark: SparkSession, path: str, fmt: str, schema: StructType | None = None, infer: bool = False
+    spark: SparkSession,
+    path: str,
+    fmt: str,
+    schema: StructType | None = None,
+    infer: bool = False,
+    corrupt: str | None = None,
 ) -> DataFrame:
     """CSV with a header row, or JSON lines; gzip is recognized by the file name.
 
     Without a schema, CSV columns are strings and JSON cannot be read, unless `infer=True` lets
-    an extra pass over the files look for columns and types.
+    an extra pass over the files look for columns and types. A record that does not fit the schema gives
+    nulls; `corrupt` names a column that holds the text of such records, and null for all others.
     """
     if fmt not in ("csv", "json"):
         raise ValueError(f"no source reader for {fmt!r}")
@@ -30,6 +51,11 @@ def read_source(
     reader = spark.read.format(fmt)
     if fmt == "csv":
         reader = reader.option("header", True).option("inferSchema", infer)
+    if corrupt is not None:
+        if schema is None:
+            raise ValueError("without a schema there is nothing that a record does not fit")
+        schema = StructType(list(schema.fields)).add(corrupt, "string")
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.load(path)
@@ -38,48 +64,63 @@ def read_source(
 def scan(
     spark: SparkSession,
     path: str,
-    day: dt.date | None = None,
+    day: dt.date | Days | None = None,
     day_column: str = DAY,
     schema: StructType | None = None,
 ) -> DataFrame:
-    """Parquet table with day partitions: every day, or one day by partition pruning.
+    """Parquet table with day partitions: every day, one day, or a range of days.
 
-    With a declared `schema` (without the day) no footer is read to plan. Otherwise the columns of
-    all days are merged. A column that a day lacks is null there.
+    Of a table with commits the folders that the newest one names are read, with its schema unless another is
+    given. Else days are pruned by folder; with a declared `schema` (without the day) no footer is read to plan,
+    otherwise the columns of all days are merged. A column that a day lacks is its default or null there.
     """
+    commit = commits.newest(spark, path)
+    if commit is not None:
+        wanted = [d for d in commit.days if day is None or (d in day if isinstance(day, Days) else d == day)]
+        return commits.read(spark, path, commit, wanted, schema)
     if schema is not None:
-        df = spark.read.schema(StructType(schema.fields).add(day_column, "date")).parquet(path)
+        df = spark.read.schema(StructType(list(schema.fields)).add(day_column, "date")).parquet(path)
     else:
         df = spark.read.option("mergeSchema", True).parquet(path)
-    return df if day is None else df.filter(F.col(day_column) == F.lit(day))
+    if day is None:
+        return df
+    return df.filter(day.where(day_column) if isinstance(day, Days) else F.col(day_column) == F.lit(day))
 
 
-def _raw(spark: SparkSession, path: str, day: dt.date | None) -> DataFrame:
-    return scan(spark, path, day, RAW_DAY).drop(RAW_DAY)
+def _raw(spark: SparkSession, path: str, day: dt.date | Days | None, schema: StructType | None) -> DataFrame:
+    return scan(spark, path, day, RAW_DAY, schema).drop(RAW_DAY)
 
 
-def raw_orders(spark: SparkSession, path: str, day: dt.date | None = None) -> DataFrame:
-    return _raw(spark, path, day).drop("customer_name")
+def raw_orders(
+    spark: SparkSession, path: str, day: dt.date | Days | None = None, schema: StructType | None = None
+) -> DataFrame:
+    return _raw(spark, path, day, schema).drop("customer_name")
 
 
-def raw_status(spark: SparkSession, path: str, day: dt.date | None = None) -> DataFrame:
-    return _raw(spark, path, day).withColumnsRenamed(
+def raw_status(
+    spark: SparkSession, path: str, day: dt.date | Days | None = None, schema: StructType | None = None
+) -> DataFrame:
+    return _raw(spark, path, day, schema).withColumnsRenamed(
         {"created_at": "status_created_at", "value": "status_value"}
     )
 
 
-def raw_consumers(spark: SparkSession, path: str, day: dt.date | None = None) -> DataFrame:
+def raw_consumers(
+    spark: SparkSession, path: str, day: dt.date | Days | None = None, schema: StructType | None = None
+) -> DataFrame:
     """Consumers without the name, with the phone number masked."""
     return (
-        _raw(spark, path, day)
+        _raw(spark, path, day, schema)
         .drop("customer_name")
         .withColumnRenamed("created_at", "consumer_created_at")
         .withColumn("customer_phone_number", mask_linear("customer_phone_number"))
     )
 
 
-def raw_merchants(spark: SparkSession, path: str, day: dt.date | None = None) -> DataFrame:
-    return _raw(spark, path, day).withColumnRenamed("created_at", "restaurant_created_at")
+def raw_merchants(
+    spark: SparkSession, path: str, day: dt.date | Days | None = None, schema: StructType | None = None
+) -> DataFrame:
+    return _raw(spark, path, day, schema).withColumnRenamed("created_at", "restaurant_created_at")
 
 
 def file_inventory(
@@ -105,33 +146,26 @@ def file_inventory(
     )
 
 
-def latest_day_before(spark: SparkSession, path: str, day: dt.date) -> dt.date | None:
-    """Newest day partition before `day`; None if the table or such a day does not exist.
+def latest_day_before(
+    spark: SparkSession, path: str, day: dt.date, day_column: str = DAY
+) -> dt.date | None:
+    """Newest day of a table before `day`; None if the table or such a day does not exist.
 
-    Only the directory names of the table are listed, one per day.
+    The newest commit names the days; without one, folder names are listed, one per day, and the newest
+    folder that holds files counts.
     """
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    root = hadoop.Path(path)
-    found = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(
-        hadoop.Path(root, f"{DAY}=*")
-    )
-    days = [_date(s.getPath().getName().split("=", 1)[1]) for s in found or []]
-    return max((d for d in days if d is not None and d < day), default=None)
-
-
-def _date(name: str) -> dt.date | None:
-    # Rows without a day are in a folder whose name is no date.
-    try:
-        return dt.date.fromisoformat(name)
-    except ValueError:
-        return None
+    commit = commits.newest(spark, path)
+    if commit is not None:
+        return max((d for d in commit.days if d < day), default=None)
+    folders = commits.plain_days(spark, path, day_column)
+    earlier = sorted((d for d in folders if d < day), reverse=True)
+    return next((d for d in earlier if commits.holds_files(spark, f"{path}/{folders[d]}")), None)
 
 
 def count_day(spark: SparkSession, path: str, day: dt.date) -> int | None:
-    """Row count of one day partition from its file footers; None if it does not exist."""
-    try:
-        return spark.read.parquet(f"{path}/{DAY}={day.isoformat()}").count()
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    """Row count of one day from its file footers; None if it does not exist."""
+    commit = commits.newest(spark, path)
+    if commit is not None:
+        return commits.read(spark, path, commit, [day]).count() if day in commit.days else None
+    folder = f"{path}/{DAY}={day.isoformat()}"
+    return spark.read.parquet(folder).count() if commits.holds_files(spark, folder) else None

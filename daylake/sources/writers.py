@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
-import hashlib
 import logging
-import uuid
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from daylake.operators.quality import MAX_DROP_PERCENT, passes_gate
-from daylake.sources.readers import DAY, RAW_DAY, count_day, latest_day_before
-from daylake.sources.zones import remove, work_dir
+from daylake.sources import commits
+from daylake.sources.commits import DAY
+from daylake.sources.files import remove
+from daylake.sources.readers import RAW_DAY, count_day, latest_day_before
 
 log = logging.getLogger(__name__)
 
@@ -47,8 +47,12 @@ def write_day(
 ) -> None:
     """Write `df` as one day of the table at `path`, replacing that day only.
 
-    Without rows no file of the day would be touched, so its folder is then removed.
+    Without rows no file of the day would be touched, so its folder is then removed. A day of a table with
+    commits is written unseen and then promoted.
     """
+    if commits.newest(df.sparkSession, path) is not None:
+        commits.promote(df.sparkSession, commits.stage(_sized(df, files), path, run_date, column))
+        return
     written = Observation()
     counted = df.observe(written, F.count(F.lit(1)).alias("rows"))
     (
@@ -66,8 +70,10 @@ def write_by_day(df: DataFrame, path: str, day: Column, column: str = DAY) -> No
     """Write every row to the day it belongs to, replacing only the days present in `df`.
 
     Rows are gathered by day first, so that each day gets few files; a day with very many rows
-    is spread over several tasks again.
+    is spread over several tasks again. A table with commits takes one day at a time.
     """
+    if commits.newest(df.sparkSession, path) is not None:
+        raise ValueError(f"{path} has commits; write its days one by one")
     (
         df.withColumn(column, day)
         .hint("rebalance", column)
@@ -92,28 +98,27 @@ def write_gated(
 ) -> GateResult:
     """Write a day of the table at `path` unless its row count fell too far.
 
-    The rows are compared with the newest day before `run_date`; without one the previous count
-    is 1, so only an empty first day is refused. `df` runs once, into a staged table in the
-    shared work folder. Its count comes from the staged file footers, so retried tasks cannot
-    distort it, and the day is written from the staged rows, which packs small files. A refusal
-    leaves the table as it was. Each run stages in a folder of its own, which is removed at the end.
+    The rows are compared with the newest day before `run_date`; without one the previous count is 1, so only
+    an empty first day is refused. `df` runs once and its rows are written once, into a folder that no reader
+    sees. Their count comes from the file footers, so retried tasks cannot distort it. A commit then makes them
+    the day, at once: a run that ends before it, or is refused, leaves the table as it was. The replaced
+    rows stay for readers that hold them until `commits.vacuum`.
     """
     dataset = path.rstrip("/").rsplit("/", 1)[-1]
-    table = hashlib.sha256(path.encode()).hexdigest()[:16]
     spark = df.sparkSession
-    staged_path = f"{work_dir(spark)}/staging/{table}/{dataset}-{run_date.isoformat()}-{uuid.uuid4().hex}"
+    staged = commits.stage(_sized(df, files), path, run_date)
     try:
-        df.write.parquet(staged_path)
-        staged = spark.read.schema(df.schema).parquet(staged_path)
-        actual = staged.count()
+        actual = commits.rows_of(spark, staged).count()
         before = latest_day_before(spark, path, run_date)
         previous = None if before is None else count_day(spark, path, before)
         previous = 1 if previous is None else previous
         written = passes_gate(actual, previous, max_drop_percent)
         if written:
-            write_day(staged, path, run_date, DAY, files)
-        else:
-            log.warning("%s refused: %d rows after %d", dataset, actual, previous)
-    finally:
-        remove(spark, staged_path)
+            commits.promote(spark, staged)
+    except BaseException:
+        commits.discard(spark, staged)
+        raise
+    if not written:
+        commits.discard(spark, staged)
+        log.warning("%s refused: %d rows after %d", dataset, actual, previous)
     return GateResult(dataset, run_date, actual, previous, written)

@@ -28,9 +28,3 @@ def work_dir(spark: SparkSession) -> str:
     the session's warehouse where that is unset."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return shared.rstrip("/")
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder of any file system that Spark reads; one that is not there is no error."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
