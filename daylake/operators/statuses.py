@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daylake.operators.skew import HOT_ROWS, hot_keys, salt_count
+from daylake.operators.skew import HOT_ROWS, hot_items, salt_count
 
 # The status steps in the order of their output columns.
 STEPS = ("REGISTERED", "PLACED", "CONCLUDED", "CANCELLED")
@@ -36,25 +36,17 @@ def status_table(
     null. Entries that repeat a step multiply the rows of the order. With `chained=True` the
     first step must exist and each later step counts only if the one before it was reached.
 
-    Orders with more than `hot_rows` entries of a step, and more than a millionth of all entries,
-    are found within the plan. They are joined with the entries of each step and cut into pieces.
-    All other orders are gathered and laid out inside the row, or joined as well if `gather` is
-    off. No job runs while the plan is built.
+    Orders with more than `hot_rows` entries of a step are found by a sketch within the plan, and cut into pieces:
+    the entries of that step are dealt to the pieces, the others are repeated in each. Every piece of an order is
+    gathered and laid out inside its row, or joined with the entries of each step if `gather` is off. Which
+    orders are cut has no effect on the rows. No job runs while the plan is built.
     """
     ids = orders.select("order_id").dropDuplicates()
     entries = _entries(status, steps)
+    if gather:
+        return _named(_gathered(ids, entries, steps, chained, _hot_orders(entries, hot_rows)), steps)
     distinct = _distinct(entries)
-    hot = F.broadcast(_hot_orders(distinct, len(steps), chained, hot_rows))
-    if not gather:
-        return _named(_joined(ids, distinct, steps, chained, hot), steps)
-    key = hot.select("order_id")
-    ordinary = _gathered(
-        ids.join(key, "order_id", "left_anti"), entries.join(key, "order_id", "left_anti"), steps, chained
-    )
-    cut = _joined(
-        ids.join(key, "order_id", "left_semi"), distinct.join(key, "order_id", "left_semi"), steps, chained, hot
-    )
-    return _named(ordinary, steps).unionByName(_named(cut, steps))
+    return _named(_joined(ids, distinct, steps, chained, _hot_orders(distinct, hot_rows)), steps)
 
 
 def _named(laid_out: DataFrame, steps: Sequence[str]) -> DataFrame:
@@ -75,14 +67,18 @@ def _distinct(entries: DataFrame) -> DataFrame:
     )
 
 
-def _gathered(ids: DataFrame, entries: DataFrame, steps: Sequence[str], chained: bool) -> DataFrame:
+def _gathered(
+    ids: DataFrame, entries: DataFrame, steps: Sequence[str], chained: bool, hot: DataFrame
+) -> DataFrame:
+    """Orders with the entries of each step, gathered in one shuffle."""
+    ids, entries = _in_pieces(ids, entries, hot)
     # A set is formed before the shuffle already, so copies of an entry do not travel.
-    history = entries.groupBy("order_id").agg(F.collect_set(F.struct("step", "at")).alias("entries"))
+    history = entries.groupBy("order_id", "piece").agg(F.collect_set(F.struct("step", "at")).alias("entries"))
     places = range(1, len(steps) + 1)
     # The arrays are columns of their own before the first explode, which keeps the explodes in
     # generated code.
-    out = ids.join(history, "order_id", "inner" if chained else "left").select(
-        "order_id", *[_entries_of(k).alias(f"entries_{k}") for k in places]
+    out = ids.join(history, ["order_id", "piece"], "inner" if chained else "left").select(
+        "order_id", "piece", "split", *[_entries_of(k).alias(f"entries_{k}") for k in places]
     )
     for k in places:
         of_step = F.col(f"entries_{k}")
@@ -90,6 +86,7 @@ def _gathered(ids: DataFrame, entries: DataFrame, steps: Sequence[str], chained:
             of_step = F.when(F.col(f"e_{k - 1}").isNotNull(), of_step)
         generator = F.explode if chained and k == 1 else F.explode_outer
         out = out.withColumn(f"e_{k}", generator(of_step)).drop(f"entries_{k}")
+        out = _whole_pieces(out, k, chained)
     return out
 
 
@@ -97,40 +94,56 @@ def _entries_of(step: int) -> Column:
     return F.filter("entries", lambda e: e["step"] == step)
 
 
-def _hot_orders(entries: DataFrame, steps: int, chained: bool, hot_rows: int) -> DataFrame:
-    """Hot orders, each with the step to split and the number of pieces.
+def _hot_orders(entries: DataFrame, hot_rows: int) -> DataFrame:
+    """(key, split, pieces) of hot orders: the id as text, the step to split and the number of pieces.
 
     Only the step with most entries is split. A result row takes one entry of each step, so an
     order has at least as many result rows as the product of its two largest steps: the second
     largest is small wherever the result can be written at all.
     """
-    counts = entries.groupBy("order_id").agg(
-        *[F.count_if(F.col("step") == k).alias(f"n_{k}") for k in range(1, steps + 1)]
+    found = hot_items(entries, F.concat("step", F.lit(":"), F.col("order_id").cast("string")), hot_rows)
+    step = F.substring_index("item", ":", 1).cast("int")
+    key = F.expr("substring(item, instr(item, ':') + 1)")
+    largest = found.groupBy(key.alias("key")).agg(F.max(F.struct("rows", step.alias("split"))).alias("largest"))
+    return F.broadcast(
+        largest.select("key", "largest.split", salt_count(F.col("largest.rows"), hot_rows).alias("pieces"))
     )
-    usable, sized = F.lit(True), []
-    for k in range(1, steps + 1):
-        n = F.col(f"n_{k}")
-        # In a chain a step after a missing one never reaches the result.
-        usable = (usable & (n > 0)) if chained else usable
-        sized.append(F.struct(F.when(usable, n).otherwise(0).alias("rows"), F.lit(k).alias("split")))
-    largest = counts.select("order_id", F.greatest(*sized).alias("largest"))
-    return hot_keys(largest.select("order_id", "largest.*"), "rows", hot_rows).select(
-        "order_id", "split", salt_count(F.col("rows"), hot_rows).alias("pieces")
+
+
+def _in_pieces(ids: DataFrame, entries: DataFrame, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Orders once for each piece, and entries with theirs. Entries of the split step are spread over the
+    pieces; the order and its other entries are repeated in each."""
+    every_piece = F.sequence(F.lit(0), F.coalesce("pieces", F.lit(1)) - 1)
+    own_piece = F.array(F.pmod(F.xxhash64("at"), F.col("pieces")).cast("int"))
+    piece = F.when(F.col("split") == F.col("step"), own_piece).otherwise(every_piece)
+
+    def keyed(df: DataFrame) -> DataFrame:
+        return df.withColumn("key", F.col("order_id").cast("string")).join(hot, "key", "left")
+
+    return (
+        keyed(ids).select("order_id", F.explode(every_piece).alias("piece"), "split"),
+        keyed(entries).select("order_id", F.explode(piece).alias("piece"), "step", "at"),
     )
 
 
+def _whole_pieces(out: DataFrame, k: int, chained: bool) -> DataFrame:
+    """Without rows of pieces that received no entry of the split step `k`, of which the result has none.
+
+    In a chain the step may be out of reach of the whole order; its rows are then the same in every piece, and
+    those of the first stay.
+    """
+    kept = F.coalesce(F.col("split") != k, F.lit(True)) | F.col(f"e_{k}").isNotNull()
+    if chained and k > 1:
+        kept = kept | (F.col(f"e_{k - 1}").isNull() & (F.col("piece") == 0))
+    return out.filter(kept)
+
+
 def _joined(
     ids: DataFrame, entries: DataFrame, steps: Sequence[str], chained: bool, hot: DataFrame
 ) -> DataFrame:
     """Orders joined with the entries of each step. `entries` are distinct, so the rows are as well."""
     keys = ["order_id", "piece"]
-    every_piece = F.sequence(F.lit(0), F.coalesce("pieces", F.lit(1)) - 1)
-    own_piece = F.array(F.pmod(F.xxhash64("at"), F.col("pieces")).cast("int"))
-    # Entries of the split step are spread over the pieces; the order and its other entries are
-    # repeated in each.
-    piece = F.when(F.col("split") == F.col("step"), own_piece).otherwise(every_piece)
-    entries = entries.join(hot, "order_id", "left").withColumn("piece", F.explode(piece))
-    out = ids.join(hot, "order_id", "left").withColumn("piece", F.explode(every_piece))
+    out, entries = _in_pieces(ids, entries, hot)
     for k in range(1, len(steps) + 1):
         of_step = entries.filter(F.col("step") == k).select(*keys, F.struct("at").alias(f"e_{k}"))
         if chained and k > 1:
@@ -142,9 +155,7 @@ def _joined(
             out = left.join(right, on, "left").select("l.*", f"e_{k}")
         else:
             out = out.join(of_step, keys, "inner" if chained else "left")
-        # A piece that received no entry of the split step holds no row of the result.
-        whole = F.coalesce(F.col("split") != k, F.lit(True))
-        out = out.filter(whole | F.col(f"e_{k}").isNotNull())
+        out = _whole_pieces(out, k, chained)
     return out
 
 

@@ -268,6 +268,20 @@ status_rows AS (
 SELECT 'order' AS dataset, true AS written, count(*) AS row_count, count(DISTINCT order_id) AS orders FROM trusted
 UNION ALL SELECT 'order_items', true, count(*), count(DISTINCT order_id) FROM item_rows
 UNION ALL SELECT 'order_statuses', true, count(*), count(DISTINCT order_id) FROM status_rows""",
+    "trusted_order_incremental": f"WITH {ORD}, {CONSUMER}, {MERCHANT}, {STATUS}, {CHOSEN} SELECT * FROM trusted",
+    "orders_status_colocated": f"""
+WITH {ORD}, {STATUS}
+SELECT ord.*, status_value, status_created_at FROM ord
+JOIN (SELECT * EXCLUDE (rn) FROM (SELECT *, {RANKED_STATUS} FROM status) WHERE rn = 1) s
+  ON s.order_id = ord.order_id""",
+    "evolved_scan": """
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 2 = 1 THEN o_orderpriority ELSE 'NONE' END AS o_orderpriority,
+       CASE WHEN o_orderkey % 2 = 1 THEN DATE '2024-01-31' ELSE DATE '2024-01-30' END AS partition_column
+FROM orders""",
+    "quarantined_records": """
+SELECT c_custkey, CASE WHEN c_custkey % 7 <> 0 THEN c_name END AS c_name,
+       CASE WHEN c_custkey % 7 <> 0 THEN c_acctbal END AS c_acctbal, c_custkey % 7 = 0 AS set_aside
+FROM customer""",
     "order_statuses": FOUR_JOINS,
     "order_statuses_one_pass": FOUR_JOINS,
     "order_statuses_latest": LATEST_STEPS,

@@ -96,6 +96,41 @@ def partition_scan_day(spark, sf_dir):
     return sources.scan(spark, path, day)
 
 
+def evolved_scan(spark, sf_dir):
+    """Raw orders of two days by their declared schema: the first day's files lack a column, which has a default,
+    and hold another in a narrower type."""
+    path, registry = _fresh(spark, "orders"), sources.Registry(spark, _fresh(spark, "schemas"))
+    orders = t.table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_custkey").cast("int").alias("o_custkey"), "o_orderpriority"
+    )
+    late = F.col("o_orderkey") % 2 == 1
+    first = orders.filter(~late).drop("o_orderpriority")
+    second = orders.filter(late).withColumn("o_custkey", F.col("o_custkey").cast("long"))
+    for df, day, defaults in (
+        (first, RUN_DATE - dt.timedelta(days=1), {}),
+        (second, RUN_DATE, {"o_orderpriority": "'NONE'"}),
+    ):
+        registry.declare("orders", df.schema, defaults)
+        sources.write_day(df, path, day)
+    return sources.scan(spark, path, day_column="partition_column", schema=registry.schema("orders"))
+
+
+def quarantined_records(spark, sf_dir):
+    """Customers delivered as CSV in which every seventh balance is no number: rows that fit, and rows set aside."""
+    zones = {name: _fresh(spark, name) for name in ("source", "raw", "quarantine")}
+    customer = t.table(spark, sf_dir, "customer")
+    broken = F.when(F.col("c_custkey") % 7 == 0, F.lit("n/a")).otherwise(F.col("c_acctbal").cast("string"))
+    path = sources.zone_path(zones, "source", "customer", "csv")
+    customer.withColumn("c_acctbal", broken).write.option("compression", "gzip").csv(path, header=True)
+    plans.ingest(spark, zones, [("customer", "csv", customer.schema)], RUN_DATE, quarantine=True)
+    good = sources.scan(spark, sources.zone_path(zones, "raw", "customer"), RUN_DATE, "partition_column")
+    bad = sources.scan(spark, sources.zone_path(zones, "quarantine", "customer"), RUN_DATE, "partition_column")
+    key = F.split_part("_record", F.lit(","), F.lit(1)).cast("long")
+    return good.select("c_custkey", "c_name", "c_acctbal", F.lit(False).alias("set_aside")).unionByName(
+        bad.select(key.alias("c_custkey"), F.lit(True).alias("set_aside")), allowMissingColumns=True
+    )
+
+
 def _gated(spark, sf_dir, second: DataFrame) -> DataFrame:
     """Every order as yesterday's snapshot, then `second` as today's; the table as it reads after."""
     path = _fresh(spark, "order")
@@ -147,7 +182,8 @@ def equality_filter(spark, sf_dir):
 
 
 def table_profile(spark, sf_dir):
-    return ops.profile(t.table(spark, sf_dir, "orders"), ["o_orderkey", "o_custkey"], ["o_orderpriority"])
+    keys = ["o_orderkey", "o_custkey"]
+    return ops.profile(t.table(spark, sf_dir, "orders"), keys, ["o_orderpriority"], dense=keys)
 
 
 def preview_rows(spark, sf_dir):
@@ -319,6 +355,37 @@ def order_status_funnel(spark, sf_dir):
     return ops.status_funnel(t.orders(spark, sf_dir), t.status(spark, sf_dir))
 
 
+def trusted_order_incremental(spark, sf_dir):
+    """Five raw days in which orders, statuses, consumers and merchants arrive in no order of time, each added to
+    what the day before left; the last day's trusted orders."""
+    zones = {"raw": _fresh(spark, "raw"), "trusted": _fresh(spark, "trusted")}
+    days = [RUN_DATE - dt.timedelta(days=4 - k) for k in range(5)]
+
+    def dealt(df: DataFrame, name: str, *columns: str) -> None:
+        nth = F.pmod(F.xxhash64(*columns), F.lit(len(days))).cast("int")
+        day = F.date_add(F.lit(days[0]), nth)
+        sources.write_by_day(df, sources.zone_path(zones, "raw", name), day, "partition_column")
+        plans.registry(spark, zones).declare(name, df.schema)
+
+    dealt(t.orders(spark, sf_dir), "order", "order_id")
+    dealt(_raw_status(spark, sf_dir), "status", "order_id", "value", "created_at")
+    dealt(t.consumers(spark, sf_dir), "consumer", "customer_id")
+    dealt(t.merchants(spark, sf_dir), "restaurant", "id")
+    for day in days:
+        plans.refresh_orders(spark, zones, day, SALT, incremental=True)
+    return sources.scan(spark, sources.zone_path(zones, "trusted", "order"), RUN_DATE)
+
+
+def orders_status_colocated(spark, sf_dir):
+    """Orders with their latest status, joined bucket by bucket from tables stored by order id."""
+    database = f"q{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database}")
+    plans.publish_colocated(
+        t.orders(spark, sf_dir), t.status(spark, sf_dir), _fresh(spark, "by_id"), RUN_DATE, 8, database
+    )
+    return plans.orders_with_last_status(spark, RUN_DATE, database)
+
+
 def trusted_lake(spark, sf_dir):
     """All jobs on a lake of their own: raw days, the three trusted tables, and what they hold."""
     zones = {"raw": _fresh(spark, "raw"), "trusted": _fresh(spark, "trusted")}
@@ -385,5 +452,9 @@ QUERIES = {
         order_statuses_latest,
         order_status_funnel,
         trusted_lake,
+        trusted_order_incremental,
+        orders_status_colocated,
+        evolved_scan,
+        quarantined_records,
     )
 }
