@@ -23,12 +23,13 @@ from daylake.llm.common import batch, workers_import
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q ruby rb rp rt s samp small"
-    " span strike strong sub sup time tt u var wbr".split()
+    " span strike strong sub sup time tt u var wbr"
+    " math mi mn mo ms mtext mspace mrow mfrac msqrt mroot msub msup msubsup munder mover munderover semantics".split()
 )
 RAW = frozenset("script style noscript template textarea title iframe noembed noframes xmp".split())
 LEFT_OUT = RAW | frozenset(
-    "head nav footer aside form button select option optgroup fieldset input dialog menu svg canvas object embed"
-    " audio video map math datalist".split()
+    "head nav footer aside button select option optgroup fieldset input dialog menu svg canvas object embed"
+    " audio video map datalist annotation annotation-xml".split()
 )
 HEAD_ONLY = frozenset("base link meta title style script noscript template".split())
 ARTICLE = frozenset(("article", "main"))
@@ -52,6 +53,11 @@ MARKS = frozenset(
     " recommendations trending outbrain taboola widget widgets toolbar search searchform complementary contentinfo"
     " hidden skip skiplink disclaimer".split()
 )
+#: Of these, inside an article, where they are words like others, only as the whole of a class, id or role.
+WEAK = frozenset(
+    "alert search searchform widget widgets rail hidden banner overlay disclaimer toolbar complementary contentinfo"
+    " notification notifications discussion popup modal social menu pager".split()
+)
 #: Marked only outside an article: there, a header is that of the site.
 SITE_MARKS = frozenset("header siteheader pageheader".split())
 
@@ -150,16 +156,22 @@ class Page:
             self._open[tag] = self._open.get(tag, 0) + 1
 
     def _marked(self, tag: str, attributes: str) -> bool:
+        # A form is no part of an article, but may wrap the whole page.
+        if tag == "form":
+            return True
         in_article = any(self._open.get(name) for name in ARTICLE)
         if not attributes or tag in ("html", "body", "header", *ARTICLE):
             return False
         for name, *values in _ATTRIBUTE.findall(attributes):
             name = name.lower()
             if name in ("class", "id", "role"):
-                for word in re.split(r"[^A-Za-z]+", _LAYOUT.sub(" ", "".join(values))):
+                given = _LAYOUT.sub(" ", "".join(values))
+                if in_article and not WEAK.isdisjoint(given.lower().split()):
+                    return True
+                for word in re.split(r"[^A-Za-z]+", given):
                     low = word.lower()
                     parts = {low, *(p.lower() for p in _WORD.findall(word))}
-                    if parts & MARKS or (not in_article and parts & SITE_MARKS):
+                    if parts & (MARKS - WEAK if in_article else MARKS | SITE_MARKS):
                         return True
         return False
 
@@ -233,9 +245,10 @@ class Page:
                 links[up] += links[i]
                 tags[up] += tags[i] + 1
                 link_tags[up] += link_tags[i] + (self.tags[i] == "a")
+        opened = self._follows_text(in_link)
         for i in range(1, size):
-            # A list of links alone is a menu, wherever it stands.
-            if link_tags[i] >= 3 and links[i] > 0.8 * chars[i] and self.tags[i] not in INLINE:
+            # A list of links alone is a menu, unless it comes after text of the article element it is in.
+            if link_tags[i] >= 3 and links[i] > 0.8 * chars[i] and self.tags[i] not in INLINE and not opened[i]:
                 dropped[i] = True
             dropped[i] = dropped[i] or dropped[self.parents[i]]
         body = self.tags.index("body") if "body" in self.tags else 0
@@ -253,10 +266,10 @@ class Page:
         path = [best]
         while path[-1] > 0 and path[-1] != body:
             path.append(self.parents[path[-1]])
-        # The article element around the best node holds all of it, however uneven its parts are.
+        # The innermost article element around the best node holds all of it, however uneven its parts are.
         within = [i for i in path if self.tags[i] in ARTICLE]
         if within:
-            roots = {within[-1]}
+            roots = {within[0]}
         else:
             threshold = min((density[i] for i in path), default=0.0)
             roots = {best} | {i for i in range(size) if density[i] >= threshold > 0 and self.tags[i] not in INLINE}
@@ -271,6 +284,21 @@ class Page:
             out[i] = not dropped[i] and (i in roots or (i > 0 and out[self.parents[i]]))
         return out
 
+    def _follows_text(self, in_link: list[bool]) -> list[bool]:
+        """Whether each element begins after text, other than links, of the innermost article element around it."""
+        size = len(self.tags)
+        around, begun, follows = [-1] * size, [False] * size, [False] * size
+        for i in range(1, size):
+            around[i] = i if self.tags[i] == "article" else around[self.parents[i]]
+        met = [False] * size
+        for element, text in self.pieces:
+            if not met[element]:
+                met[element] = True
+                follows[element] = around[element] >= 0 and begun[around[element]]
+            if text and around[element] >= 0 and not in_link[element] and not self.dropped[element] and text.strip():
+                begun[around[element]] = True
+        return follows
+
     def text(self) -> str:
         """Text of the article: references decoded, white space collapsed, blocks joined by a space."""
         inside = self.content()
