@@ -44,7 +44,8 @@ class Encoder:
     It holds for tokenizers of lower-case text that never join text across ASCII white space, nor
     letters and marks: a text's ids are then those of its words one after the other. A-Z are lowered
     and marks at the ends of words set apart beforehand, so that there are fewer words to remember.
-    A tokenizer for which a probe text shows otherwise gets every text as a whole.
+    A tokenizer for which a probe text shows otherwise gets every text as a whole, and so does a text that
+    may hold one of the tokenizer's added tokens, which are found before anything else.
     """
 
     def __init__(self, path: str):
@@ -52,12 +53,22 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [token.content.lower() for token in self.tokenizer.get_added_tokens_decoder().values()]
+        # Searched in lower case, so that a token that is matched after lowering is found as well.
+        self.added = re.compile("|".join(map(re.escape, added)).encode()) if added else None
         self.known: dict[bytes, bytes] = {}
         self.by_words = self._by_words([_PROBE]) == self._whole([_PROBE])
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
-        return self._by_words(texts) if self.by_words else self._whole(texts)
+        if not self.by_words:
+            return self._whole(texts)
+        whole = [at for at, text in enumerate(texts) if self.added and self.added.search(text.lower())]
+        if not whole:
+            return self._by_words(texts)
+        held = set(whole)
+        plain = iter(self._by_words([text for at, text in enumerate(texts) if at not in held]))
+        encoded = iter(self._whole([texts[at] for at in whole]))
+        return [next(encoded if at in held else plain) for at in range(len(texts))]
 
     def _whole(self, texts: list[bytes]) -> list[bytes]:
         as_text = [text.decode("utf-8", "replace") for text in texts]

@@ -335,10 +335,9 @@ def test_encoders_give_the_ids_of_whole_texts(name, by_words):
     from tokenizers import Tokenizer
 
     encode, plain = packing.Encoder(tokenizer_path(name)), Tokenizer.from_file(tokenizer_path(name))
-    plain.encode_special_tokens = True
     assert encode.by_words is by_words
     rng = random.Random(5)
-    texts = ["", " ", "Two  Words.\n", "Caf\u00e9! \u00dcber, (na\u00efve) it's 3.5%", "<|endoftext|> x"]
+    texts = ["", " ", "Two  Words.\n", "Caf\u00e9! \u00dcber, (na\u00efve) it's 3.5%", "<|endoftext|> x", "the<|startoftext|>end", "<|EndOfText|>", "<|endoftext", "<|endoftext|>" * 3]
     texts += ["".join(rng.choices("aB\u00e9\u00df.,!?;'-# \n\t0 9", k=rng.randrange(60))) for _ in range(200)]
     for text, ids in zip(texts, encode([t.encode() for t in texts]), strict=True):
         assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, text
