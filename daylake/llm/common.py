@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from bisect import bisect_left
+from collections.abc import Iterable
 from pathlib import Path
 
 import pyarrow as pa
@@ -51,3 +53,28 @@ def texts_as_bytes(column: pa.Array) -> list[bytes]:
 def batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
     arrays = [pa.array(c, type=f.type, from_pandas=False) for c, f in zip(columns, schema, strict=True)]
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+
+class Taken:
+    """Stretches of a text that are taken, as disjoint intervals in order."""
+
+    def __init__(self, spans: Iterable[tuple[int, int]]):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for start, end in sorted(spans):
+            if self.ends and start <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], end)
+            else:
+                self.starts.append(start)
+                self.ends.append(end)
+
+    def meets(self, start: int, end: int) -> bool:
+        """Whether a taken place lies from `start` up to `end`."""
+        last = bisect_left(self.starts, end) - 1
+        return last >= 0 and self.ends[last] > start
+
+    def add(self, start: int, end: int) -> None:
+        """Take a stretch that meets none so far."""
+        at = bisect_left(self.starts, start)
+        self.starts.insert(at, start)
+        self.ends.insert(at, end)

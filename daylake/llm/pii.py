@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daylake.llm.common import batch, workers_import
+from daylake.llm.common import Taken, batch, workers_import
 
 Span = tuple[int, int, str]
 
@@ -170,13 +170,11 @@ def added_spans(text: str, base: list[Span]) -> list[Span]:
             if 9 <= len(_only_digits(m[0])) <= 15:
                 # A country code takes the place of a check: no phone number has a checksum.
                 proposals.append((*m.span(), "phone", m[0][0] == "+"))
-    taken, out = list(base), []
+    taken, out = Taken((a, b) for a, b, _ in base), []
     for start, end, kind, confirmed in sorted(proposals, key=lambda p: (-p[3], p[0])):
-        if any(a < end and start < b for a, b, _ in taken):
-            continue
-        if _score(text, start, end, kind, confirmed) >= THRESHOLD:
+        if not taken.meets(start, end) and _score(text, start, end, kind, confirmed) >= THRESHOLD:
             out.append((start, end, kind))
-            taken.append((start, end, kind))
+            taken.add(start, end)
     return out
 
 

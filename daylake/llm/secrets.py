@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daylake.llm.common import batch, workers_import
+from daylake.llm.common import Taken, batch, workers_import
 
 Span = tuple[int, int, str]
 
@@ -85,10 +85,10 @@ def log_ratios(counts: dict[str, np.ndarray]) -> np.ndarray:
 
 def added_spans(text: str, base: list[Span], ratios: np.ndarray) -> list[Span]:
     """Runs of key characters outside the base spans that the random model explains better."""
-    out = []
+    out, taken = [], Taken((a, b) for a, b, _ in base)
     for m in _CANDIDATE.finditer(text):
         start, end = m.span()
-        if any(a < end and start < b for a, b, _ in base):
+        if taken.meets(start, end):
             continue
         score = ratios[steps(m[0])].sum()
         if score >= TOTAL and score >= PER_CHARACTER * (end - start):

@@ -305,12 +305,13 @@ def read_archives(manifest: DataFrame, with_payload: bool = True) -> DataFrame:
     """One row per record of the archives in `manifest` (path).
 
     page_id, url, payload_bytes, payload_digest (lower-case hex SHA-1), record_type, refers_to and, if
-    asked for, the payload of responses. Files are read whole and in order, one after the other by
-    each task; a damaged record fails the task. An empty manifest gives no rows.
+    asked for, the payload of responses. Each file is a task of its own, which reads it in order; a damaged
+    record fails the task. An empty manifest gives no rows.
     """
     workers_import(manifest.sparkSession)
-    paths = manifest.select("path")
-    return paths.repartition(F.col("path")).mapInArrow(
+    # By number, which Spark does not reduce however short the list is.
+    files = max(1, manifest.count())
+    return manifest.select("path").repartition(files).mapInArrow(
         _read(with_payload),
         "page_id long, url string, payload_bytes long, payload_digest string, record_type string,"
         " refers_to long, payload binary",
