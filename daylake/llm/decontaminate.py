@@ -146,6 +146,11 @@ class Matcher:
                 if piece.item in exact:
                     continue
                 start = at - piece.offset
+                if not self.items[piece.item][2]:
+                    # The piece is the item, so short that it is no news within another word.
+                    if _whole_words(text, at, end + 1):
+                        exact[piece.item] = at
+                    continue
                 if start >= 0 and text.startswith(self.items[piece.item][1], start):
                     exact[piece.item] = start
                 elif self._grows(text, at, end + 1, piece):
@@ -178,6 +183,12 @@ class Matcher:
         return True
 
 
+def _whole_words(text: str, start: int, end: int) -> bool:
+    """Whether text[start:end] neither begins nor ends within a word."""
+    begins = not (text[start].isalnum() and text[start - 1 : start].isalnum())
+    return begins and not (text[end - 1].isalnum() and text[end : end + 1].isalnum())
+
+
 def _runs(starts: list[int], gap: int) -> Iterator[tuple[int, int]]:
     """Starts that lie within `gap` of each other share a window."""
     low = high = starts[0]
@@ -219,7 +230,7 @@ def contaminations(
 
     `distance` is the least edit distance of the item to a passage of the document, after both are
     lower-cased and white space is collapsed; start and end are the window that holds the passage,
-    in code points of that form. Each block of items is matched against all documents in one pass
+    in code points of that form. An item too short for an edit is found as whole words only. Each block of items is matched against all documents in one pass
     without a shuffle, so very long documents and frequent passages stay within one row's work.
     Null and empty texts match nothing, null ids stay null, repeated rows of documents or items give
     repeated rows, and an empty table on either side gives none.
