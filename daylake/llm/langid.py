@@ -201,7 +201,14 @@ def identified(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def accepted(docs: DataFrame, model: Model, least: float) -> DataFrame:
-    """The rows of `docs` whose language is found with a score of at least `least`; all columns stay."""
+    """The rows of `docs` whose language is found with a score of at least `least`; all columns stay.
+
+    A null text and one without a letter go, whatever their id; repeated rows are each kept or not, an empty
+    table gives none. A model that was given no labelled text knows no language to reject a text by: every text
+    with a letter then stays.
+    """
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     workers_import(docs.sparkSession)
 
     def scored(texts: pd.Series) -> pd.Series:
