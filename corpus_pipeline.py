@@ -15,30 +15,35 @@ LEAST_SCORE = 0.25
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that is learned from the labelled ones. Those without a letter and
-    those unlike any language known go."""
+    """Documents in a language that is learned from the labelled ones. Those without a letter and those unlike any
+    language known go; where none is labelled, all with a letter stay. Repeated rows share their fate, a null id
+    is like any other."""
     model = langid.fit_model(langid.sample(docs))
     return langid.accepted(docs, model, LEAST_SCORE)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one with the least id: fingerprints of three-word shingles, at
-    most three bits apart at each link."""
+    most three bits apart at each link. Rows that repeat an id and a fingerprint are one; a null id stays only
+    where its group has no other; null and empty texts are copies of each other."""
     return simhash.one_per_group(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item. Null and empty texts hold none, and so stay; null and empty items are
+    held by none."""
     return decontaminate.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts with personal data replaced by its kind in brackets; n_chars follows the new text."""
+    """Texts with personal data replaced by its kind in brackets; n_chars follows the new text. A null text stays null
+    and keeps its n_chars. Every row stays."""
     return pii.masked(docs).withColumn("n_chars", F.coalesce(F.char_length("text").cast("long"), F.col("n_chars")))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of 4096 tokens."""
+    """Pieces of documents in sequences of 4096 tokens. A null text is its end token alone; repeated rows are documents
+    of their own."""
     return packing.packed(docs, tokenizer_path()).drop("ids")
 
 
