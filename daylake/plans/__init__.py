@@ -4,6 +4,7 @@ from daylake.plans.jobs import (
     IngestFailed,
     ingest,
     ingest_each,
+    items_schema,
     refresh_order_items,
     refresh_order_statuses,
     refresh_orders,
@@ -21,6 +22,7 @@ __all__ = [
     "Ingested",
     "ingest",
     "ingest_each",
+    "items_schema",
     "orders_with_consumers",
     "orders_with_last_status",
     "orders_with_merchants",

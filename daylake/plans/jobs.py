@@ -10,13 +10,14 @@ from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructType
 
 from daylake.operators.nested import order_items
 from daylake.operators.statuses import latest_statuses, status_table
 from daylake.plans import incremental as inc
 from daylake.plans.trusted_order import trusted_order
 from daylake.sources import commits, files, readers
+from daylake.sources.inferred import InferredSchemas
 from daylake.sources.registry import Registry
 from daylake.sources.writers import GateResult, stamp, write_day, write_gated
 from daylake.sources.zones import SOURCE, zone_path
@@ -221,6 +222,18 @@ def refresh_order_items(
     return write_gated(df, zone_path(zones, TRUSTED, "order_items"), run_date, files)
 
 
+def items_schema(
+    spark: SparkSession, zones: Mapping[str, str], run_date: dt.date, anew: Iterable[dt.date] = ()
+) -> DataType:
+    """The schema of the item documents of all trusted orders up to `run_date`. Only days that no earlier call has
+    read, and those named in `anew`, are read."""
+    path = zone_path(zones, TRUSTED, "order")
+    commit = commits.newest(spark, path)
+    days = commit.days if commit else commits.plain_days_with_files(spark, path)
+    kept = InferredSchemas(spark, f"{zones[TRUSTED].rstrip('/')}/_schemas/order.items")
+    return kept.schema([d for d in days if d <= run_date], lambda d: readers.scan(spark, path, d), anew=anew)
+
+
 def refresh_order_statuses(
     spark: SparkSession,
     zones: Mapping[str, str],

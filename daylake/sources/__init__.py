@@ -1,4 +1,5 @@
 from daylake.sources.commits import vacuum
+from daylake.sources.inferred import InferredSchemas
 from daylake.sources.readers import (
     Days,
     file_inventory,
@@ -18,6 +19,7 @@ __all__ = [
     "AUTO",
     "Days",
     "GateResult",
+    "InferredSchemas",
     "Registry",
     "SchemaConflict",
     "file_inventory",

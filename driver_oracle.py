@@ -212,6 +212,7 @@ SELECT c_custkey AS customer_id, TRY_CAST(right(c_name, 9) AS BIGINT) * 5 / 2 AS
     "run_day": "SELECT event_id, CAST(ts - INTERVAL 3 HOUR AS DATE) AS day FROM events",
     "items_parsed": ITEM_ROWS,
     "items_inferred": ITEM_ROWS,
+    "items_inferred_by_day": ITEM_ROWS,
     "malformed_documents": """
 SELECT DISTINCT l_orderkey AS order_id FROM lineitem JOIN part ON l_partkey = p_partkey
 WHERE l_orderkey % 3 = 0""",

@@ -260,6 +260,17 @@ def items_inferred(spark, sf_dir):
     return _item_rows(ops.parse_items(docs, ops.infer_items_schema(docs)))
 
 
+def items_inferred_by_day(spark, sf_dir):
+    """Documents of three days, parsed by the schema that each day's run adds its own day's texts to."""
+    path, days = _fresh(spark, "order"), [RUN_DATE - dt.timedelta(days=2 - k) for k in range(3)]
+    day = F.date_add(F.lit(days[0]), F.pmod("order_id", F.lit(3)).cast("int"))
+    sources.write_by_day(t.carts(spark, sf_dir), path, day)
+    inferred = sources.InferredSchemas(spark, _fresh(spark, "items"))
+    for upto in range(3):
+        schema = inferred.schema(days[: upto + 1], lambda d: sources.scan(spark, path, d))
+    return _item_rows(ops.parse_items(sources.scan(spark, path), schema))
+
+
 def _item_rows(parsed: DataFrame) -> DataFrame:
     return ops.explode_items(parsed).select(
         "order_id",
@@ -439,6 +450,7 @@ QUERIES = {
         run_day,
         items_parsed,
         items_inferred,
+        items_inferred_by_day,
         malformed_documents,
         item_detail,
         garnish_detail,

@@ -145,3 +145,7 @@ def test_the_whole_job_runs_incrementally(spark, tmp_path):
         deliver(spark, zones, rows, day)
         gates = plans.refresh_trusted(spark, zones, day, "salt", incremental=True)
         assert [g.dataset for g in gates] == ["order", "order_items", "order_statuses"]
+        kind = plans.items_schema(spark, zones, day)
+        assert kind.simpleString() == "array<struct<garnishItems:array<struct<externalId:string>>,name:string>>"
+    kept = tmp_path / "trusted" / "_schemas" / "order.items"
+    assert sorted(p.name for p in kept.glob("*.ddl")) == [f"{day}.ddl" for day in DAYS[:2]]
