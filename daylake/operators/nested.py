@@ -100,9 +100,47 @@ def _item_ids(items: DataFrame) -> DataFrame:
     return items.withColumn("garnish_external_id", F.explode(ids))
 
 
-def item_detail(docs: DataFrame) -> DataFrame:
-    """One row per item and garnish id, with the item's columns and its garnish array."""
-    return _item_ids(_distinct_items(docs)).select(
+def _items_apart(docs: DataFrame, one_document_per_order: bool, broadcast_ids: int) -> list[DataFrame]:
+    """Distinct (order_id, item), in parts: orders with one document are told apart within the row, and only the
+    items of orders with several are shuffled."""
+    in_row = F.explode(_distinct_array("items")).alias("item")
+
+    def apart(one: DataFrame) -> DataFrame:
+        return parse_items(one.select("order_id", "items")).select("order_id", in_row)
+
+    if one_document_per_order:
+        return [apart(docs)]
+    single, several = _split_by_documents(docs, broadcast_ids)
+    return [apart(single)] if several is None else [apart(single), _distinct_items(several)]
+
+
+def _split_by_documents(docs: DataFrame, broadcast_ids: int) -> tuple[DataFrame, DataFrame | None]:
+    """Documents of orders that have one, and of all others; documents without an order id are one order's."""
+    docs = docs.select("order_id", "items")
+    repeated = docs.groupBy("order_id").count().filter("count > 1").select(F.col("order_id").alias("__repeated"))
+    ids = repeated.count()
+    if ids == 0:
+        return docs, None
+    known = F.broadcast(repeated) if ids <= broadcast_ids else repeated
+    of_several = F.col("order_id").eqNullSafe(F.col("__repeated"))
+    return docs.join(known, of_several, "left_anti"), docs.join(known, of_several, "left_semi")
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def item_detail(
+    docs: DataFrame, one_document_per_order: bool = False, broadcast_ids: int = BROADCAST_IDS
+) -> DataFrame:
+    """One row per item and garnish id, with the item's columns and its garnish array.
+
+    Items repeat across the documents of an order, if it has several; those orders are found by a count over the
+    ids alone, which is a job of its own, and only their items are shuffled. A caller who knows that there are
+    none says so and saves it.
+    """
+    parts = _items_apart(docs, one_document_per_order, broadcast_ids)
+    return _item_ids(_union(parts)).select(
         "order_id",
         *_item_columns(),
         "garnish_external_id",
@@ -110,14 +148,22 @@ def item_detail(docs: DataFrame) -> DataFrame:
     )
 
 
-def garnish_detail(docs: DataFrame) -> DataFrame:
-    """Distinct garnishes of each order. Each array is read once per item, not once per id."""
-    return (
-        parse_items(docs.select("order_id", "items"))
-        .select("order_id", F.explode(_all_garnishes("items")).alias("garnish"))
-        .select("order_id", *_garnish_columns())
-        .dropDuplicates()
-    )
+def garnish_detail(
+    docs: DataFrame, one_document_per_order: bool = False, broadcast_ids: int = BROADCAST_IDS
+) -> DataFrame:
+    """Distinct garnishes of each order. Each array is read once per item, not once per id; as in `item_detail`,
+    only garnishes of orders with several documents are shuffled."""
+
+    def garnishes(some: DataFrame) -> DataFrame:
+        parsed = parse_items(some.select("order_id", "items"))
+        return parsed.select("order_id", F.explode(_all_garnishes("items")).alias("garnish")).select(
+            "order_id", *_garnish_columns()
+        )
+
+    if one_document_per_order:
+        return garnishes(docs)
+    single, several = _split_by_documents(docs, broadcast_ids)
+    return garnishes(single) if several is None else _union([garnishes(single), garnishes(several).dropDuplicates()])
 
 
 def _match_in_row(docs: DataFrame, per_item: bool) -> DataFrame:
