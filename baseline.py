@@ -8,13 +8,14 @@ neither form pays for deriving them. Prints one JSON line per pair.
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import os
 import statistics
 import time
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import driver_tables as t
@@ -35,6 +36,10 @@ def masked_by_row(number):
     return None if number is None else str(int(number) * 5 / 2)
 
 
+#: Raw days of the incremental pair, the run's own included.
+RAW_DAYS = 3
+
+
 def literal_statuses(m) -> DataFrame:
     """One left join per step on a filtered scan, then distinct over the wide rows."""
     out = m["order"].select("order_id")
@@ -91,6 +96,21 @@ def literal_gated_write(df: DataFrame, path: str) -> None:
         sources.write_day(df, path, RUN_DATE, "partition", files=30)
 
 
+def raw_days(spark: SparkSession, m: dict, base: str) -> dict:
+    """The model tables as raw days: a hundredth of the rows on the run's day, the others on the days before."""
+    zones = {"raw": f"{base}/raw", "trusted": f"{base}/trusted"}
+    names = {"status_created_at": "created_at", "status_value": "value"}
+    for name, key in (("order", "order_id"), ("status", "order_id"), ("consumer", "customer_id"), ("restaurant", "id")):
+        df = m[name].withColumnsRenamed(names if name == "status" else {})
+        back = F.when(F.pmod(F.xxhash64(key), F.lit(100)) == 0, 0).otherwise(
+            1 + F.pmod(F.xxhash64(key, F.lit(1)), F.lit(RAW_DAYS - 1))
+        )
+        day = F.date_sub(F.lit(RUN_DATE), back.cast("int"))
+        sources.write_by_day(df, sources.zone_path(zones, "raw", name), day, "partition_column")
+        plans.registry(spark, zones).declare(name, df.schema)
+    return zones
+
+
 def previous_count(df: DataFrame, path: str) -> int:
     return df.sparkSession.read.parquet(f"{path}/partition={DAY_BEFORE}").count()
 
@@ -121,8 +141,18 @@ def main() -> None:
         )
 
     gated = {form: f"{base}/{form}/order" for form in ("literal", "rewritten")}
-    for path in gated.values():
-        sources.write_gated(trusted().drop("partition"), path, DAY_BEFORE)
+    sources.write_day(trusted().drop("partition"), gated["literal"], DAY_BEFORE, "partition")
+    sources.write_gated(trusted().drop("partition"), gated["rewritten"], DAY_BEFORE)
+
+    zones = {form: raw_days(spark, m, f"{base}/{form}") for form in ("all", "new")}
+    for k in reversed(range(1, RAW_DAYS)):
+        plans.refresh_orders(spark, zones["new"], RUN_DATE - dt.timedelta(days=k), SALT, incremental=True)
+    spark.sql("CREATE DATABASE IF NOT EXISTS baseline")
+    plans.publish_colocated(m["order"], m["status"], f"{base}/by_id", RUN_DATE, 8, "baseline")
+    last = ops.latest(m["status"], "order_id", "status_created_at", ["status_value"])
+    last.repartition(8).write.parquet(f"{base}/last_status")
+    last = spark.read.parquet(f"{base}/last_status")
+    keys = ["order_id", "customer_id"]
 
     def compute(build):
         return lambda: build().write.format("noop").mode("overwrite").save()
@@ -141,6 +171,18 @@ def main() -> None:
             lambda: literal_gated_write(literal_trusted_order(m), gated["literal"]),
             lambda: sources.write_gated(trusted().drop("partition"), gated["rewritten"], RUN_DATE),
         ),
+        "refresh_orders": (
+            lambda: plans.refresh_orders(spark, zones["all"], RUN_DATE, SALT, all_raw_days=True),
+            lambda: plans.refresh_orders(spark, zones["new"], RUN_DATE, SALT, incremental=True),
+        ),
+        "orders_status_colocated": (
+            compute(lambda: m["order"].join(last, "order_id")),
+            compute(lambda: plans.orders_with_last_status(spark, RUN_DATE, "baseline")),
+        ),
+        "table_profile": (
+            compute(lambda: m["order"].agg(F.count("*"), *[F.count_distinct(k) for k in keys])),
+            compute(lambda: ops.profile(m["order"], keys, dense=keys)),
+        ),
     }
     default = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     for joins, threshold in (("as planned", default), ("shuffled", "-1")):

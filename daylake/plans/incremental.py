@@ -23,6 +23,8 @@ from daylake.sources.readers import Days, latest_day_before
 #: Tables of the newest rows. A day that all of them have is a state.
 ORDERS, CONSUMERS, MERCHANTS, STATUS = "order", "consumer", "restaurant", "status"
 NAMES = (ORDERS, CONSUMERS, MERCHANTS, STATUS)
+#: Days for which states are kept, so that a run can be done again from one of them.
+KEPT_DAYS = 7
 
 
 class Newest(NamedTuple):
@@ -108,8 +110,12 @@ def advance(
     before = Newest(*[None] * len(NAMES)) if last is None else _read(spark, base, last)
     new = read_new(Days(last, run_date))
 
+    # Older states are needed by no run; the last one is, should this day be done again.
+    oldest = run_date - dt.timedelta(days=KEPT_DAYS)
+    oldest = oldest if last is None else min(last, oldest)
+
     def kept(name: str, rows: DataFrame) -> DataFrame:
-        commits.promote(spark, commits.stage(rows, f"{base}/{name}", run_date))
+        commits.promote(spark, commits.stage(rows, f"{base}/{name}", run_date), forget_before=oldest)
         return _read_one(spark, base, name, run_date)
 
     consumers = kept(CONSUMERS, one_per_key(_both(before.consumer, new.consumer), "customer_id"))

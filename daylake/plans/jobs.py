@@ -32,6 +32,8 @@ class Ingested(NamedTuple):
     path: str
     #: Why the dataset was not ingested; None if it was.
     error: str | None = None
+    #: Records that did not fit and are in quarantine.
+    set_aside: int = 0
 
 
 class IngestFailed(RuntimeError):
@@ -86,7 +88,7 @@ def ingest_each(
 
     def one(entry: tuple) -> Ingested:
         name, fmt, *schema = entry
-        target = zone_path(zones, RAW, name)
+        target, set_aside = zone_path(zones, RAW, name), 0
         try:
             spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
             source = zone_path(zones, SOURCE, name, fmt)
@@ -96,7 +98,10 @@ def ingest_each(
                 declared = known.schema(name)
             if quarantine and declared is not None:
                 known.declare(name, declared)
-                _ingest_split(spark, zones, name, fmt, declared, run_date)
+                bad = _ingest_split(spark, zones, name, fmt, declared, run_date)
+                set_aside = commits.rows_of(spark, bad).count()
+                if set_aside:
+                    log.warning("%s: %d records set aside", name, set_aside)
             else:
                 rows = readers.read_source(spark, source, fmt, declared, fmt == "json" and declared is None)
                 known.declare(name, rows.schema)
@@ -106,7 +111,7 @@ def ingest_each(
             return Ingested(name, target, f"{type(e).__name__}: {str(e).splitlines()[0] if str(e) else ''}")
         finally:
             spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
-        return Ingested(name, target)
+        return Ingested(name, target, set_aside=set_aside)
 
     entries = list(manifest)
     with ThreadPoolExecutor(max(1, min(side_by_side, len(entries)))) as pool:
@@ -119,10 +124,10 @@ RECORD = "_record"
 
 def _ingest_split(
     spark: SparkSession, zones: Mapping[str, str], name: str, fmt: str, schema: StructType, run_date: dt.date
-) -> None:
+) -> commits.Staged:
     """One pass over a source file into two tables: rows that fit the schema, and the text of those that do not.
 
-    Both days are written unseen below the raw table, then renamed and promoted.
+    Both days are written unseen below the raw zone, then renamed and promoted. Returns where the second is.
     """
     rows = readers.read_source(spark, zone_path(zones, SOURCE, name, fmt), fmt, schema, corrupt=RECORD)
     table, bad = zone_path(zones, RAW, name), zone_path(zones, QUARANTINE, name)
@@ -141,6 +146,7 @@ def _ingest_split(
             commits.promote(spark, staged)
     finally:
         files.remove(spark, written)
+    return staged
 
 
 def raw_schema(spark: SparkSession, zones: Mapping[str, str], name: str) -> StructType | None:

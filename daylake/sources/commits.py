@@ -97,9 +97,11 @@ def rows_of(spark: SparkSession, staged: Staged) -> DataFrame:
     return spark.read.schema(staged.schema).parquet(f"{staged.table}/{staged.folder}")
 
 
-def promote(spark: SparkSession, *staged: Staged) -> int:
+def promote(spark: SparkSession, *staged: Staged, forget_before: dt.date | None = None) -> int:
     """Make staged days of one table its days, all at once; returns the commit's number.
 
+    Days before `forget_before` are days of the table no longer; `vacuum` then removes their rows.
+
     Of two writers at once the second sees the commit of the first and adds to it; of the same day the last
     one stays. Days that were written as plain folders before the first commit remain days of the table.
     """
@@ -115,6 +117,7 @@ def promote(spark: SparkSession, *staged: Staged) -> int:
         for part in staged:
             schema = merged(schema, part.schema)
         days = last.days | {part.day: part.folder for part in staged}
+        days = {day: folder for day, folder in days.items() if forget_before is None or day >= forget_before}
         note = {
             "day_column": day_column,
             "schema": json.loads(schema.json()),

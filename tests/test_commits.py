@@ -107,6 +107,16 @@ def test_days_of_one_commit_change_together(spark, tmp_path):
     assert {r.partition: r["count"] for r in sources.scan(spark, path).groupBy("partition").count().collect()} == {D1: 2, D2: 3}
 
 
+def test_forgotten_days_go_with_their_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for day in (D1, D2, D3):
+        commits.promote(spark, commits.stage(spark.range(2), path, day))
+    commits.promote(spark, commits.stage(spark.range(5), path, D4), forget_before=D3)
+    assert sorted(commits.newest(spark, path).days) == [D3, D4] and sources.scan(spark, path).count() == 7
+    assert len(sources.vacuum(spark, path, keep=1, older_than=0)) == 2
+    assert sources.scan(spark, path).count() == 7 and latest_day_before(spark, path, D3) is None
+
+
 def test_writers_at_once_lose_nothing(spark, tmp_path):
     path = str(tmp_path / "t")
     days = [D1 + dt.timedelta(days=k) for k in range(8)]

@@ -69,6 +69,22 @@ def test_five_days_equal_the_full_run(spark, tmp_path, seed):
             shutil.rmtree(tmp_path / "step" / "raw" / name / f"partition_column={day}")
 
 
+def test_old_states_are_forgotten(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(incremental, "KEPT_DAYS", 1)
+    rng, step, full = random.Random(5), zones_of(tmp_path / "step"), zones_of(tmp_path / "full")
+    for day in DAYS[:4]:
+        rows = random_day(rng, 30)
+        deliver(spark, step, rows, day)
+        deliver(spark, full, rows, day)
+        plans.refresh_orders(spark, step, day, "salt", incremental=True)
+        for name in incremental.NAMES:
+            table = f"{incremental.state_path(step, 'raw')}/{name}"
+            assert len(commits.newest(spark, table).days) <= 2
+            sources.vacuum(spark, table, keep=1, older_than=0)
+    plans.refresh_orders(spark, full, DAYS[3], "salt", all_raw_days=True)
+    assert trusted(spark, step, DAYS[3]) == trusted(spark, full, DAYS[3])
+
+
 def test_only_what_is_new_is_read(spark, tmp_path):
     rng, zones, asked = random.Random(4), zones_of(tmp_path), []
 

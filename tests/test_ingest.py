@@ -93,7 +93,8 @@ def test_rows_that_fit_and_rows_set_aside_make_up_the_source(spark, zones, fmt,
     set_aside = [r._record for r in bad.collect()]
     assert len(set_aside) + len(fit) == len(records) and set(set_aside) <= set(records)
     # Running the day again replaces both tables' day.
-    plans.ingest(spark, zones, entry, D1, quarantine=True)
+    again = plans.ingest_each(spark, zones, entry, D1, quarantine=True)
+    assert [r.set_aside for r in again] == [len(set_aside)]
     assert sources.scan(spark, f"{zones['raw']}/t").count() + sources.scan(spark, f"{zones['quarantine']}/t").count() == len(records)
 
 
