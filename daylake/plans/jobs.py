@@ -19,7 +19,7 @@ from daylake.plans.trusted_order import trusted_order
 from daylake.sources import commits, files, readers
 from daylake.sources.inferred import InferredSchemas
 from daylake.sources.registry import Registry
-from daylake.sources.writers import GateResult, stamp, write_day, write_gated
+from daylake.sources.writers import GateResult, write_day, write_gated
 from daylake.sources.zones import SOURCE, zone_path
 
 log = logging.getLogger(__name__)
@@ -133,12 +133,10 @@ def _ingest_split(
     table, bad = zone_path(zones, RAW, name), zone_path(zones, QUARANTINE, name)
     written = f"{zones[RAW].rstrip('/')}/_ingest/{uuid.uuid4().hex}"
     try:
-        stamp(rows, run_date, readers.RAW_DAY).selectExpr(
-            "*", f"{RECORD} IS NULL AS fits"
-        ).drop(readers.RAW_DAY).write.partitionBy("fits").parquet(written)
+        rows.selectExpr("*", f"{RECORD} IS NULL AS _fits").write.partitionBy("_fits").parquet(written)
         record = StructType([f for f in rows.schema if f.name == RECORD])
         for fits, target, fields in (("true", table, schema), ("false", bad, record)):
-            part = f"{written}/fits={fits}"
+            part = f"{written}/_fits={fits}"
             if commits.holds_files(spark, part):
                 staged = commits.stage_folder(spark, part, target, run_date, fields, readers.RAW_DAY)
             else:

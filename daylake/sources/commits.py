@@ -14,7 +14,6 @@ from collections.abc import Iterable
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daylake.sources import files
