@@ -27,6 +27,9 @@ ERROR_RATE = 0.12
 #: Characters of items in one automaton; more items mean more passes over the documents.
 BLOCK_CHARS = 1_000_000
 
+#: Items of fewer characters, which have no edits, are found as whole words only.
+SHORT = 9
+
 Item = tuple[int | None, str]
 Match = tuple[int | None, int, int, int]
 
@@ -120,9 +123,10 @@ def myers(pattern: str, text: str, limit: int) -> tuple[int, int] | None:
 
 
 class Matcher:
-    """Finds the items of one block in texts."""
+    """Finds the items of one block in texts; those of fewer than `short` characters and no edits as whole words."""
 
-    def __init__(self, items: list[Item], error_rate: float = ERROR_RATE):
+    def __init__(self, items: list[Item], error_rate: float = ERROR_RATE, short: int = 0):
+        self.short = short
         self.items = [(item_id, text, budget(text, error_rate)) for item_id, text in items if text]
         places: dict[str, list[Piece]] = {}
         for number, (_, text, errors) in enumerate(self.items):
@@ -146,10 +150,9 @@ class Matcher:
                 if piece.item in exact:
                     continue
                 start = at - piece.offset
-                if not self.items[piece.item][2]:
-                    # The piece is the item, so short that it is no news within another word.
-                    if _whole_words(text, at, end + 1):
-                        exact[piece.item] = at
+                _, item, errors = self.items[piece.item]
+                # The piece is the item, so short that it is no news within another word.
+                if not errors and len(item) < self.short and not _whole_words(text, at, end + 1):
                     continue
                 if start >= 0 and text.startswith(self.items[piece.item][1], start):
                     exact[piece.item] = start
@@ -246,7 +249,7 @@ def contaminations(
 
 def _match_block(block: list[Item], error_rate: float):
     def matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(block, error_rate)
+        matcher = Matcher(block, error_rate, SHORT)
         for part in batches:
             rows = [
                 (doc_id, *match)
@@ -271,7 +274,7 @@ def without_contaminated(
 
 def _holds_any(block: list[Item], error_rate: float):
     def holds(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        matcher = Matcher(block, error_rate)
+        matcher = Matcher(block, error_rate, SHORT)
         for texts in batches:
             yield pd.Series([bool(matcher.matches(normalised(t))) for t in texts], dtype=bool)
 
