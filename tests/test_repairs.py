@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +10,7 @@ from pyspark.sql import functions as F
 import driver_tables
 from daylake import operators as ops
 from daylake import plans, sources
+from daylake.sources import commits
 
 D1, D2 = dt.date(2021, 5, 1), dt.date(2021, 5, 2)
 
@@ -36,7 +36,7 @@ def test_latest_has_one_winner_whatever_the_order_of_rows(spark, partitions, tur
 def test_gated_runs_of_two_days_do_not_meet(spark, tmp_path, monkeypatch):
     from daylake.sources import writers
 
-    path, work = str(tmp_path / "t"), str(tmp_path / "work")
+    path = str(tmp_path / "t")
     real, inner = writers.latest_day_before, []
 
     def other_run_in_between(*args):
@@ -45,13 +45,14 @@ def test_gated_runs_of_two_days_do_not_meet(spark, tmp_path, monkeypatch):
             inner.append(sources.write_gated(spark.range(90), path, D2))
         return real(*args)
 
-    monkeypatch.setattr(writers, "work_dir", lambda spark: work)
     monkeypatch.setattr(writers, "latest_day_before", other_run_in_between)
     first = sources.write_gated(spark.range(95), path, D1)
     assert first.actual == 95 and inner[1].actual == 90
     days = dict(map(tuple, sources.scan(spark, path).groupBy("partition").count().collect()))
     assert days == {D1: 95, D2: 90}
-    assert not [f for f in Path(work).rglob("*") if f.is_file()]
+    # Each run has a folder of its own, and none is left that is no day's.
+    runs = {f"{p.parent.name}/{p.name}" for p in (tmp_path / "t").glob("partition=*/_*")}
+    assert runs == set(commits.newest(spark, path).days.values()) and len(runs) == 2
 
 
 def test_rows_without_a_day_do_not_stop_the_gate(spark, tmp_path):
