@@ -76,7 +76,7 @@ def stage(df: DataFrame, table: str, day: dt.date, day_column: str = DAY) -> Sta
     folder = _run_folder(day, day_column)
     rows = df.drop(day_column)
     try:
-        rows.write.parquet(f"{table}/{folder}")
+        rows.write.option("compression", "zstd").parquet(f"{table}/{folder}")
     except BaseException:
         _clear(df.sparkSession, table, folder)
         raise

@@ -58,6 +58,7 @@ def write_day(
     (
         _sized(stamp(counted, run_date, column), files)
         .write.mode("overwrite")
+        .option("compression", "zstd")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(column)
         .parquet(path)
@@ -78,6 +79,7 @@ def write_by_day(df: DataFrame, path: str, day: Column, column: str = DAY) -> No
         df.withColumn(column, day)
         .hint("rebalance", column)
         .write.mode("overwrite")
+        .option("compression", "zstd")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(column)
         .parquet(path)
@@ -86,7 +88,7 @@ def write_by_day(df: DataFrame, path: str, day: Column, column: str = DAY) -> No
 
 def write_flat(df: DataFrame, path: str, files: int | str | None = None) -> None:
     """Replace an unpartitioned table."""
-    _sized(df, files).write.mode("overwrite").parquet(path)
+    _sized(df, files).write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
 def write_gated(

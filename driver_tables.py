@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daylake.operators.skew import HOT_ROWS, hot_items
+
 # Line flag and status to order status; other pairs keep their own letters.
 STATUS_NAMES = {"AF": "REGISTERED", "NF": "PLACED", "NO": "CONCLUDED", "RF": "CANCELLED"}
 
@@ -70,91 +72,159 @@ def _money(value: Column) -> Column:
     return F.struct(value.cast("string").alias("value"), F.lit("USD").alias("currency"))
 
 
-def _garnish(line: Column) -> Column:
+def _bound(value: Column, of) -> Column:
+    """`of` the value as a lambda variable, so that it is worked out once per row."""
+    return F.transform(F.array(value), of)[0]
+
+
+def _runs(rows: Column, key: str) -> Column:
+    """A sorted array cut where the key changes."""
+
+    def cut(all_rows: Column) -> Column:
+        starts = F.filter(
+            F.sequence(F.lit(0), F.size(all_rows) - 1),
+            lambda i: (i == 0) | ~F.get(all_rows, i)[key].eqNullSafe(F.get(all_rows, i - 1)[key]),
+        )
+        return _bound(
+            starts,
+            lambda s: F.transform(
+                s,
+                lambda at, nth: F.slice(all_rows, at + 1, F.coalesce(F.get(s, nth + 1), F.size(all_rows)) - at),
+            ),
+        )
+
+    return _bound(rows, cut)
+
+
+def _sum(rows: Column, field: str) -> Column:
+    nothing = F.lit(None).cast("double" if field == "quantity" else "bigint")
+    return F.aggregate(rows, nothing, lambda so_far, r: F.coalesce(so_far + r[field], so_far, r[field]))
+
+
+def _least(rows: Column, field: str) -> Column:
+    return F.array_min(F.transform(rows, lambda r: r[field]))
+
+
+def _greatest(rows: Column, field: str) -> Column:
+    return F.array_max(F.transform(rows, lambda r: r[field]))
+
+
+#: What the lines of one order, brand, number and state add up to: as an aggregate, and within an array.
+SUMS = {
+    "n": (F.sum, _sum), "quantity": (F.sum, _sum), "partkey": (F.min, _least), "suppkey": (F.min, _least),
+    "p_name": (F.min, _least), "flag": (F.min, _least), "least_status": (F.min, _least),
+    "greatest_status": (F.max, _greatest), "tax": (F.sum, _sum), "discount": (F.sum, _sum),
+    "retail": (F.min, _least), "unit": (F.max, _greatest), "price": (F.sum, _sum),
+}
+
+
+def _garnish(number: Column, kept: dict[str, Column]) -> Column:
+    return F.struct(
+        kept["p_name"].alias("name"),
+        kept["quantity"].alias("quantity"),
+        number.alias("sequence"),
+        kept["suppkey"].cast("string").alias("externalId"),
+        kept["partkey"].cast("string").alias("integrationId"),
+        kept["flag"].alias("categoryId"),
+        kept["least_status"].alias("categoryName"),
+        _money(kept["tax"]).alias("addition"),
+        _money(kept["discount"]).alias("discount"),
+        _money(kept["retail"]).alias("unitPrice"),
+        _money(kept["price"]).alias("totalValue"),
+    )
+
+
+def _item(name: Column, lines: dict[str, Column], returned: Column, garnishes: Column) -> Column:
     return F.struct(
-        line["p_name"].alias("name"),
-        line["l_quantity"].alias("quantity"),
-        line["l_linenumber"].alias("sequence"),
-        line["l_suppkey"].cast("string").alias("externalId"),
-        line["l_partkey"].cast("string").alias("integrationId"),
-        line["l_returnflag"].alias("categoryId"),
-        line["l_linestatus"].alias("categoryName"),
-        _money(line["tax"]).alias("addition"),
-        _money(line["discount"]).alias("discount"),
-        _money(line["retail"]).alias("unitPrice"),
-        _money(line["price"]).alias("totalValue"),
+        name.alias("name"),
+        lines["quantity"].alias("quantity"),
+        lines["partkey"].cast("string").alias("externalId"),
+        F.lit("0").alias("integrationId"),
+        F.when(lines["n"] > 1, lines["greatest_status"]).alias("customerNote"),
+        _money(lines["n"]).alias("addition"),
+        _money(lines["discount"]).alias("discount"),
+        _money(lines["unit"]).alias("unitPrice"),
+        _money(lines["price"]).alias("totalValue"),
+        _money(lines["tax"]).alias("totalAddition"),
+        _money(returned).alias("totalDiscount"),
+        garnishes.alias("garnishItems"),
     )
 
 
-def carts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _returned(kept: Column, n: Column) -> Column:
+    return F.when(~kept, n).otherwise(F.lit(0).cast("bigint"))
+
+
+def _item_of_line() -> Column:
+    """A line that is the only one of its brand, as most are: an item without loops."""
+    kept = F.col("kept")
+    garnish = _garnish(F.col("number"), {c: F.when(kept, F.col(c)) for c in SUMS})
+    garnishes = F.when(F.coalesce(kept, F.lit(True)), F.array(garnish)).otherwise(F.array())
+    return _item(F.col("name"), {c: F.col(c) for c in SUMS}, _returned(kept, F.col("n")), garnishes)
+
+
+def _item_of_lines(lines: Column) -> Column:
+    """Several lines of a brand, those of a number that are not returned as one garnish."""
+
+    def garnish(rows: Column) -> Column:
+        kept = F.filter(rows, lambda r: r["kept"])
+        made = _bound(kept, lambda k: _garnish(rows[0]["number"], {c: f(k, c) for c, (_, f) in SUMS.items()}))
+        return F.when(F.exists(rows, lambda r: F.coalesce(r["kept"], F.lit(True))), made)
+
+    zero = F.lit(0).cast("bigint")
+    returned = F.aggregate(lines, zero, lambda so_far, r: so_far + _returned(r["kept"], r["n"]))
+    garnishes = F.filter(F.transform(_runs(lines, "number"), garnish), lambda g: g.isNotNull())
+    return _item(lines[0]["name"], {c: f(lines, c) for c, (_, f) in SUMS.items()}, returned, garnishes)
+
+
+def carts(spark: SparkSession, sf_dir: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Item documents of each order: an item per brand, and in it a garnish per number of lines not returned.
 
-    Lines are summed up by order, brand and line number before anything is collected. There are
-    seven line numbers and 25 brands, so a document stays small however many lines an order has,
-    and no task receives an order's lines one by one.
+    The lines of an order are gathered in one shuffle, sorted, and cut into items and garnishes within the row.
+    Lines of orders that a sketch finds to have more than `hot_rows` are first summed up by order, brand, number
+    and state. There are seven line numbers and 25 brands, so those documents stay small however many lines an
+    order has, and no task receives its lines one by one.
     """
     kept = F.col("l_returnflag") != "R"
-
-    def of_kept(function, column):
-        return function(F.when(kept, column))
-
-    lines = table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "order_id").select(
-        "order_id", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus",
-        _hundredths("l_extendedprice").alias("price"),
+    lines = table(spark, sf_dir, "lineitem")
+    parts = table(spark, sf_dir, "part")
+    joined = lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
+        F.col("l_orderkey").alias("order_id"),
+        F.col("p_brand").alias("name"),
+        F.col("l_linenumber").alias("number"),
+        kept.alias("kept"),
+        F.lit(1).cast("bigint").alias("n"),
+        F.col("l_quantity").alias("quantity"),
+        F.col("l_partkey").alias("partkey"),
+        F.col("l_suppkey").alias("suppkey"),
+        "p_name",
+        F.col("l_returnflag").alias("flag"),
+        F.col("l_linestatus").alias("least_status"),
+        F.col("l_linestatus").alias("greatest_status"),
         _hundredths("l_tax").alias("tax"),
         _hundredths("l_discount").alias("discount"),
+        _hundredths("p_retailprice").alias("retail"),
+        _hundredths("l_extendedprice").alias("unit"),
+        _hundredths("l_extendedprice").alias("price"),
     )
-    parts = table(spark, sf_dir, "part").select(
-        "p_partkey", "p_name", F.col("p_brand").alias("name"), _hundredths("p_retailprice").alias("retail")
-    )
-    numbered = (
-        lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .groupBy("order_id", "name", "l_linenumber")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum("l_quantity").alias("all_quantity"),
-            F.min("l_partkey").alias("all_partkey"),
-            F.max("l_linestatus").alias("all_linestatus"),
-            F.sum("discount").alias("all_discount"),
-            F.max("price").alias("all_unit"),
-            F.sum("price").alias("all_price"),
-            F.sum("tax").alias("all_tax"),
-            F.count_if(~kept).alias("returned"),
-            of_kept(F.min, F.col("p_name")).alias("p_name"),
-            of_kept(F.sum, F.col("l_quantity")).alias("l_quantity"),
-            of_kept(F.min, F.col("l_suppkey")).alias("l_suppkey"),
-            of_kept(F.min, F.col("l_partkey")).alias("l_partkey"),
-            of_kept(F.min, F.col("l_returnflag")).alias("l_returnflag"),
-            of_kept(F.min, F.col("l_linestatus")).alias("l_linestatus"),
-            of_kept(F.sum, F.col("tax")).alias("tax"),
-            of_kept(F.sum, F.col("discount")).alias("discount"),
-            of_kept(F.min, F.col("retail")).alias("retail"),
-            of_kept(F.sum, F.col("price")).alias("price"),
+    # Lines without an order are those of one; -1 stands for it here, whatever else has that number.
+    hot = hot_items(lines, F.coalesce("l_orderkey", F.lit(-1)), hot_rows)
+    if not hot.isEmpty():
+        known = F.broadcast(hot.select(F.col("item").alias("__hot")))
+        of_hot = F.coalesce("order_id", F.lit(-1)) == F.col("__hot")
+        summed = joined.join(known, of_hot, "left_semi").groupBy("order_id", "name", "number", "kept")
+        joined = joined.join(known, of_hot, "left_anti").unionByName(
+            summed.agg(*[f(c).alias(c) for c, (f, _) in SUMS.items()])
         )
-        # Both groupings below run on this one partitioning.
-        .repartition("order_id")
-    )
-    garnish = F.struct(
-        "p_name", "l_quantity", "l_linenumber", "l_suppkey", "l_partkey", "l_returnflag", "l_linestatus", "tax",
-        "discount", "retail", "price",
-    )
-    items = numbered.groupBy("order_id", "name").agg(
-        F.sum("all_quantity").alias("quantity"),
-        F.min("all_partkey").cast("string").alias("externalId"),
-        F.lit("0").alias("integrationId"),
-        F.when(F.sum("n") > 1, F.max("all_linestatus")).alias("customerNote"),
-        _money(F.sum("n")).alias("addition"),
-        _money(F.sum("all_discount")).alias("discount"),
-        _money(F.max("all_unit")).alias("unitPrice"),
-        _money(F.sum("all_price")).alias("totalValue"),
-        _money(F.sum("all_tax")).alias("totalAddition"),
-        _money(F.sum("returned")).alias("totalDiscount"),
-        F.collect_list(F.when(F.col("n") > F.col("returned"), garnish)).alias("lines"),
-    )
-    fields = [c for c in items.columns if c not in ("order_id", "lines")]
-    item = F.struct(*fields, F.transform("lines", _garnish).alias("garnishItems"))
+    line = F.struct("name", "number", "kept", *SUMS, _item_of_line().alias("item"))
+
+    def item(lines: Column) -> Column:
+        return F.when(F.size(lines) == 1, lines[0]["item"]).otherwise(_item_of_lines(lines))
+
     return (
-        items.groupBy("order_id")
-        .agg(F.collect_list(item).alias("items"))
-        .select("order_id", F.to_json("items").alias("items"))
+        # Lines are sent as they are; items are made where they are gathered.
+        joined.repartition("order_id")
+        .groupBy("order_id")
+        .agg(F.collect_list(line).alias("lines"))
+        .select("order_id", F.to_json(F.transform(_runs(F.sort_array("lines"), "name"), item)).alias("items"))
     )

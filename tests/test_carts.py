@@ -1,0 +1,56 @@
+"""Item documents: one shuffle of the lines, the same documents whatever orders are summed up first."""
+
+from __future__ import annotations
+
+import contextlib
+import datetime as dt
+import io
+from pathlib import Path
+
+import driver_tables
+from daylake import operators as ops
+from daylake import sources
+
+LINE = (
+    "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double,"
+    " l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp"
+)
+PART = "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+
+
+def tables(spark, path):
+    lines = [
+        (order, k % 4, 7 - k % 3, k % 2, 1.0 + k, 10.0 * k, 0.01 * k, None if k == 3 else 0.02, flag, "F", None)
+        for order, flags in ((1, "NRA"), (2, ["N", "N", "R", None, "R", "A", "N", "R", "A"]), (None, "RN"))
+        for k, flag in enumerate(flags)
+    ]
+    spark.createDataFrame(lines, LINE).write.parquet(f"{path}/lineitem.parquet")
+    parts = [(0, "a", "x", "t", 1, 1.0), (1, "b", None, "t", 1, 2.0), (2, "c", "x", "t", 1, 3.0), (3, "d", "y", "t", 1, 4.0)]
+    spark.createDataFrame(parts, PART).write.parquet(f"{path}/part.parquet")
+    return str(path)
+
+
+def test_summed_orders_have_the_same_documents(spark, tmp_path):
+    path = tables(spark, tmp_path)
+
+    def found(hot_rows):
+        parsed = ops.explode_items(ops.parse_items(driver_tables.carts(spark, path, hot_rows)))
+        return sorted(map(repr, parsed.selectExpr("order_id", "to_json(item) AS item").collect()))
+
+    assert found(0) == found(100_000)
+    assert len(found(0)) > 5
+
+
+def test_lines_are_shuffled_once(spark, small):
+    plan = io.StringIO()
+    with contextlib.redirect_stdout(plan):
+        driver_tables.carts(spark, small).explain()
+    assert plan.getvalue().count("Exchange hashpartitioning") == 1
+
+
+def test_days_are_written_with_zstd(spark, tmp_path):
+    day = dt.date(2024, 1, 31)
+    sources.write_day(spark.range(3), f"{tmp_path}/flat", day)
+    sources.write_gated(spark.range(3), f"{tmp_path}/gated", day)
+    files = list(Path(tmp_path).rglob("*.parquet"))
+    assert len(files) >= 2 and all(f.name.endswith(".zstd.parquet") for f in files)
