@@ -323,7 +323,8 @@ def order_items_per_item(spark, sf_dir):
 
 def items_wide(spark, sf_dir):
     def listed(c):
-        return F.array_join(F.array_sort(c), ",")
+        # Nulls are left out, so it does not matter where they sort; `array_sort` would compare by a lambda.
+        return F.array_join(F.sort_array(c), ",")
 
     wide = ops.items_wide(t.carts(spark, sf_dir))
     return wide.select(

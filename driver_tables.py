@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+import driver_documents
 from daylake.operators.skew import HOT_ROWS, hot_items
 
+# Workers get the module with the function, wherever the driver has it.
+cloudpickle.register_pickle_by_value(driver_documents)
+
 # Line flag and status to order status; other pairs keep their own letters.
 STATUS_NAMES = {"AF": "REGISTERED", "NF": "PLACED", "NO": "CONCLUDED", "RF": "CANCELLED"}
 
@@ -68,119 +74,28 @@ def _hundredths(c: Column | str) -> Column:
     return F.round((F.col(c) if isinstance(c, str) else c) * 100).cast("bigint")
 
 
-def _money(value: Column) -> Column:
-    return F.struct(value.cast("string").alias("value"), F.lit("USD").alias("currency"))
-
-
-def _bound(value: Column, of) -> Column:
-    """`of` the value as a lambda variable, so that it is worked out once per row."""
-    return F.transform(F.array(value), of)[0]
-
-
-def _runs(rows: Column, key: str) -> Column:
-    """A sorted array cut where the key changes."""
-
-    def cut(all_rows: Column) -> Column:
-        starts = F.filter(
-            F.sequence(F.lit(0), F.size(all_rows) - 1),
-            lambda i: (i == 0) | ~F.get(all_rows, i)[key].eqNullSafe(F.get(all_rows, i - 1)[key]),
-        )
-        return _bound(
-            starts,
-            lambda s: F.transform(
-                s,
-                lambda at, nth: F.slice(all_rows, at + 1, F.coalesce(F.get(s, nth + 1), F.size(all_rows)) - at),
-            ),
-        )
-
-    return _bound(rows, cut)
-
-
-def _sum(rows: Column, field: str) -> Column:
-    nothing = F.lit(None).cast("double" if field == "quantity" else "bigint")
-    return F.aggregate(rows, nothing, lambda so_far, r: F.coalesce(so_far + r[field], so_far, r[field]))
-
-
-def _least(rows: Column, field: str) -> Column:
-    return F.array_min(F.transform(rows, lambda r: r[field]))
-
-
-def _greatest(rows: Column, field: str) -> Column:
-    return F.array_max(F.transform(rows, lambda r: r[field]))
-
-
-#: What the lines of one order, brand, number and state add up to: as an aggregate, and within an array.
+#: What the lines of one order, brand, number and state add up to.
 SUMS = {
-    "n": (F.sum, _sum), "quantity": (F.sum, _sum), "partkey": (F.min, _least), "suppkey": (F.min, _least),
-    "p_name": (F.min, _least), "flag": (F.min, _least), "least_status": (F.min, _least),
-    "greatest_status": (F.max, _greatest), "tax": (F.sum, _sum), "discount": (F.sum, _sum),
-    "retail": (F.min, _least), "unit": (F.max, _greatest), "price": (F.sum, _sum),
+    "n": F.sum, "quantity": F.sum, "partkey": F.min, "suppkey": F.min, "p_name": F.min, "flag": F.min,
+    "least_status": F.min, "greatest_status": F.max, "tax": F.sum, "discount": F.sum, "retail": F.min,
+    "unit": F.max, "price": F.sum,
 }
 
-
-def _garnish(number: Column, kept: dict[str, Column]) -> Column:
-    return F.struct(
-        kept["p_name"].alias("name"),
-        kept["quantity"].alias("quantity"),
-        number.alias("sequence"),
-        kept["suppkey"].cast("string").alias("externalId"),
-        kept["partkey"].cast("string").alias("integrationId"),
-        kept["flag"].alias("categoryId"),
-        kept["least_status"].alias("categoryName"),
-        _money(kept["tax"]).alias("addition"),
-        _money(kept["discount"]).alias("discount"),
-        _money(kept["retail"]).alias("unitPrice"),
-        _money(kept["price"]).alias("totalValue"),
-    )
-
-
-def _item(name: Column, lines: dict[str, Column], returned: Column, garnishes: Column) -> Column:
-    return F.struct(
-        name.alias("name"),
-        lines["quantity"].alias("quantity"),
-        lines["partkey"].cast("string").alias("externalId"),
-        F.lit("0").alias("integrationId"),
-        F.when(lines["n"] > 1, lines["greatest_status"]).alias("customerNote"),
-        _money(lines["n"]).alias("addition"),
-        _money(lines["discount"]).alias("discount"),
-        _money(lines["unit"]).alias("unitPrice"),
-        _money(lines["price"]).alias("totalValue"),
-        _money(lines["tax"]).alias("totalAddition"),
-        _money(returned).alias("totalDiscount"),
-        garnishes.alias("garnishItems"),
-    )
-
-
-def _returned(kept: Column, n: Column) -> Column:
-    return F.when(~kept, n).otherwise(F.lit(0).cast("bigint"))
+#: Lines for which a task is worth starting, and lines that a task takes once there are as many tasks as the
+#: session has shuffle partitions. A line becomes some 550 bytes of text, so bytes shuffled say little of the work.
+LEAST_LINES, MOST_LINES = 20_000, 500_000
 
 
-def _item_of_line() -> Column:
-    """A line that is the only one of its brand, as most are: an item without loops."""
-    kept = F.col("kept")
-    garnish = _garnish(F.col("number"), {c: F.when(kept, F.col(c)) for c in SUMS})
-    garnishes = F.when(F.coalesce(kept, F.lit(True)), F.array(garnish)).otherwise(F.array())
-    return _item(F.col("name"), {c: F.col(c) for c in SUMS}, _returned(kept, F.col("n")), garnishes)
-
-
-def _item_of_lines(lines: Column) -> Column:
-    """Several lines of a brand, those of a number that are not returned as one garnish."""
-
-    def garnish(rows: Column) -> Column:
-        kept = F.filter(rows, lambda r: r["kept"])
-        made = _bound(kept, lambda k: _garnish(rows[0]["number"], {c: f(k, c) for c, (_, f) in SUMS.items()}))
-        return F.when(F.exists(rows, lambda r: F.coalesce(r["kept"], F.lit(True))), made)
-
-    zero = F.lit(0).cast("bigint")
-    returned = F.aggregate(lines, zero, lambda so_far, r: so_far + _returned(r["kept"], r["n"]))
-    garnishes = F.filter(F.transform(_runs(lines, "number"), garnish), lambda g: g.isNotNull())
-    return _item(lines[0]["name"], {c: f(lines, c) for c, (_, f) in SUMS.items()}, returned, garnishes)
+def _tasks(lines: DataFrame) -> int:
+    count, usual = lines.count(), int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(2, min(usual, count // LEAST_LINES), count // MOST_LINES)
 
 
 def carts(spark: SparkSession, sf_dir: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Item documents of each order: an item per brand, and in it a garnish per number of lines not returned.
 
-    The lines of an order are gathered in one shuffle, sorted, and cut into items and garnishes within the row.
+    The lines of an order are gathered in one shuffle and sorted; a batch of orders at a time is cut into items and
+    garnishes, and written as text, over Arrow columns.
     Lines of orders that a sketch finds to have more than `hot_rows` are first summed up by order, brand, number
     and state. There are seven line numbers and 25 brands, so those documents stay small however many lines an
     order has, and no task receives its lines one by one.
@@ -214,17 +129,12 @@ def carts(spark: SparkSession, sf_dir: str, hot_rows: int = HOT_ROWS) -> DataFra
         of_hot = F.coalesce("order_id", F.lit(-1)) == F.col("__hot")
         summed = joined.join(known, of_hot, "left_semi").groupBy("order_id", "name", "number", "kept")
         joined = joined.join(known, of_hot, "left_anti").unionByName(
-            summed.agg(*[f(c).alias(c) for c, (f, _) in SUMS.items()])
+            summed.agg(*[f(c).alias(c) for c, f in SUMS.items()])
         )
-    line = F.struct("name", "number", "kept", *SUMS, _item_of_line().alias("item"))
-
-    def item(lines: Column) -> Column:
-        return F.when(F.size(lines) == 1, lines[0]["item"]).otherwise(_item_of_lines(lines))
-
-    return (
-        # Lines are sent as they are; items are made where they are gathered.
-        joined.repartition("order_id")
-        .groupBy("order_id")
-        .agg(F.collect_list(line).alias("lines"))
-        .select("order_id", F.to_json(F.transform(_runs(F.sort_array("lines"), "name"), item)).alias("items"))
+    # The struct is made before the shuffle: within the aggregate it would be interpreted, line by line.
+    line = F.struct("name", "number", "kept", *SUMS).alias("line")
+    gathered = joined.select("order_id", line).repartition(_tasks(lines), "order_id").groupBy("order_id")
+    documents = F.arrow_udf(driver_documents.documents, T.StringType())
+    return gathered.agg(F.sort_array(F.collect_list("line")).alias("lines")).select(
+        "order_id", documents("lines").alias("items")
     )
