@@ -67,20 +67,23 @@ def write_day(
         remove(df.sparkSession, f"{path}/{column}={run_date.isoformat()}")
 
 
-def write_by_day(df: DataFrame, path: str, day: Column, column: str = DAY) -> None:
+def write_by_day(
+    df: DataFrame, path: str, day: Column, column: str = DAY, row_group_bytes: int | None = None
+) -> None:
     """Write every row to the day it belongs to, replacing only the days present in `df`.
 
     Rows are gathered by day first, so that each day gets few files; a day with very many rows
-    is spread over several tasks again. A table with commits takes one day at a time.
+    is spread over several tasks again. A table with commits takes one day at a time. Readers share out a file by its
+    row groups; `row_group_bytes` keeps them small where rows take far more work than their bytes on disk suggest.
     """
     if commits.newest(df.sparkSession, path) is not None:
         raise ValueError(f"{path} has commits; write its days one by one")
+    groups = {} if row_group_bytes is None else {"parquet.block.size": row_group_bytes}
     (
         df.withColumn(column, day)
         .hint("rebalance", column)
         .write.mode("overwrite")
-        .option("compression", "zstd")
-        .option("partitionOverwriteMode", "dynamic")
+        .options(compression="zstd", partitionOverwriteMode="dynamic", **groups)
         .partitionBy(column)
         .parquet(path)
     )

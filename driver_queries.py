@@ -15,6 +15,8 @@ from daylake.functions import hash_columns, local_day, mask_linear, salted_hash
 
 RUN_DATE = dt.date(2024, 1, 31)
 SALT = "test-salt"
+# Documents take a sixth of their size on disk or less, and are slow to parse.
+DOCUMENT_ROW_GROUP = 4 << 20
 
 
 def _fresh(spark: SparkSession, name: str) -> str:
@@ -272,7 +274,7 @@ def items_inferred_by_day(spark, sf_dir):
     """Documents of three days, parsed by the schema that each day's run adds its own day's texts to."""
     path, days = _fresh(spark, "order"), [RUN_DATE - dt.timedelta(days=2 - k) for k in range(3)]
     day = F.date_add(F.lit(days[0]), F.pmod("order_id", F.lit(3)).cast("int"))
-    sources.write_by_day(t.carts(spark, sf_dir), path, day)
+    sources.write_by_day(t.carts(spark, sf_dir), path, day, row_group_bytes=DOCUMENT_ROW_GROUP)
     inferred = sources.InferredSchemas(spark, _fresh(spark, "items"))
     for upto in range(3):
         schema = inferred.schema(days[: upto + 1], lambda d: sources.scan(spark, path, d))

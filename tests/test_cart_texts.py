@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 
 import driver_tables
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
+from daylake import sources
 from driver_documents import _double, documents
+from pyspark.sql import functions as F
 from test_carts import tables
 
 EMPTY = dict.fromkeys(("name", "number", "kept", *driver_tables.SUMS))
@@ -63,3 +67,12 @@ def test_tasks_grow_with_the_lines(spark, tmp_path, monkeypatch):
     assert driver_tables._tasks(lines) == lines.count() // 2
     monkeypatch.setattr(driver_tables, "MOST_LINES", 1)
     assert driver_tables._tasks(lines) == lines.count()
+
+
+def test_documents_of_a_day_are_shared_out_by_row_groups(spark, tmp_path):
+    docs = spark.range(20_000).selectExpr("id AS order_id", "repeat(sha2(string(id), 512), 4) AS items")
+    sources.write_by_day(docs.coalesce(1), f"{tmp_path}/order", F.lit(dt.date(2024, 1, 31)), row_group_bytes=1 << 20)
+    files = list(tmp_path.rglob("*.parquet"))
+    groups = [pq.ParquetFile(f).num_row_groups for f in files]
+    assert sum(groups) > 2 * len(files)
+    assert sources.scan(spark, f"{tmp_path}/order").count() == 20_000
