@@ -7,6 +7,7 @@ from bisect import bisect_left
 from collections.abc import Iterable
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,6 +46,32 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_by(df: DataFrame, key: str, name: str) -> DataFrame:
+    """As `stored`, bucketed by `key`: groups and joins by it read the table without shuffling it.
+
+    The catalog knows the table only until it has been opened.
+    """
+    spark, path = df.sparkSession, shared_folder(df.sparkSession, name)
+    table = f"{name}_{uuid.uuid4().hex}".replace("-", "_")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.option("compression", "zstd").option("path", path).bucketBy(buckets, key).saveAsTable(table)
+    kept = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")
+    return kept
+
+
+def packed_numbers(values: np.ndarray) -> bytes:
+    """Numbers as planes of equal bytes, compressed: planes of zeros take no room."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T
+    return len(values).to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked_numbers(data: bytes, kind: str) -> np.ndarray:
+    size, width = int.from_bytes(data[:8], "little"), np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(data[8:], size * width, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(width, size).T).view(kind).ravel()
+
+
 def texts_as_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; null is empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

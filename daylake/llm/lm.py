@@ -6,11 +6,17 @@ and the third before; each longer context's tables are customers of the shorter
 shortest sit in the root, over uniform bytes. A table of the word restaurant is one spelling of its
 word, a customer of each of its byte contexts.
 
-A text adds two levels below the word restaurant while it is read: one of its own, and below that one
+Below the word restaurant the corpus has one for each preceding word; the end of a text precedes the next. A
+table of such a restaurant is a customer of the word restaurant.
+
+A text adds two levels below these while it is read: one of its own, and below that one
 for each preceding word in it. They know the text's past only, so that the score stays a probability.
 
 Seatings of the corpus are sampled by blocked Gibbs steps: the spelling restaurants given the tables of words, then
-the tables of words given the spellings, and again. Predictive probabilities are averaged over draws.
+the tables of words given the spellings, and again; then the tables of all pairs of words given the word
+restaurant, and once more the words and the spellings given these. It starts with a table for each customer
+of a pair. Predictive probabilities of words and spellings are averaged over draws; those of pairs are of the one seating that
+the word restaurant has its customers from, so that what may follow a word has chances that sum to one.
 Tasks draw from generators seeded by what they read, so that a task run again draws the same.
 """
 
@@ -19,16 +25,17 @@ from __future__ import annotations
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daylake.llm.common import batch, stored, texts_as_bytes, workers_import
-from daylake.llm.pitmanyor import draw_tables
+from daylake.llm.common import batch, packed_numbers, stored, stored_by, texts_as_bytes, unpacked_numbers, workers_import
+from daylake.llm.pitmanyor import Keyed, draw_tables, mixed
 
 #: The end of a text, as a word: no word is empty.
 END = b""
@@ -48,8 +55,12 @@ TEXT_DISCOUNTS, TEXT_STRENGTHS = (0.9, 0.9), (100.0, 1.0)
 WORDS_AT_ONCE = 100_000
 #: Distinct words that a task holds before it starts a new block.
 BLOCK_WORDS = 1_000_000
-#: Tokens after which a block is closed as well: 4 bytes each.
-BLOCK_TOKENS = 16_000_000
+#: Tokens after which a block is closed as well: its pairs are held at up to 60 bytes each.
+BLOCK_TOKENS = 4_000_000
+#: Strength of the corpus's restaurants of preceding words.
+PAIR_STRENGTH = 1.0
+#: Tokens of the corpus for each task that sums up pairs, and rows of dictionaries for each that sums up words.
+SHARD_TOKENS, PART_ROWS = 2_000_000, 300_000
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -143,12 +154,15 @@ class Spelling:
 
 @dataclass
 class Totals:
-    """Of the training words: tokens, types, tables, discount and strength of their restaurant."""
+    """Of the training words: tokens, types, and customers, tables, discount and strength of their restaurant;
+    and the discount of the restaurants of preceding words."""
 
     tokens: int
     types: int
+    customers: int
     tables: float
     discount: float
+    pair_discount: float = 0.5
     strength: float = 10.0
 
     @property
@@ -310,29 +324,252 @@ def _learn_spelling(customers: DataFrame, tables: np.ndarray | None) -> tuple[Sp
     return Spelling(logs, row_of), tables
 
 
-SCORED = pa.schema([("word", pa.binary()), ("c", pa.int64()), ("lp", pa.float64())])
+def _chances(spelling: Spelling, totals: Totals, words: list[bytes], k: np.ndarray) -> np.ndarray:
+    """log10 of what the word restaurant, with `k` customers each, gives the words."""
+    log_base = spelling.score(words)
+    held = totals.strength + totals.customers
+    new = np.log10(totals.new_table / held) + log_base
+    own = np.zeros(len(words))
+    known = np.flatnonzero(k > 0)
+    some = [words[i] for i in known]
+    for draw in range(DRAWS):
+        t = _word_tables(some, k[known], log_base[known], totals, draw + 1)
+        own[known] += (k[known] - totals.discount * t) / held / DRAWS
+    with np.errstate(divide="ignore"):
+        return np.logaddexp(np.log(own), new * np.log(10)) / np.log(10)
+
+
+#: Words by part, a share of all words: a row for each word, with its training tokens, its customers in the word
+#: restaurant and the tables of its restaurant as a preceding word; and a row for each block, with the
+#: numbers of its words here and there.
+WORDS = pa.schema(
+    [
+        ("part", pa.int64()),
+        ("seq", pa.int64()),
+        ("word", pa.binary()),
+        ("c", pa.int64()),
+        ("k", pa.int64()),
+        ("t", pa.int64()),
+        ("block", pa.int64()),
+        ("seqs", pa.binary()),
+        ("locals", pa.binary()),
+    ]
+)
+WORDS_SCHEMA = "part long, seq long, word binary, c long, k long, t long, block long, seqs binary, locals binary"
+
+
+def _gathered(rows: pa.Table) -> pa.Table:
+    """The words of one part. At first each customer of a pair has a table of its own."""
+    part = rows["part"][0].as_py()
+    coded = rows["word"].combine_chunks().dictionary_encode()
+    coded = coded.combine_chunks() if isinstance(coded, pa.ChunkedArray) else coded
+    seq, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+    c = np.bincount(seq, rows["n_train"].to_numpy(), len(words)).astype(np.int64)
+    blocks, local = rows["block"].to_numpy(), rows["local"].to_numpy()
+    order = np.lexsort((seq, blocks))
+    blocks, seq, local = blocks[order], seq[order], local[order]
+    cuts = np.flatnonzero(np.diff(blocks, prepend=-1))
+    size, places = len(words), len(cuts)
+    spans = list(zip(cuts, [*cuts[1:], len(blocks)], strict=True))
+    seqs = [packed_numbers(np.diff(seq[a:b], prepend=0).astype("<u4")) for a, b in spans]
+    locals_ = [packed_numbers(local[a:b].astype("<u4")) for a, b in spans]
+    none = [None] * size
+    return pa.Table.from_batches(
+        [
+            batch(WORDS, [part] * size, range(size), words, c, c, c, *[none] * 3),
+            batch(WORDS, [part] * places, *[[None] * places] * 5, blocks[cuts], seqs, locals_),
+        ]
+    )
 
 
-def _score_words(spelling, totals: Totals):
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches:
-            words, c = part.column(0).to_pylist(), part.column(1).to_numpy(zero_copy_only=False)
-            if not words:
-                continue
-            log_base = spelling.value.score(words)
-            held = totals.strength + totals.tokens
-            new = np.log10(totals.new_table / held) + log_base
-            own = np.zeros(len(words))
-            known = np.flatnonzero(c > 0)
-            some = [words[i] for i in known]
-            for draw in range(DRAWS):
-                t = _word_tables(some, c[known], log_base[known], totals, draw + 1)
-                own[known] += (c[known] - totals.discount * t) / held / DRAWS
-            with np.errstate(divide="ignore"):
-                logs = np.logaddexp(np.log(own), new * np.log(10)) / np.log(10)
-            yield batch(SCORED, words, c, logs)
+def _by_seq(rows: pa.Table) -> tuple[pa.Table, pa.Table]:
+    """The words of a part in order, and its blocks."""
+    words = rows.filter(pa.compute.is_valid(rows["word"])).sort_by("seq")
+    return words, rows.filter(pa.compute.is_null(rows["word"]))
+
+
+#: What a block is told: of its words in a part (seqs, locals, log10 chances, training tokens, tables), or of its
+#: pairs in a shard.
+TOLD = pa.schema(
+    [("of", pa.int64()), ("part", pa.int64()), ("shard", pa.int64()), *((x, pa.binary()) for x in ("seqs", "locals", "lp", "c", "t"))]
+)
+TOLD_SCHEMA = "of long, part long, shard long, seqs binary, locals binary, lp binary, c binary, t binary"
+
+
+def _told_words(spelling, totals: Totals):
+    def told(rows: pa.Table) -> pa.Table:
+        words, places = _by_seq(rows)
+        c, k, t = (words[x].to_numpy() for x in ("c", "k", "t"))
+        names, lp = words["word"].to_pylist(), np.zeros(len(c))
+        for at in range(0, len(c), 10_000):
+            lp[at : at + 10_000] = _chances(spelling.value, totals, names[at : at + 10_000], k[at : at + 10_000])
+        seqs = places["seqs"].to_pylist()
+        at = [np.cumsum(unpacked_numbers(x, "<u4"), dtype=np.int64) for x in seqs]
+        size = len(seqs)
+        return pa.Table.from_batches(
+            [
+                batch(
+                    TOLD,
+                    places["block"].to_pylist(),
+                    places["part"].to_pylist(),
+                    [None] * size,
+                    seqs,
+                    places["locals"].to_pylist(),
+                    *([packed_numbers(v[x]) for x in at] for v in (lp.astype("<f4"), c, t)),
+                )
+            ]
+        )
+
+    return told
+
+
+@dataclass
+class Block:
+    """Documents of a block in numbers of its dictionary, and its pairs of words ordered by key."""
+
+    docs: pa.Table
+    texts: list[bytes]
+    sizes: np.ndarray
+    before: np.ndarray
+    word: np.ndarray
+    key: np.ndarray
+    #: The pair of each token.
+    of: np.ndarray
+
+
+def _block(rows: pa.Table) -> Block:
+    """Of rows that hold `ids`, or `local` and `key`, the hash of a word."""
+    is_doc = pa.compute.is_valid(rows["ids"])
+    docs, listed = rows.filter(is_doc), rows.filter(pa.compute.invert(is_doc))
+    hashes = np.empty(len(listed), np.uint64)
+    hashes[listed["local"].to_numpy()] = listed["key"].to_numpy().view(np.uint64)
+    texts = docs["ids"].to_pylist()
+    sizes = np.array([len(x) // 4 for x in texts], np.int64)
+    ids = np.frombuffer(b"".join(texts), "<u4")
+    ends = np.cumsum(sizes)
+    codes = np.concatenate([[0], ids[:-1]])
+    codes[ends - sizes] = ids[ends - 1]
+    codes *= len(hashes)
+    codes += ids
+    kinds, of = _kinds(codes, len(hashes) ** 2)
+    before, word = (kinds // len(hashes)).astype(np.int32), (kinds % len(hashes)).astype(np.int32)
+    del codes, kinds
+    key = mixed(hashes[before], hashes[word])
+    order = np.argsort(key, kind="stable")
+    place = np.empty(len(order), np.int32)
+    place[order] = np.arange(len(order))
+    return Block(docs, texts, sizes, before[order], word[order], key[order], place[of])
+
+
+def _kinds(codes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct codes, all below `most`, in order, and which one each is. The array itself is sorted if it can be."""
+    bits = len(codes).bit_length()
+    if (most - 1).bit_length() + bits > 63:
+        return np.unique(codes, return_inverse=True)
+    codes <<= bits
+    codes |= np.arange(len(codes))
+    codes.sort()
+    places = (codes & ((1 << bits) - 1)).astype(np.int32)
+    codes >>= bits
+    new = np.concatenate([[True], codes[1:] != codes[:-1]])
+    of = np.empty(len(codes), np.int32)
+    of[places] = np.cumsum(new, dtype=np.int32) - 1
+    return codes[new], of
+
+
+SENT = pa.schema([("shard", pa.int64()), ("block", pa.int64()), ("keys", pa.binary()), ("n", pa.binary())])
+
+
+def _sent_pairs(shards: int):
+    """The pairs of a block with their training counts, by shard: equal stretches of keys."""
+
+    def sent(rows: pa.Table) -> pa.Table:
+        block = _block(rows)
+        learned = np.repeat(block.docs["train"].to_numpy(zero_copy_only=False).astype(float), block.sizes)
+        n = np.bincount(block.of, learned, len(block.key)).astype("<u4")
+        shard = (((block.key >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)).astype(np.int64)
+        cuts = np.flatnonzero(np.diff(shard, prepend=-1))
+        spans = list(zip(cuts, [*cuts[1:], len(shard)], strict=True))
+        keys = [packed_numbers(np.diff(block.key[a:b], prepend=np.uint64(0))) for a, b in spans]
+        return pa.Table.from_batches(
+            [batch(SENT, shard[cuts], [rows["block"][0].as_py()] * len(cuts), keys, [packed_numbers(n[a:b]) for a, b in spans])]
+        )
+
+    return sent
+
+
+SUMMED = pa.schema([("of", pa.int64()), ("shard", pa.int64()), ("c", pa.binary()), ("once", pa.int64()), ("twice", pa.int64())])
+
+
+def _summed_pairs(rows: pa.Table) -> pa.Table:
+    """For each block the corpus's counts of its pairs, doubled; odd where the block speaks for the pair."""
+    keys = [np.cumsum(unpacked_numbers(x, "<u8"), dtype=np.uint64) for x in rows["keys"].to_pylist()]
+    n = np.concatenate([unpacked_numbers(x, "<u4") for x in rows["n"].to_pylist()])
+    _, first, of = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+    total = np.bincount(of, n, len(first)).astype(np.int64)
+    told = 2 * total[of]
+    told[first] += 1
+    ends = np.cumsum([len(x) for x in keys])
+    out = [packed_numbers(told[end - len(x) : end]) for x, end in zip(keys, ends, strict=True)]
+    once, twice = (total == 1).sum(), (total == 2).sum()
+    rest = [0] * (len(keys) - 1)
+    return pa.Table.from_batches([batch(SUMMED, rows["block"], rows["shard"], out, [once, *rest], [twice, *rest])])
+
+
+def _told(block_words: int, told: pa.Table) -> tuple[list[dict], np.ndarray, np.ndarray, np.ndarray, list[dict]]:
+    """Rows on words, log10 chances, training tokens and tables of the block's words, and rows on pairs."""
+    rows = told.to_pylist()
+    about = [r for r in rows if r["shard"] is None]
+    lp, c, t = np.zeros(block_words), np.zeros(block_words, np.int64), np.zeros(block_words, np.int64)
+    for r in about:
+        at = unpacked_numbers(r["locals"], "<u4")
+        lp[at], c[at], t[at] = unpacked_numbers(r["lp"], "<f4"), unpacked_numbers(r["c"], "<i8"), unpacked_numbers(r["t"], "<i8")
+    return about, lp, c, t, sorted((r for r in rows if r["shard"] is not None), key=lambda r: r["shard"])
+
+
+#: From a block: for a part the customers and tables of its words by the pairs the block speaks for; for
+#: itself, as a part of none, counts and tables of its pairs.
+SEATED = pa.schema([("of", pa.int64()), ("part", pa.int64()), ("seqs", pa.binary()), ("c", pa.binary()), ("t", pa.binary())])
+
+
+def _seated_pairs(totals: Totals):
+    """Draw the tables of all pairs of a block, given the word restaurant and the tables of preceding words."""
+
+    def seated(rows: pa.Table, told: pa.Table) -> pa.Table:
+        block = _block(rows)
+        size = len(rows) - len(block.docs)
+        about, lp, _, t, pairs = _told(size, told)
+        c = np.concatenate([unpacked_numbers(r["c"], "<i8") for r in pairs])
+        c, speaks = c >> 1, c & 1
+        alpha = (PAIR_STRENGTH + totals.pair_discount * t[block.before]) * 10.0 ** np.maximum(lp[block.word], -300)
+        drawn = draw_tables(c, alpha, totals.pair_discount, Keyed(block.key))
+        k = np.bincount(block.word, drawn * speaks, size).astype(np.int64)
+        t = np.bincount(block.before, drawn * speaks, size).astype(np.int64)
+        at = [unpacked_numbers(r["locals"], "<u4") for r in about]
+        out = batch(
+            SEATED,
+            [rows["block"][0].as_py()] * (len(about) + 1),
+            [*(r["part"] for r in about), None],
+            [*(r["seqs"] for r in about), None],
+            [*(packed_numbers(k[x]) for x in at), packed_numbers(c)],
+            [*(packed_numbers(t[x]) for x in at), packed_numbers(drawn)],
+        )
+        return pa.Table.from_batches([out])
+
+    return seated
 
-    return scored
+
+def _reseated_words(rows: pa.Table, seated: pa.Table) -> pa.Table:
+    """The words of a part with their new customers and tables, added up over all blocks."""
+    words, places = _by_seq(rows)
+    k, t = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+    for r in seated.to_pylist():
+        at = np.cumsum(unpacked_numbers(r["seqs"], "<u4"), dtype=np.int64)
+        k[at] += unpacked_numbers(r["c"], "<i8")
+        t[at] += unpacked_numbers(r["t"], "<i8")
+    for name, values in (("k", k), ("t", t)):
+        words = words.set_column(words.schema.get_field_index(name), name, pa.array(values))
+    return pa.concat_tables([words.cast(WORDS), places.cast(WORDS)])
 
 
 RESULT = pa.schema(
@@ -370,11 +607,12 @@ def _seen_before(marks: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return earlier - earlier[starts]
 
 
-def chained(ids: np.ndarray, sizes: np.ndarray, lp: np.ndarray) -> np.ndarray:
+def chained(ids: np.ndarray, sizes: np.ndarray, lp: np.ndarray, given: np.ndarray | None = None) -> np.ndarray:
     """log10 probability of each text, a product of predictive chances in reading order.
 
     `ids` are the words of all texts one after the other, `sizes` how many each text has, and `lp`
-    is what the corpus restaurant gives each word. A text has a restaurant of its own below that one, and
+    is what the corpus restaurant gives each word; `given` is what the corpus gives each place, knowing the
+    preceding word, and takes the place of `lp`. A text has a restaurant of its own below that one, and
     below it one for each preceding word. Both hold only what comes earlier in this text, seated with one
     table per word; each table of the lower one is a customer of the upper one.
     """
@@ -403,7 +641,7 @@ def chained(ids: np.ndarray, sizes: np.ndarray, lp: np.ndarray) -> np.ndarray:
     customers[places] = _seen_before(new_pair[places], starts)
     held1, tables1 = _seen_before(new_pair, begin), _seen_before(new_word, begin)
 
-    above = lp[ids]
+    above = lp[ids] if given is None else given
     for level, c, held, tables in ((0, customers, held1, tables1), (1, pairs, held2, tables2)):
         d, s = TEXT_DISCOUNTS[level], TEXT_STRENGTHS[level]
         own = np.maximum(c - d, 0) / (s + held)
@@ -425,20 +663,26 @@ def _in_parts(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
 
 
 def _score_block(totals: Totals):
-    def scored(docs: pa.Table, words: pa.Table) -> pa.Table:
-        local = words["local"].to_numpy()
-        c, lp = np.zeros(len(local), np.int64), np.zeros(len(local))
-        c[local], lp[local] = words["c"].to_numpy(), words["lp"].to_numpy()
+    def scored(rows: pa.Table, told: pa.Table) -> pa.Table:
+        block = _block(rows)
+        docs, texts, sizes, before = block.docs, block.texts, block.sizes, block.before
+        _, lp, c, t, (pairs,) = _told(len(rows) - len(docs), told)
         base = np.log10((c + 1) / (totals.tokens + 1 * (totals.types + 1)))
-        texts = docs["ids"].to_pylist()
-        sizes = np.array([len(x) // 4 for x in texts], np.int64)
+        # A preceding word has as many customers as training tokens: each is followed by one, the end by a first word.
+        d, s = totals.pair_discount, PAIR_STRENGTH
+        own = (unpacked_numbers(pairs["c"], "<i8") - d * unpacked_numbers(pairs["t"], "<i8")) / (s + c[before])
+        given = lp[block.word] + np.log10((s + d * t[before]) / (s + c[before]))
+        known = own > 0
+        given[known] = np.log10(own[known] + 10.0 ** np.maximum(given[known], -300))
+        ends = np.cumsum(sizes)
         known, bases, scores = np.zeros(len(sizes), np.int64), np.zeros(len(sizes)), np.zeros(len(sizes))
         for low, high in _in_parts(sizes, WORDS_AT_ONCE):
             ids = np.frombuffer(b"".join(texts[low:high]), "<u4").astype(np.int64)
             starts = np.cumsum(sizes[low:high]) - sizes[low:high]
             known[low:high] = np.add.reduceat((c[ids] > 0).astype(np.int64), starts)
             bases[low:high] = np.add.reduceat(base[ids], starts)
-            scores[low:high] = chained(ids, sizes[low:high], lp)
+            places = block.of[ends[low] - sizes[low] : ends[high - 1]]
+            scores[low:high] = chained(ids, sizes[low:high], lp, given[places])
         return pa.Table.from_batches(
             [
                 batch(
@@ -457,37 +701,20 @@ def _score_block(totals: Totals):
     return scored
 
 
-def scored_documents(docs: DataFrame) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row of `docs`.
+def _suggested(once: int, twice: int) -> float:
+    """The discount that the counts of counts suggest, as in Kneser-Ney smoothing."""
+    return min(0.9, max(0.1, round(once / max(1, once + 2 * twice), 3)))
 
-    Learned from the rows with crc32(doc_id) mod 7 other than 2; scores are log10 probabilities of the
-    whole text with its end, word after word given the text's own past. Each task codes its documents as numbers of a dictionary of its own. Only
-    these dictionaries are joined with the model, in which a word is one row, and come back to their
-    block of documents: no token is shuffled on its own and no vocabulary is broadcast. What reaches
-    the driver are totals and the spelling rows, whose number is bounded.
 
-    A null text is empty: its end alone. A null id is neither learned from nor held out. Repeated rows
-    give repeated rows, an empty table none; other columns are not read.
-    """
-    spark = docs.sparkSession
-    workers_import(spark)
-    slim = docs.select(F.col("doc_id").cast("long"), "text", in_training().alias("train"))
-    coded = stored(slim.mapInArrow(_code, CODED_SCHEMA), "lm-coded")
-    listed = coded.where("word is not null").select("block", "local", "word", "n_train")
-    vocabulary = stored(listed.groupBy("word").agg(F.sum("n_train").alias("c")), "lm-words")
-    known = vocabulary.where("c > 0")
-    sums = known.agg(
-        F.coalesce(F.sum("c"), F.lit(0)),
-        F.count("*"),
-        F.count_if(F.col("c") == 1),
-        F.count_if(F.col("c") == 2),
+def _learn_words(words: DataFrame, totals: Totals, rounds: int, spelling=None, tables: np.ndarray | None = None):
+    """Seat the word restaurant and its spellings, given the customers `k` of each word."""
+    spark = words.sparkSession
+    known = words.where("word is not null and k > 0").select("word", "k")
+    totals.customers, once, twice = known.agg(
+        F.coalesce(F.sum("k"), F.lit(0)), F.count_if(F.col("k") == 1), F.count_if(F.col("k") == 2)
     ).first()
-    tokens, types, once, twice = sums
-    # The discount that the counts of counts suggest, as in Kneser-Ney smoothing.
-    discount = min(0.9, max(0.1, round(once / max(1, once + 2 * twice), 3)))
-    totals = Totals(tokens, types, float(types), discount)
-    spelling, tables = None, None
-    for _ in range(ROUNDS):
+    totals.discount = _suggested(once, twice)
+    for _ in range(rounds):
         counted = stored(
             known.mapInArrow(_customers(spelling, totals), "code long, n long")
             .groupBy("code")
@@ -498,14 +725,75 @@ def scored_documents(docs: DataFrame) -> DataFrame:
         totals.tables = float(drawn["n"]) if drawn else 0.0
         learned, tables = _learn_spelling(counted.where("code >= 0"), tables)
         spelling = spark.sparkContext.broadcast(learned)
-    scores = vocabulary.mapInArrow(_score_words(spelling, totals), "word binary, c long, lp double")
-    back = listed.select("block", "local", "word").join(scores, "word").select(F.col("block").alias("of"), "local", "c", "lp")
-    texts = coded.where("ids is not null").select(
-        "block", "doc_id", "ids", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(False)).alias("held")
+    return spelling, tables
+
+
+def scored_documents(docs: DataFrame) -> DataFrame:
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row of `docs`.
+
+    Learned from the rows with crc32(doc_id) mod 7 other than 2; scores are log10 probabilities of the
+    whole text with its end, word after word given the text's own past. Each task codes its documents as
+    numbers of a dictionary of its own, in blocks that are stored by their number and never shuffled.
+    Dictionaries are summed up by shares of the words, pairs of words by shares of their keys (64-bit
+    hashes), and what is learned of both comes back to their block in the order in which it was sent: no token
+    is shuffled on its own and no vocabulary is broadcast. What reaches
+    the driver are totals and the spelling rows, whose number is bounded.
+
+    A null text is empty: its end alone. A null id is neither learned from nor held out. Repeated rows
+    give repeated rows, an empty table none; other columns are not read.
+    """
+    spark = docs.sparkSession
+    workers_import(spark)
+    slim = docs.select(F.col("doc_id").cast("long"), "text", in_training().alias("train"))
+    coded = stored_by(slim.mapInArrow(_code, CODED_SCHEMA), "block", "lm-coded")
+    listed = coded.where("word is not null")
+    rows, tokens = listed.agg(F.count("*"), F.coalesce(F.sum("n_train"), F.lit(0))).first()
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    part = F.expr(f"pmod(hash(word), {max(least, rows // PART_ROWS)})").cast("long").alias("part")
+    words = stored_by(
+        listed.select(part, "word", "block", "local", "n_train").groupBy("part").applyInArrow(_gathered, WORDS_SCHEMA),
+        "part",
+        "lm-words",
+    )
+    types = words.where("c > 0").count()
+    totals = Totals(tokens, types, tokens, float(types), 0.5)
+
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(False)).alias("held")
+    key = F.xxhash64("word").alias("key")
+    blocks = coded.select("block", "doc_id", "train", held, "ids", "local", key)
+    pairs = stored(
+        blocks.groupBy("block")
+        .applyInArrow(_sent_pairs(max(least, tokens // SHARD_TOKENS)), "shard long, block long, keys binary, n binary")
+        .groupBy("shard")
+        .applyInArrow(_summed_pairs, "of long, shard long, c binary, once long, twice long"),
+        "lm-pairs",
     )
+    once, twice = pairs.agg(F.coalesce(F.sum("once"), F.lit(0)), F.coalesce(F.sum("twice"), F.lit(0))).first()
+    totals.pair_discount = _suggested(once, twice)
+
+    spelling, tables = _learn_words(words, totals, ROUNDS)
+    told = words.groupBy("part").applyInArrow(_told_words(spelling, totals), TOLD_SCHEMA)
+    told = told.unionByName(pairs.select("of", "shard", "c"), allowMissingColumns=True)
+    seated = stored(
+        blocks.groupBy("block")
+        .cogroup(told.groupBy("of"))
+        .applyInArrow(_seated_pairs(totals), "of long, part long, seqs binary, c binary, t binary"),
+        "lm-seated",
+    )
+    answers = seated.where("part is not null").select("part", "seqs", "c", "t")
+    words = stored_by(
+        words.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(_reseated_words, WORDS_SCHEMA),
+        "part",
+        "lm-words",
+    )
+
+    totals = replace(totals)
+    spelling, _ = _learn_words(words, totals, 1, spelling, tables)
+    told = words.groupBy("part").applyInArrow(_told_words(spelling, totals), TOLD_SCHEMA)
+    own = seated.where("part is null").select("of", F.lit(0).cast("long").alias("shard"), "c", "t")
     return (
-        texts.groupBy("block")
-        .cogroup(back.groupBy("of"))
+        blocks.groupBy("block")
+        .cogroup(told.unionByName(own, allowMissingColumns=True).groupBy("of"))
         .applyInArrow(
             _score_block(totals),
             "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double,"

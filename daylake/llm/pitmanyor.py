@@ -30,7 +30,29 @@ def stirling(discount: float) -> np.ndarray:
     return logs
 
 
-def draw_tables(c: np.ndarray, alpha: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
+def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """64 bits that depend on both of two unsigned 64-bit numbers, in this order."""
+    x = a * np.uint64(0x9E3779B97F4A7C15)
+    x += b
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x ^= x >> np.uint64(shift)
+        x *= np.uint64(factor)
+    x ^= x >> np.uint64(31)
+    return x
+
+
+class Keyed:
+    """Stands in for a generator: what a type draws depends on its key alone, so that every task that
+    holds the type draws the same. Late customers are the mean of their binomial, rounded at random."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+
+    def chance(self, some: np.ndarray, salt: int) -> np.ndarray:
+        return (mixed(self.keys[some], np.uint64(salt)) >> np.uint64(11)) / 2.0**53
+
+
+def draw_tables(c: np.ndarray, alpha: np.ndarray, discount: float, rng: np.random.Generator | Keyed) -> np.ndarray:
     """One Gibbs draw of the tables of each type; no customers, no tables."""
     out = np.minimum(c, 1).astype(np.int64)
     logs = stirling(round(discount, 6))
@@ -46,14 +68,19 @@ def draw_tables(c: np.ndarray, alpha: np.ndarray, discount: float, rng: np.rando
             some = order[at : min(end, at + rows)]
             weights = logs[size, 1 : size + 1] + log_alpha[some, None] * np.arange(1, size + 1)
             weights = np.cumsum(np.exp(weights - weights.max(axis=1, keepdims=True)), axis=1)
-            picks = rng.random(len(some)) * weights[:, -1]
+            picks = (rng.chance(some, 0) if isinstance(rng, Keyed) else rng.random(len(some))) * weights[:, -1]
             out[some] = 1 + (weights < picks[:, None]).sum(axis=1)
     late = np.flatnonzero(c > WHOLE)
-    seated = np.full(len(late), WHOLE, np.int64)
+    seated, salt = np.full(len(late), WHOLE, np.int64), 0
     while len(late):
+        salt += 1
         step = np.minimum(np.maximum(seated // 16, 1), c[late] - seated)
         rest = np.maximum(seated + step // 2 - discount * out[late], 1e-9)
-        out[late] += rng.binomial(step, alpha[late] / (alpha[late] + rest))
+        new = alpha[late] / (alpha[late] + rest)
+        if isinstance(rng, Keyed):
+            out[late] += np.floor(step * new + rng.chance(late, salt)).astype(np.int64)
+        else:
+            out[late] += rng.binomial(step, new)
         seated = seated + step
         more = seated < c[late]
         late, seated = late[more], seated[more]
