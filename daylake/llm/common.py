@@ -72,6 +72,12 @@ def unpacked_numbers(data: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(width, size).T).view(kind).ravel()
 
 
+def as_list(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
+    """Values of a binary column, faster than one scalar after the other."""
+    column = column.to_numpy() if isinstance(column, pa.ChunkedArray) else column.to_numpy(zero_copy_only=False)
+    return column.tolist()
+
+
 def texts_as_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; null is empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

@@ -23,19 +23,19 @@ Tasks draw from generators seeded by what they read, so that a task run again dr
 from __future__ import annotations
 
 import zlib
-from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daylake.llm.common import batch, packed_numbers, stored, stored_by, texts_as_bytes, unpacked_numbers, workers_import
-from daylake.llm.pitmanyor import Keyed, draw_tables, mixed
+from daylake.llm.common import as_list, batch, packed_numbers, stored, stored_by, unpacked_numbers, workers_import
+from daylake.llm.pitmanyor import Keyed, draw_tables, draws_of_tables, mixed
 
 #: The end of a text, as a word: no word is empty.
 END = b""
@@ -57,16 +57,14 @@ WORDS_AT_ONCE = 100_000
 BLOCK_WORDS = 1_000_000
 #: Tokens after which a block is closed as well: its pairs are held at up to 60 bytes each.
 BLOCK_TOKENS = 4_000_000
+#: Bytes of texts that are numbered at once.
+BYTES_AT_ONCE = 2_000_000
 #: Strength of the corpus's restaurants of preceding words.
 PAIR_STRENGTH = 1.0
 #: Tokens of the corpus for each task that sums up pairs, and rows of dictionaries for each that sums up words.
 SHARD_TOKENS, PART_ROWS = 2_000_000, 300_000
 
 
-def words_of(text: bytes) -> list[bytes]:
-    return [*text.lower().split(), END]
-
-
 def in_training(id_column: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_column).cast("string")) % 7 != 2, F.lit(False))
 
@@ -80,49 +78,66 @@ CODED = pa.schema(
         ("local", pa.int64()),
         ("word", pa.binary()),
         ("n_train", pa.int64()),
+        ("key", pa.binary()),
     ]
 )
-CODED_SCHEMA = "block long, doc_id long, train boolean, ids binary, local long, word binary, n_train long"
+CODED_SCHEMA = "block long, doc_id long, train boolean, ids binary, local long, word binary, n_train long, key binary"
 
 
 def _code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents as numbers of words, and then the words of the block with their training counts."""
+    """Documents as numbers of words, and then the hashes of the block's words, and its words with their training
+    counts: what is read together lies together."""
     block = TaskContext.get().partitionId() << 20
-    numbers, counts, tokens = _numbering(), np.zeros(0, np.int64), 0
+    held, tokens, listed = [], 0, 0
     for rows in batches:
-        for at in range(0, rows.num_rows, 512):
-            some = rows.slice(at, 512)
-            train = some.column(2).to_pylist()
-            ids = [np.array(list(map(numbers.__getitem__, words_of(t))), "<u4") for t in texts_as_bytes(some.column(1))]
-            learned = [x for x, used in zip(ids, train, strict=True) if used]
-            counts = np.pad(counts, (0, len(numbers) - len(counts)))
-            if learned:
-                counts += np.bincount(np.concatenate(learned), minlength=len(numbers))
-            yield batch(
-                CODED, [block] * len(ids), some.column(0), train, [x.tobytes() for x in ids], *[[None] * len(ids)] * 3
-            )
-            tokens += sum(map(len, ids))
-            if len(numbers) > BLOCK_WORDS or tokens > BLOCK_TOKENS:
-                yield from _dictionary(block, numbers, counts)
+        lengths = pa.compute.binary_length(rows.column(1)).fill_null(0).to_numpy(zero_copy_only=False)
+        for low, high in _in_parts(lengths, BYTES_AT_ONCE):
+            some = rows.slice(low, high - low)
+            sizes, coded = _coded(some.column(1))
+            held.append((some.column(0), some.column(2), sizes, coded.indices.to_numpy(), coded.dictionary))
+            tokens += len(coded)
+            listed += len(coded.dictionary)
+            if listed > BLOCK_WORDS:
+                listed = len(pa.concat_arrays([x[-1] for x in held]).unique())
+            if listed > BLOCK_WORDS or tokens > BLOCK_TOKENS:
+                yield from _coded_block(block, held)
                 block += 1
-                numbers, counts, tokens = _numbering(), np.zeros(0, np.int64), 0
-    yield from _dictionary(block, numbers, counts)
-
+                held, tokens, listed = [], 0, 0
+    if held:
+        yield from _coded_block(block, held)
 
-def _numbering() -> defaultdict[bytes, int]:
-    numbers: defaultdict[bytes, int] = defaultdict()
-    numbers.default_factory = numbers.__len__
-    return numbers
 
-
-def _dictionary(block: int, numbers: dict[bytes, int], counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-    words = list(numbers)
+def _coded(texts: pa.Array) -> tuple[np.ndarray, pa.DictionaryArray]:
+    """How many words each text has, its end included, and the words of all."""
+    trimmed = pa.compute.ascii_trim_whitespace(pa.compute.ascii_lower(texts.fill_null("")))
+    # White space after the last word leaves an empty string, and so does an empty text.
+    closed = pa.compute.if_else(
+        pa.compute.equal(trimmed, ""), trimmed, pa.compute.binary_join_element_wise(trimmed, "", " ")
+    )
+    split = pa.compute.ascii_split_whitespace(closed)
+    return pa.compute.list_value_length(split).to_numpy().astype(np.int64), split.flatten().dictionary_encode()
+
+
+def _coded_block(block: int, held: list[tuple]) -> Iterator[pa.RecordBatch]:
+    listed = pa.concat_arrays([x[-1] for x in held]).dictionary_encode()
+    numbers, words = listed.indices.to_numpy().astype("<u4"), listed.dictionary.cast(pa.binary())
+    counts, at = np.zeros(len(words), np.int64), 0
+    for doc_id, train, sizes, indices, some in held:
+        ids = numbers[at : at + len(some)][indices]
+        at += len(some)
+        counts += np.bincount(ids[np.repeat(train.to_numpy(zero_copy_only=False), sizes)], minlength=len(words))
+        data, ends, size = ids.tobytes(), (4 * np.cumsum(sizes)).tolist(), len(sizes)
+        texts, nothing = [data[a:b] for a, b in zip([0, *ends], ends)], [None] * size
+        yield batch(CODED, [block] * size, doc_id, train, texts, *[nothing] * 4)
+    for at in range(0, len(words), 20_000):
+        keys = [xxhash.xxh64_intdigest(word, 42) for word in as_list(words[at : at + 20_000])]
+        yield batch(CODED, [block], *[[None]] * 3, [at], *[[None]] * 2, [np.array(keys, "<u8").tobytes()])
     for at in range(0, len(words), 20_000):
         some = words[at : at + 20_000]
-        nothing = [None] * len(some)
-        yield batch(
-            CODED, [block] * len(some), *[nothing] * 3, range(at, at + len(some)), some, counts[at : at + len(some)]
-        )
+        size = len(some)
+        of, nothing = np.full(size, block), [None] * size
+        local, n = np.arange(at, at + size), counts[at : at + size]
+        yield batch(CODED, of, *[nothing] * 3, local, some, n, nothing)
 
 
 def contexts(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -179,8 +194,9 @@ def _customers(spelling, totals: Totals):
     the spellings; before there are any, each word has one table."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drawn, sums = 0, None
         for part in batches:
-            words, c = part.column(0).to_pylist(), part.column(1).to_numpy(zero_copy_only=False)
+            words, c = as_list(part.column(0)), part.column(1).to_numpy(zero_copy_only=False)
             if not words:
                 continue
             tables = np.ones(len(c), np.int64)
@@ -188,9 +204,18 @@ def _customers(spelling, totals: Totals):
                 tables = _word_tables(words, c, spelling.value.score(words), totals)
             codes, starts = contexts(words)
             owners = np.repeat(np.arange(len(words)), np.diff([*starts, len(codes)]))
-            seen, at = np.unique(codes, return_inverse=True)
+            drawn += int(tables.sum())
+            n = tables[owners]
+            if sums is not None:
+                codes, n = np.concatenate([sums[0], codes]), np.concatenate([sums[1], n])
+            # No code is larger: a task holds the sums of all.
+            seen, at = _kinds(codes, CONTEXTS << 8)
+            sums = seen, np.bincount(at, n, len(seen)).astype(np.int64)
+        if sums is not None:
             # A negative code carries the number of tables.
-            yield batch(CODES, [-1, *seen], [tables.sum(), *np.bincount(at, tables[owners]).astype(np.int64)])
+            yield batch(CODES, [-1], [drawn])
+            for at in range(0, len(sums[0]), 100_000):
+                yield batch(CODES, *(x[at : at + 100_000] for x in sums))
 
     return counted
 
@@ -199,9 +224,15 @@ def _rng(words: list[bytes], salt: int) -> np.random.Generator:
     return np.random.default_rng([zlib.crc32(b"\n".join(words)), salt])
 
 
-def _word_tables(words: list[bytes], c: np.ndarray, log_base: np.ndarray, totals: Totals, salt: int = 0) -> np.ndarray:
+def _word_tables(words: list[bytes], c: np.ndarray, log_base: np.ndarray, totals: Totals) -> np.ndarray:
+    return _draws_of_words(words, c, log_base, totals, [0])[0]
+
+
+def _draws_of_words(
+    words: list[bytes], c: np.ndarray, log_base: np.ndarray, totals: Totals, salts: list[int]
+) -> list[np.ndarray]:
     alpha = totals.new_table * 10.0 ** np.maximum(log_base, -300)
-    return draw_tables(c, alpha, totals.discount, _rng(words, salt))
+    return draws_of_tables(c, alpha, totals.discount, [_rng(words, salt) for salt in salts])
 
 
 RESTAURANTS = pa.schema([("level", pa.int64()), ("context", pa.int64()), ("values", pa.binary())])
@@ -332,8 +363,7 @@ def _chances(spelling: Spelling, totals: Totals, words: list[bytes], k: np.ndarr
     own = np.zeros(len(words))
     known = np.flatnonzero(k > 0)
     some = [words[i] for i in known]
-    for draw in range(DRAWS):
-        t = _word_tables(some, k[known], log_base[known], totals, draw + 1)
+    for t in _draws_of_words(some, k[known], log_base[known], totals, list(range(1, DRAWS + 1))):
         own[known] += (k[known] - totals.discount * t) / held / DRAWS
     with np.errstate(divide="ignore"):
         return np.logaddexp(np.log(own), new * np.log(10)) / np.log(10)
@@ -400,9 +430,10 @@ def _told_words(spelling, totals: Totals):
     def told(rows: pa.Table) -> pa.Table:
         words, places = _by_seq(rows)
         c, k, t = (words[x].to_numpy() for x in ("c", "k", "t"))
-        names, lp = words["word"].to_pylist(), np.zeros(len(c))
+        names, lp = as_list(words["word"]), np.zeros(len(c))
         for at in range(0, len(c), 10_000):
-            lp[at : at + 10_000] = _chances(spelling.value, totals, names[at : at + 10_000], k[at : at + 10_000])
+            some = slice(at, at + 10_000)
+            lp[some] = _chances(spelling.value, totals, names[some], k[some])
         seqs = places["seqs"].to_pylist()
         at = [np.cumsum(unpacked_numbers(x, "<u4"), dtype=np.int64) for x in seqs]
         size = len(seqs)
@@ -435,15 +466,17 @@ class Block:
     key: np.ndarray
     #: The pair of each token.
     of: np.ndarray
+    #: Words of the dictionary.
+    words: int
 
 
 def _block(rows: pa.Table) -> Block:
-    """Of rows that hold `ids`, or `local` and `key`, the hash of a word."""
+    """Of rows that hold `ids`, or `local` and `key`: the hash of a word, or as bytes those of the words from there on."""
     is_doc = pa.compute.is_valid(rows["ids"])
-    docs, listed = rows.filter(is_doc), rows.filter(pa.compute.invert(is_doc))
-    hashes = np.empty(len(listed), np.uint64)
-    hashes[listed["local"].to_numpy()] = listed["key"].to_numpy().view(np.uint64)
-    texts = docs["ids"].to_pylist()
+    docs, listed = rows.filter(is_doc), rows.filter(pa.compute.invert(is_doc)).sort_by("local")
+    alone = pa.types.is_integer(listed["key"].type)
+    hashes = listed["key"].to_numpy().view(np.uint64) if alone else np.frombuffer(b"".join(as_list(listed["key"])), "<u8")
+    texts = as_list(docs["ids"])
     sizes = np.array([len(x) // 4 for x in texts], np.int64)
     ids = np.frombuffer(b"".join(texts), "<u4")
     ends = np.cumsum(sizes)
@@ -455,10 +488,10 @@ def _block(rows: pa.Table) -> Block:
     before, word = (kinds // len(hashes)).astype(np.int32), (kinds % len(hashes)).astype(np.int32)
     del codes, kinds
     key = mixed(hashes[before], hashes[word])
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     place = np.empty(len(order), np.int32)
     place[order] = np.arange(len(order))
-    return Block(docs, texts, sizes, before[order], word[order], key[order], place[of])
+    return Block(docs, texts, sizes, before[order], word[order], key[order], place[of], len(hashes))
 
 
 def _kinds(codes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -517,12 +550,15 @@ def _summed_pairs(rows: pa.Table) -> pa.Table:
 
 
 def _told(block_words: int, told: pa.Table) -> tuple[list[dict], np.ndarray, np.ndarray, np.ndarray, list[dict]]:
-    """Rows on words, log10 chances, training tokens and tables of the block's words, and rows on pairs."""
+    """Rows on words, log10 chances, training tokens and tables of the block's words, and rows on pairs.
+
+    Of `block_words` words, or more if there are rows on more."""
     rows = told.to_pylist()
     about = [r for r in rows if r["shard"] is None]
-    lp, c, t = np.zeros(block_words), np.zeros(block_words, np.int64), np.zeros(block_words, np.int64)
-    for r in about:
-        at = unpacked_numbers(r["locals"], "<u4")
+    places = [unpacked_numbers(r["locals"], "<u4") for r in about]
+    size = max([block_words, *(int(x.max(initial=0)) + 1 for x in places)])
+    lp, c, t = np.zeros(size), np.zeros(size, np.int64), np.zeros(size, np.int64)
+    for r, at in zip(about, places, strict=True):
         lp[at], c[at], t[at] = unpacked_numbers(r["lp"], "<f4"), unpacked_numbers(r["c"], "<i8"), unpacked_numbers(r["t"], "<i8")
     return about, lp, c, t, sorted((r for r in rows if r["shard"] is not None), key=lambda r: r["shard"])
 
@@ -537,7 +573,7 @@ def _seated_pairs(totals: Totals):
 
     def seated(rows: pa.Table, told: pa.Table) -> pa.Table:
         block = _block(rows)
-        size = len(rows) - len(block.docs)
+        size = block.words
         about, lp, _, t, pairs = _told(size, told)
         c = np.concatenate([unpacked_numbers(r["c"], "<i8") for r in pairs])
         c, speaks = c >> 1, c & 1
@@ -666,7 +702,7 @@ def _score_block(totals: Totals):
     def scored(rows: pa.Table, told: pa.Table) -> pa.Table:
         block = _block(rows)
         docs, texts, sizes, before = block.docs, block.texts, block.sizes, block.before
-        _, lp, c, t, (pairs,) = _told(len(rows) - len(docs), told)
+        _, lp, c, t, (pairs,) = _told(block.words, told)
         base = np.log10((c + 1) / (totals.tokens + 1 * (totals.types + 1)))
         # A preceding word has as many customers as training tokens: each is followed by one, the end by a first word.
         d, s = totals.pair_discount, PAIR_STRENGTH
@@ -759,8 +795,7 @@ def scored_documents(docs: DataFrame) -> DataFrame:
     totals = Totals(tokens, types, tokens, float(types), 0.5)
 
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(False)).alias("held")
-    key = F.xxhash64("word").alias("key")
-    blocks = coded.select("block", "doc_id", "train", held, "ids", "local", key)
+    blocks = coded.where("word is null").select("block", "doc_id", "train", held, "ids", "local", "key")
     pairs = stored(
         blocks.groupBy("block")
         .applyInArrow(_sent_pairs(max(least, tokens // SHARD_TOKENS)), "shard long, block long, keys binary, n binary")

@@ -15,6 +15,8 @@ import numpy as np
 #: Customers up to which the conditional is taken as a whole. Further ones sit down one after the
 #: other, each by its own chances, in blocks of a sixteenth of those who sit already.
 WHOLE = 256
+#: Customers of the types that are drawn side by side: up to the first, up to the second and so on.
+WIDTHS = (2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64, 96, 128, 192, WHOLE)
 
 
 @lru_cache(maxsize=8)
@@ -54,22 +56,39 @@ class Keyed:
 
 def draw_tables(c: np.ndarray, alpha: np.ndarray, discount: float, rng: np.random.Generator | Keyed) -> np.ndarray:
     """One Gibbs draw of the tables of each type; no customers, no tables."""
-    out = np.minimum(c, 1).astype(np.int64)
+    return draws_of_tables(c, alpha, discount, [rng])[0]
+
+
+def draws_of_tables(
+    c: np.ndarray, alpha: np.ndarray, discount: float, rngs: list[np.random.Generator | Keyed]
+) -> list[np.ndarray]:
+    """As `draw_tables`, a draw for each generator: all have the same chances."""
+    draws = [np.minimum(c, 1).astype(np.int64) for _ in rngs]
     logs = stirling(round(discount, 6))
-    log_alpha = np.log(np.maximum(alpha, 1e-300))
-    first = np.minimum(c, WHOLE)
-    order = np.argsort(first, kind="stable")
-    sizes, starts = np.unique(first[order], return_index=True)
-    for size, start, end in zip(sizes, starts, [*starts[1:], len(order)], strict=True):
-        if size < 2:
-            continue
-        rows = max(1, 2_000_000 // int(size))
+    several = np.flatnonzero(c > 1)
+    first = np.minimum(c[several], WHOLE)
+    ordered = np.argsort(first, kind="stable")
+    order, first = several[ordered], first[ordered]
+    log_alpha = np.log(np.maximum(alpha[order], 1e-300))
+    ends = np.searchsorted(first, WIDTHS, side="right")
+    for width, start, end in zip(WIDTHS, [0, *ends], ends):
+        rows = max(1, 2_000_000 // width)
         for at in range(start, end, rows):
-            some = order[at : min(end, at + rows)]
-            weights = logs[size, 1 : size + 1] + log_alpha[some, None] * np.arange(1, size + 1)
+            to = min(end, at + rows)
+            some = order[at:to]
+            # More tables than customers have no chance.
+            weights = logs[first[at:to], 1 : width + 1] + log_alpha[at:to, None] * np.arange(1, width + 1)
             weights = np.cumsum(np.exp(weights - weights.max(axis=1, keepdims=True)), axis=1)
-            picks = (rng.chance(some, 0) if isinstance(rng, Keyed) else rng.random(len(some))) * weights[:, -1]
-            out[some] = 1 + (weights < picks[:, None]).sum(axis=1)
+            for out, rng in zip(draws, rngs, strict=True):
+                picks = (rng.chance(some, 0) if isinstance(rng, Keyed) else rng.random(len(some))) * weights[:, -1]
+                out[some] = 1 + (weights < picks[:, None]).sum(axis=1)
+    return [_seat_late(out, c, alpha, discount, rng) for out, rng in zip(draws, rngs, strict=True)]
+
+
+def _seat_late(
+    out: np.ndarray, c: np.ndarray, alpha: np.ndarray, discount: float, rng: np.random.Generator | Keyed
+) -> np.ndarray:
+    """Add the tables of customers beyond WHOLE."""
     late = np.flatnonzero(c > WHOLE)
     seated, salt = np.full(len(late), WHOLE, np.int64), 0
     while len(late):

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 
 from daylake.llm import lm
 from daylake.llm.common import batch, packed_numbers, stored_by, unpacked_numbers
-from daylake.llm.pitmanyor import Keyed, draw_tables, mixed
+from daylake.llm.pitmanyor import Keyed, draw_tables, draws_of_tables, mixed
 
 
 def learned(doc_id):
@@ -152,3 +154,40 @@ def test_numbers_are_packed_and_tables_are_read_by_key(spark):
     counted = kept.groupBy("k").count()
     assert "Exchange" not in counted._jdf.queryExecution().executedPlan().toString()
     assert sorted(r["count"] for r in counted.collect()) == [14] * 5 + [15] * 2
+
+
+def test_blocks_hold_the_hashes_of_their_words_in_few_rows(monkeypatch):
+    monkeypatch.setattr(lm, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 3)))
+    texts = [None, "", " \n", "A b\x0bc\x0cÉ a", "\x1cx\x85y z\xa0 B ", "b b", "  lead  two "] + [f"w{i}" for i in range(30_000)]
+    train = [i % 3 > 0 for i in range(len(texts))]
+    split = [[*(t or "").encode().lower().split(), b""] for t in texts]
+    rows = pa.RecordBatch.from_pydict({"doc_id": range(len(texts)), "text": texts, "train": train})
+    for tokens, words, blocks in ((10**7, 10**7, 1), (1_000, 10**7, None), (10**7, 1_000, None)):
+        monkeypatch.setattr(lm, "BLOCK_TOKENS", tokens)
+        monkeypatch.setattr(lm, "BLOCK_WORDS", words)
+        monkeypatch.setattr(lm, "BYTES_AT_ONCE", 20_000)
+        out = pa.Table.from_batches(lm._code(iter([rows]))).to_pylist()
+        dictionary = {(r["block"], r["local"]): r for r in out if r["word"] is not None}
+        docs, keys = [r for r in out if r["ids"] is not None], [r for r in out if r["key"] is not None]
+        assert len(docs) + len(keys) + len(dictionary) == len(out)
+        found = {b for b, _ in dictionary}
+        assert len(found) == blocks if blocks else len(found) > 1
+        assert len(keys) <= len(dictionary) // 20_000 + len(found)
+        counts = Counter()
+        for r, used, want in zip(docs, train, split, strict=True):
+            ids = [(r["block"], i) for i in np.frombuffer(r["ids"], "<u4").tolist()]
+            assert [dictionary[i]["word"] for i in ids] == want
+            counts.update(ids if used else [])
+        assert all(r["n_train"] == counts[i] for i, r in dictionary.items())
+        for r in keys:
+            for at, key in enumerate(np.frombuffer(r["key"], "<u8").tolist(), r["local"]):
+                assert key == xxhash.xxh64_intdigest(dictionary[r["block"], at]["word"], 42)
+
+
+def test_draws_side_by_side_are_those_of_each_generator():
+    rng = np.random.default_rng(2)
+    c, alpha = rng.zipf(1.4, 5_000).clip(max=2_000) - rng.integers(0, 2, 5_000), 10.0 ** rng.uniform(-6, 2, 5_000)
+    both = draws_of_tables(c, alpha, 0.6, [np.random.default_rng(k) for k in (4, 5)])
+    for k, drawn in zip((4, 5), both, strict=True):
+        assert (drawn == draw_tables(c, alpha, 0.6, np.random.default_rng(k))).all()
+        assert (drawn <= c).all() and ((drawn > 0) == (c > 0)).all()
