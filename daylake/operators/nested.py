@@ -184,27 +184,53 @@ def _match_in_row(docs: DataFrame, per_item: bool) -> DataFrame:
     )
 
 
-def _match_by_join(docs: DataFrame, per_item: bool) -> DataFrame:
-    """`order_items` for orders with several documents: Spark may split the join by skew."""
-    items = _distinct_items(docs)
+def _marked_garnishes(garnishes: str) -> Column:
+    """Garnishes that have an id, each as (`first`, `garnish`): `first` marks one of those that share an id."""
+
+    def marked(ordered: Column) -> Column:
+        def entry(x: Column, i: Column) -> Column:
+            first = (i == 0) | (x["id"] != F.get(ordered, i - 1)["id"])
+            return F.struct(first.alias("first"), x["garnish"].alias("garnish"))
+
+        return F.transform(ordered, entry)
+
+    known = F.filter(garnishes, lambda g: g["externalId"].isNotNull())
+    by_id = F.transform(known, lambda g: F.struct(g["externalId"].alias("id"), g.alias("garnish")))
+    return F.transform(F.array(F.sort_array(by_id)), marked)[0]
+
+
+def _match_by_join(docs: DataFrame, per_item: bool, broadcast_ids: int | None = None) -> DataFrame:
+    """`order_items` by a join on order and garnish id. Without `broadcast_ids` all orders have several documents.
+
+    As in `item_detail`, items are shuffled to tell them apart only if their order has several documents. Then
+    each garnish is shuffled once, by the keys of the join and with the columns of its item: the items
+    that hold an id and the garnishes that have it are both read from there, and joined where they are. Of a hot
+    order the ids are spread over the tasks; what shares one id is joined in one task, whose sorts may spill.
+    """
     if per_item:
         own = F.explode(_distinct_array("item.garnishItems")).alias("garnish")
         return (
-            items.select("order_id", "item", own)
+            _distinct_items(docs).select("order_id", "item", own)
             .filter("garnish.externalId IS NOT NULL")
             .select("order_id", *_item_columns(), *_garnish_columns())
         )
-    rows = _item_ids(items).select("order_id", "garnish_external_id", *_item_columns())
-    # As in `explode_items`: a filter on the size, pushed below the shuffle of the distinct items,
-    # would keep the two sides from sharing it.
-    every_garnish = F.transform("item.garnishItems", lambda g: g)
-    garnishes = (
-        items.select("order_id", F.explode(every_garnish).alias("garnish"))
-        .select("order_id", *_garnish_columns())
-        .dropDuplicates()
+    items = _distinct_items(docs) if broadcast_ids is None else _union(_items_apart(docs, False, broadcast_ids))
+    marked = F.explode(_marked_garnishes("item.garnishItems")).alias("marked")
+    flat = (
+        items.select("order_id", "item", marked)
+        .select("order_id", "item", "marked.first", "marked.garnish")
+        .select("order_id", "first", *_item_columns(), *_garnish_columns())
     )
-    joined = rows.join(garnishes, ["order_id", "garnish_external_id"])
-    return joined.select("order_id", *rows.columns[2:], *garnishes.columns[1:])
+    keys, columns = ["order_id", "garnish_external_id"], [c for c in flat.columns if c != "first"]
+    item_columns = [c for c in columns if not c.startswith("garnish_")]
+    # Behind an array no column is pruned, which would make two shuffles of one.
+    met = F.array(F.struct(*[c for c in flat.columns if c not in keys])).alias("met")
+    shuffled = flat.select(*keys, met).repartition(*keys)
+    apart = shuffled.select(*keys, F.inline(F.transform("met", lambda m: m)))
+    # Two items that differ only in their garnishes stay two rows, although their columns are equal.
+    holding = apart.filter("first").select("garnish_external_id", *item_columns)
+    garnishes = apart.drop("first", *item_columns[1:]).dropDuplicates()
+    return holding.join(garnishes, keys).select(*columns)
 
 
 def _split_repeated(docs: DataFrame, broadcast_ids: int) -> tuple[DataFrame, DataFrame | None]:
@@ -246,7 +272,7 @@ def order_items(
     """
     docs = orders.select("order_id", "items").filter("order_id IS NOT NULL")
     if always_join:
-        return _match_by_join(docs, per_item)
+        return _match_by_join(docs, per_item, broadcast_ids)
     if one_document_per_order:
         return _match_in_row(docs, per_item)
     single, rest = _split_repeated(docs, broadcast_ids)

@@ -1,0 +1,56 @@
+"""Items and garnishes joined after one shuffle of the garnishes, with the rows of the other routes."""
+
+from __future__ import annotations
+
+import json
+
+from daylake.operators import order_items
+
+
+def item(name, *garnishes, quantity=1.0):
+    listed = [{"name": n, "externalId": i, "quantity": q} for n, i, q in garnishes]
+    return {"name": name, "quantity": quantity, "garnishItems": listed}
+
+
+TWICE = item("a", ("x", "1", 1.0), ("x", "1", 1.0), ("y", "1", 2.0), ("z", "2", 1.0), ("no id", None, 1.0))
+ORDERS = [
+    (1, [TWICE, TWICE, item("b", ("w", "1", 1.0)), item("c")]),
+    # Two items that differ only in their garnishes stay two.
+    (2, [item("a", ("x", "1", 1.0)), item("a", ("y", "1", 1.0)), None]),
+    (3, [item("a", ("x", None, 1.0))]),
+    (None, [item("a", ("x", "1", 1.0))]),
+]
+
+
+def documents(spark, path, orders):
+    rows = [(order, json.dumps(items)) for order, items in orders] + [(9, None), (10, "[{")]
+    spark.createDataFrame(rows, "order_id long, items string").write.parquet(str(path))
+    return spark.read.parquet(str(path))
+
+
+def found(df):
+    return sorted(map(repr, df.collect()))
+
+
+def test_joined_rows_are_those_matched_in_the_row(spark, tmp_path):
+    docs = documents(spark, tmp_path / "d", ORDERS)
+    joined = order_items(docs, always_join=True)
+    # Of order 1 the first item meets x, y, z and w, the second x, y and w; of order 2 two items meet two garnishes.
+    assert joined.count() == 4 + 3 + 4
+    assert found(joined) == found(order_items(docs, one_document_per_order=True))
+
+
+def test_documents_of_one_order_count_as_one(spark, tmp_path):
+    split = [(order, [x]) for order, items in ORDERS[:3] for x in items] + ORDERS
+    docs, whole = documents(spark, tmp_path / "split", split), documents(spark, tmp_path / "whole", ORDERS)
+    expected = found(order_items(whole, one_document_per_order=True))
+    assert found(order_items(docs, always_join=True)) == expected
+    assert found(order_items(docs)) == expected
+    assert found(order_items(docs, always_join=True, broadcast_ids=0)) == expected
+
+
+def test_garnishes_are_shuffled_once(spark, tmp_path):
+    joined = order_items(documents(spark, tmp_path / "d", ORDERS), always_join=True)
+    joined.collect()
+    final = joined._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("+- Exchange ") == 1 and final.count("ReusedExchange") == 1
