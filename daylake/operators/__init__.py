@@ -1,4 +1,4 @@
-from daylake.operators.latest import distinct_rows, latest, one_per_key
+from daylake.operators.latest import distinct_rows, latest, may_be_latest, one_per_key
 from daylake.operators.nested import (
     explode_items,
     garnish_detail,
@@ -29,6 +29,7 @@ __all__ = [
     "latest",
     "latest_statuses",
     "malformed_items",
+    "may_be_latest",
     "one_per_key",
     "order_items",
     "parse_items",

@@ -206,8 +206,9 @@ def refresh_orders(
     else:
         days = None if all_raw_days else run_date
         raw = {name: _raw(spark, zones, name, read, days) for name, read in READ_RAW.items()}
+        stored = {"stored": True} | options
         df = trusted_order(
-            raw["order"], raw["consumer"], raw["restaurant"], raw["status"], run_date, salt, **options
+            raw["order"], raw["consumer"], raw["restaurant"], raw["status"], run_date, salt, **stored
         )
     return write_gated(df.drop(readers.DAY), zone_path(zones, TRUSTED, "order"), run_date, files)
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daylake.functions.privacy import hash_columns
-from daylake.operators.latest import latest, one_per_key
+from daylake.operators.latest import latest, may_be_latest, one_per_key
 from daylake.sources.writers import stamp
 
 
@@ -35,6 +35,7 @@ def trusted_order(
     key: str = "customer_id",
     newest: str = "order_created_at",
     tie_break: Sequence[str] = ("order_id",),
+    stored: bool = False,
 ) -> DataFrame:
     """Newest order of each `key` among the orders that have a consumer and a merchant.
 
@@ -46,7 +47,12 @@ def trusted_order(
     joined after it, to one row per key. A consumer is shared by all orders of a customer, so
     with `key="customer_id"` its existence needs no check before the choice. Dimensions that
     repeat a key are reduced to one row, as the choice per key would do.
+
+    `stored=True` says that orders are cheap to read twice. Those that cannot be chosen are then dropped by
+    their key, time and tie-break before whole orders, with their documents, are shuffled.
     """
+    if stored:
+        orders = may_be_latest(orders, linked_orders(orders, consumers, merchants, key), key, newest, tie_break)
     chosen = latest(linked_orders(orders, consumers, merchants, key), key, newest, tie_break)
     return completed(
         chosen,

@@ -411,10 +411,8 @@ def orders_status_colocated(spark, sf_dir):
 def trusted_lake(spark, sf_dir):
     """All jobs on a lake of their own: raw days, the three trusted tables, and what they hold."""
     zones = {"raw": _fresh(spark, "raw"), "trusted": _fresh(spark, "trusted")}
-    carts = t.carts(spark, sf_dir)
-    orders = t.orders(spark, sf_dir).join(carts, "order_id", "left")
     for name, df in (
-        ("order", orders),
+        ("order", t.orders_with_carts(spark, sf_dir)),
         ("status", _raw_status(spark, sf_dir)),
         ("consumer", t.consumers(spark, sf_dir)),
         ("restaurant", t.merchants(spark, sf_dir)),

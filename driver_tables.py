@@ -94,8 +94,28 @@ def _tasks(lines: DataFrame) -> int:
 def carts(spark: SparkSession, sf_dir: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Item documents of each order: an item per brand, and in it a garnish per number of lines not returned.
 
-    The lines of an order are gathered in one shuffle and sorted; a batch of orders at a time is cut into items and
-    garnishes, and written as text, over Arrow columns.
+    A batch of orders at a time is cut into items and garnishes, and written as text, over Arrow columns.
+    """
+    return _gathered(spark, sf_dir, hot_rows).select("order_id", _documents("lines").alias("items"))
+
+
+def orders_with_carts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`orders` with their documents, null for an order without lines. Orders meet the lines where these are gathered,
+    before they become text: Spark does not know how rows that Python made are dealt out, and would shuffle the text."""
+    found = orders(spark, sf_dir)
+    lines = _gathered(spark, sf_dir, HOT_ROWS)
+    joined = found.join(lines, "order_id", "left").withColumn("known", F.col("lines").isNotNull())
+    some = F.coalesce("lines", F.array().cast(lines.schema["lines"].dataType))
+    return joined.select(*found.columns, F.when(F.col("known"), _documents(some)).alias("items"))
+
+
+def _documents(lines: Column | str) -> Column:
+    return F.arrow_udf(driver_documents.documents, T.StringType())(lines)
+
+
+def _gathered(spark: SparkSession, sf_dir: str, hot_rows: int) -> DataFrame:
+    """The lines of each order, gathered in one shuffle and sorted.
+
     Lines of orders that a sketch finds to have more than `hot_rows` are first summed up by order, brand, number
     and state. There are seven line numbers and 25 brands, so those documents stay small however many lines an
     order has, and no task receives its lines one by one.
@@ -134,7 +154,4 @@ def carts(spark: SparkSession, sf_dir: str, hot_rows: int = HOT_ROWS) -> DataFra
     # The struct is made before the shuffle: within the aggregate it would be interpreted, line by line.
     line = F.struct("name", "number", "kept", *SUMS).alias("line")
     gathered = joined.select("order_id", line).repartition(_tasks(lines), "order_id").groupBy("order_id")
-    documents = F.arrow_udf(driver_documents.documents, T.StringType())
-    return gathered.agg(F.sort_array(F.collect_list("line")).alias("lines")).select(
-        "order_id", documents("lines").alias("items")
-    )
+    return gathered.agg(F.sort_array(F.collect_list("line")).alias("lines"))
