@@ -254,7 +254,7 @@ def run_day(spark, sf_dir):
 
 
 def _carts_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents written once, for queries that read them more than once."""
+    """Documents written once: queries that read them more than once find them made, and run without Python."""
     path = _fresh(spark, "cart")
     carts = t.carts(spark, sf_dir)
     sources.write_flat(carts, path)
@@ -262,7 +262,7 @@ def _carts_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def items_parsed(spark, sf_dir):
-    return _item_rows(ops.parse_items(t.carts(spark, sf_dir)))
+    return _item_rows(ops.parse_items(_carts_kept(spark, sf_dir)))
 
 
 def items_inferred(spark, sf_dir):
@@ -296,23 +296,23 @@ def _item_rows(parsed: DataFrame) -> DataFrame:
 def malformed_documents(spark, sf_dir):
     """Orders whose document does not parse: every third one here has lost its last bracket."""
     cut = F.expr("substring(items, 1, length(items) - 1)")
-    carts = t.carts(spark, sf_dir)
+    carts = _carts_kept(spark, sf_dir)
     return ops.malformed_items(
         carts.withColumn("items", F.when(F.col("order_id") % 3 == 0, cut).otherwise(F.col("items")))
     ).select("order_id")
 
 
 def item_detail(spark, sf_dir):
-    detail = ops.item_detail(t.carts(spark, sf_dir))
+    detail = ops.item_detail(_carts_kept(spark, sf_dir))
     return detail.withColumn("garnish_items", F.size("garnish_items"))
 
 
 def garnish_detail(spark, sf_dir):
-    return ops.garnish_detail(t.carts(spark, sf_dir))
+    return ops.garnish_detail(_carts_kept(spark, sf_dir))
 
 
 def order_items(spark, sf_dir):
-    return ops.order_items(t.carts(spark, sf_dir))
+    return ops.order_items(_carts_kept(spark, sf_dir))
 
 
 def order_items_joined(spark, sf_dir):
@@ -320,7 +320,7 @@ def order_items_joined(spark, sf_dir):
 
 
 def order_items_per_item(spark, sf_dir):
-    return ops.order_items(t.carts(spark, sf_dir), per_item=True)
+    return ops.order_items(_carts_kept(spark, sf_dir), per_item=True)
 
 
 def items_wide(spark, sf_dir):
@@ -328,7 +328,7 @@ def items_wide(spark, sf_dir):
         # Nulls are left out, so it does not matter where they sort; `array_sort` would compare by a lambda.
         return F.array_join(F.sort_array(c), ",")
 
-    wide = ops.items_wide(t.carts(spark, sf_dir))
+    wide = ops.items_wide(_carts_kept(spark, sf_dir))
     return wide.select(
         "order_id",
         F.size("name").alias("items"),
